@@ -1,0 +1,76 @@
+"""Feature plans: operators run over chunked series, and the batch job."""
+
+from __future__ import annotations
+
+import datetime as _dt
+from typing import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from barsmith.operators import features as feat
+from barsmith.plans.series import DEFAULT_CHUNK_ROWS, Series, over_series
+from barsmith.schema import FEATURE_COLUMNS
+
+# Operator name -> (function, columns it adds).
+OPERATORS: dict[str, tuple[Callable, list[str]]] = {
+    "sma": (feat.add_moving_averages, [f"sma_{n}" for n in feat.SMA_SPANS]),
+    "ema": (feat.add_ema, [f"ema_{n}" for n in feat.EMA_SPANS]),
+    "bollinger": (feat.add_bollinger_bands,
+                  ["bb_mid", "bb_std", "bb_upper", "bb_lower", "bb_pct_b", "bb_bandwidth"]),
+    "rsi": (feat.add_rsi, ["rsi"]),
+    "macd": (feat.add_macd, ["macd_line", "macd_signal", "macd_hist"]),
+    "log_return": (feat.add_log_return, ["log_return"]),
+    "volatility": (feat.add_volatility, ["log_return"] + [
+        c for n in feat.VOL_SPANS for c in (f"vol_{n}d", f"annualized_vol_{n}d")]),
+    "atr": (feat.add_atr, ["atr_14"]),
+    "obv": (feat.add_obv, ["obv"]),
+    "volume_zscore": (feat.add_volume_zscore, ["vol_sma_20", "vol_std_20", "vol_zscore"]),
+    "range_52w": (feat.add_range_52w, ["pct_from_52w_high", "pct_from_52w_low"]),
+    "golden_cross": (feat.add_golden_cross, ["sma_50", "sma_200", "golden_cross"]),
+    "momentum": (feat.add_momentum, ["momentum_20d", "momentum_60d"]),
+}
+
+
+def _latest(df: DataFrame):
+    """Duplicate (ticker, date) bars: keep the most recently ingested one."""
+    if "ingested_at" not in df.columns:
+        return None
+    extra = [c for c in ("adj_close", "close", "adj_volume", "volume") if c in df.columns]
+    return [F.col("ingested_at").desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in extra]
+
+
+def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: str = "date",
+                   chunk_rows: int = DEFAULT_CHUNK_ROWS, **kwargs) -> DataFrame:
+    """One operator over each instrument's series; keeps key, order, bar columns."""
+    fn, _ = OPERATORS[name]
+    return over_series(
+        bars, lambda d, s: fn(d, s, **kwargs), key=key, order=order,
+        lookback=feat.LOOKBACK[name], chunk_rows=chunk_rows, latest=_latest(bars),
+    )
+
+
+def utc_stamp() -> str:
+    """One driver-side ISO stamp, taken once per run (never inside an operator)."""
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat()
+
+
+def features(bars: DataFrame, *, run_date: str | Column, processed_at: str | Column | None = None,
+             key: str = "ticker", order: str = "date", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+             adjusted_atr: bool = False) -> DataFrame:
+    """The 54-column feature table from bars (duplicates removed, series chunked)."""
+    out = over_series(
+        bars, lambda d, s: feat.build_features(d, s, adjusted_atr=adjusted_atr),
+        key=key, order=order, lookback=feat.LOOKBACK["all"], chunk_rows=chunk_rows,
+        latest=_latest(bars),
+    )
+    stamp = processed_at if processed_at is not None else utc_stamp()
+    out = feat.add_metadata(out, run_date, stamp, order=order)
+    return out.select(*FEATURE_COLUMNS)
+
+
+def features_plain(bars: DataFrame, *, run_date, processed_at=None) -> DataFrame:
+    """Reference plan (one window partition per ticker); for comparisons and tests."""
+    out = feat.build_features(bars, Series.plain())
+    stamp = processed_at if processed_at is not None else utc_stamp()
+    return feat.add_metadata(out, run_date, stamp).select(*FEATURE_COLUMNS)
