@@ -4,7 +4,7 @@ Every operator is ``DataFrame -> DataFrame`` and takes an optional
 :class:`~barsmith.plans.series.Series` that says which window to use. Without one
 it uses the plain ``partitionBy(key).orderBy(order)`` window, exactly as the
 formulas are specified; :func:`build_features` (and the ``*_features`` wrappers in
-:mod:`barsmith.plans.pipeline`) run the same formulas over a chunked series, which
+:mod:`barsmith.plans.job`) run the same formulas over a chunked series, which
 keeps a large instrument from landing in a single task.
 
 Semantics kept on purpose (see README):
