@@ -18,10 +18,13 @@ from pyspark.sql.types import DoubleType
 from barsmith.operators import features as feat
 from barsmith.operators import views as vw
 from barsmith.plans import job
-from barsmith.sources.fixtures import lineitem_bars
+from barsmith.schema import BAR_COLUMNS, DECLARED_COLUMNS, VENDOR_RENAMES
+from barsmith.sources import ndjson, sinks, vendor
+from barsmith.sources.fixtures import INGESTED_AT, lineitem_bars, read_table
 
 # The stamps the registered queries use (the oracle uses the same).
 PROCESSED_AT = "2024-01-02T00:00:00"
+RUN_DATE = "20240101"
 
 OPERATOR_COLUMNS = {
     "sma": ["ticker", "date", "adj_close", "sma_5", "sma_10", "sma_20", "sma_50", "sma_200"],
@@ -138,4 +141,128 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_ml_recent": q_ml_recent,
         "q_audit_recent": q_audit_recent,
     })
+    out.update(SOURCE_QUERIES)
     return out
+
+
+# ---------------------------------------------------------------- sources and sinks
+def _vendor_root(spark: SparkSession, sf_dir: str) -> str:
+    """Vendor-shaped payload files derived from the bars, one directory per ticker."""
+    from barsmith.session import scratch_path
+
+    bars = lineitem_bars(spark, sf_dir)
+    root = scratch_path(spark, "payload")
+    renames = {v: k for k, v in VENDOR_RENAMES.items()}
+    payload = bars.select(
+        F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T00:00:00+00:00")).alias("date"),
+        "open", "high", "low", "close", "volume",
+        *[F.col(c).alias(renames[c]) for c in
+          ("adj_open", "adj_high", "adj_low", "adj_close", "adj_volume")],
+        "ticker",
+    )
+    payload.hint("rebalance", "ticker").write.partitionBy("ticker").json(root)
+    return root
+
+
+def _normalized(spark, sf_dir):
+    root = _vendor_root(spark, sf_dir)
+    return vendor.normalize(vendor.read_payloads(spark, root), INGESTED_AT)
+
+
+def q_ingest_normalize(spark, sf_dir):
+    return rounded(_normalized(spark, sf_dir))
+
+
+def q_ingest_window(spark, sf_dir):
+    norm = _normalized(spark, sf_dir)
+    end = vw.resolve_as_of(lineitem_bars(spark, sf_dir))
+    start, end = vendor.request_window(end, vendor.LOOKBACK_DAYS)
+    return rounded(vendor.in_window(norm, start, end))
+
+
+def _region_universe(spark, sf_dir, region: str = "AMERICA") -> DataFrame:
+    """Instruments of one region: suppliers joined to nations and regions."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").filter(F.col("r_name") == region)
+    return (s.join(n, s.s_nationkey == n.n_nationkey)
+            .join(r, n.n_regionkey == r.r_regionkey)
+            .select(F.col("s_suppkey").cast("string").alias("ticker")))
+
+
+def q_ingest_universe(spark, sf_dir):
+    bars = lineitem_bars(spark, sf_dir)
+    return rounded(vendor.in_universe(bars, _region_universe(spark, sf_dir)))
+
+
+def _staged(spark, sf_dir, run_date: str = RUN_DATE) -> str:
+    from barsmith.session import scratch_path
+
+    root = scratch_path(spark, "staged")
+    ndjson.stage(lineitem_bars(spark, sf_dir), root, run_date)
+    return root
+
+
+def q_ndjson_roundtrip(spark, sf_dir):
+    root = _staged(spark, sf_dir)
+    return rounded(ndjson.to_bars(ndjson.scan(spark, root, RUN_DATE)))
+
+
+def q_quality_gate(spark, sf_dir):
+    root = _staged(spark, sf_dir)
+    return ndjson.gate_metrics(ndjson.scan(spark, root, RUN_DATE))
+
+
+def q_ingest_manifest(spark, sf_dir):
+    bars = lineitem_bars(spark, sf_dir)
+    end = vw.resolve_as_of(bars)
+    start, end = vendor.request_window(end, vendor.LOOKBACK_DAYS)
+    universe = read_table(spark, sf_dir, "supplier").select("s_suppkey")
+    loaded = vendor.in_window(bars, start, end)
+    return vendor.manifest(universe, loaded, run_date=RUN_DATE, start=start, end=end,
+                           uri_root="staged")
+
+
+def q_parquet_roundtrip(spark, sf_dir):
+    from barsmith.session import scratch_path
+
+    path = scratch_path(spark, "features")
+    sinks.write_parquet(test_features(spark, sf_dir), path)
+    return rounded(sinks.read_parquet(spark, path))
+
+
+def q_conform_schema(spark, sf_dir):
+    return rounded(sinks.conform(test_features(spark, sf_dir)))
+
+
+def q_table_roundtrip(spark, sf_dir):
+    from barsmith.session import scratch_path
+
+    path = scratch_path(spark, "table")
+    name = "stock_features_" + path.rsplit("-", 1)[-1]
+    sinks.write_table(sinks.conform(test_features(spark, sf_dir)), name, path=path)
+    return rounded(spark.table(name).select(*DECLARED_COLUMNS))
+
+
+def q_stream_ingest(spark, sf_dir):
+    from barsmith.session import scratch_path
+    from barsmith.streaming.ingest import ingest_available
+
+    root = _staged(spark, sf_dir)
+    out = scratch_path(spark, "bars")
+    ingest_available(spark, root, out, checkpoint=scratch_path(spark, "stream-ck"))
+    return rounded(spark.read.parquet(out).select(*BAR_COLUMNS))
+
+
+SOURCE_QUERIES = {
+    "ingest_normalize": q_ingest_normalize,
+    "ingest_window": q_ingest_window,
+    "ingest_universe": q_ingest_universe,
+    "ndjson_roundtrip": q_ndjson_roundtrip,
+    "ingest_manifest": q_ingest_manifest,
+    "quality_gate": q_quality_gate,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "table_roundtrip": q_table_roundtrip,
+    "conform_schema": q_conform_schema,
+    "stream_ingest": q_stream_ingest,
+}

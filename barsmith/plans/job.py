@@ -74,3 +74,32 @@ def features_plain(bars: DataFrame, *, run_date, processed_at=None) -> DataFrame
     out = feat.build_features(bars, Series.plain())
     stamp = processed_at if processed_at is not None else utc_stamp()
     return feat.add_metadata(out, run_date, stamp).select(*FEATURE_COLUMNS)
+
+
+def run_pipeline(spark, staged_root: str, out_path: str, run_date: str, *,
+                 processed_at: str | None = None, table: str | None = None,
+                 table_format: str = "parquet", table_path: str | None = None,
+                 as_of=None, register: bool = True,
+                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> dict:
+    """The daily batch: staged NDJSON of one run -> features -> Parquet (-> table, views).
+
+    The features are computed once: the Parquet write is the only action over the
+    raw data, the load counters ride on it (``observe``), and the table sink and
+    the views read the written files. An empty load raises ``EmptyLoad`` after the
+    write, which, being a dynamic partition overwrite of zero rows, replaced nothing.
+    """
+    from barsmith.operators.views import register_views
+    from barsmith.sources import ndjson, sinks
+
+    raw = ndjson.scan(spark, staged_root, run_date)
+    feats = features(ndjson.to_bars(raw), run_date=run_date,
+                     processed_at=processed_at or utc_stamp(), chunk_rows=chunk_rows)
+    feats, obs = ndjson.observed(feats, name=f"load_{run_date}")
+    sinks.write_parquet(feats, out_path)
+    metrics = ndjson.check_gate(obs.get)
+    stored = sinks.read_parquet(spark, out_path)
+    if table:
+        sinks.write_table(sinks.conform(stored), table, fmt=table_format, path=table_path)
+    views = register_views(stored, as_of) if register else {}
+    return {"rows": int(metrics["rows"]), "metrics": metrics, "features": stored,
+            "views": views, "path": out_path, "table": table}
