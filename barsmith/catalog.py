@@ -62,21 +62,44 @@ def run_of(order: str = "date"):
     return F.year(order).cast("string")
 
 
+_STORED: dict = {}
+
+
+def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lineitem-derived bars, written once per session as Parquet under the
+    checkpoint folder and read back: the bar store the feature job reads, with
+    column pruning for the narrow side branches of the chunked plan."""
+    from barsmith.session import scratch_path
+
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _STORED:
+        path = scratch_path(spark, "bars")
+        lineitem_bars(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _STORED[k] = path
+    return spark.read.parquet(_STORED[k]).select(*BAR_COLUMNS)
+
+
+def bars_as_of(spark: SparkSession, sf_dir: str):
+    """Newest bar date (the views' default as_of), from the bar store."""
+    return vw.resolve_as_of(stored_bars(spark, sf_dir))
+
+
 def test_features(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    bars = lineitem_bars(spark, sf_dir)
-    return job.features(bars, run_date=run_of(), processed_at=PROCESSED_AT, **kw)
+    bars = stored_bars(spark, sf_dir)
+    # The derived bars are one row per (ticker, date) by construction.
+    return job.features(bars, run_date=run_of(), processed_at=PROCESSED_AT, dedupe=False, **kw)
 
 
 def _operator_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = job.apply_operator(lineitem_bars(spark, sf_dir), name)
+        out = job.apply_operator(stored_bars(spark, sf_dir), name, dedupe=False)
         return rounded(out.select(*OPERATOR_COLUMNS[name]))
     q.__name__ = f"q_{name}"
     return q
 
 
 def q_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars = lineitem_bars(spark, sf_dir)
+    bars = stored_bars(spark, sf_dir)
     return rounded(feat.add_metadata(bars, run_of(), PROCESSED_AT))
 
 
@@ -93,11 +116,12 @@ def q_view_cross_sectional_momentum(spark, sf_dir):
 
 
 def q_view_rsi_signals(spark, sf_dir):
-    return rounded(vw.rsi_signals(test_features(spark, sf_dir)))
+    return rounded(vw.rsi_signals(test_features(spark, sf_dir), bars_as_of(spark, sf_dir)))
 
 
 def q_view_volatility_regime(spark, sf_dir):
-    return rounded(vw.volatility_regime(test_features(spark, sf_dir)))
+    return rounded(vw.volatility_regime(test_features(spark, sf_dir),
+                                        bars_as_of(spark, sf_dir)))
 
 
 def q_view_ml_feature_set(spark, sf_dir):
@@ -113,12 +137,13 @@ def q_momentum_board(spark, sf_dir):
 
 
 def q_rsi_extremes(spark, sf_dir):
-    return rounded(vw.rsi_extremes(vw.rsi_signals(test_features(spark, sf_dir))))
+    signals = vw.rsi_signals(test_features(spark, sf_dir), bars_as_of(spark, sf_dir))
+    return rounded(vw.rsi_extremes(signals))
 
 
 def q_ml_recent(spark, sf_dir):
     f = test_features(spark, sf_dir)
-    return rounded(vw.ml_recent(vw.ml_feature_set(f), vw.resolve_as_of(f)))
+    return rounded(vw.ml_recent(vw.ml_feature_set(f), bars_as_of(spark, sf_dir)))
 
 
 def q_audit_recent(spark, sf_dir):

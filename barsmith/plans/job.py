@@ -41,12 +41,18 @@ def _latest(df: DataFrame):
 
 
 def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: str = "date",
-                   chunk_rows: int = DEFAULT_CHUNK_ROWS, **kwargs) -> DataFrame:
-    """One operator over each instrument's series; keeps key, order, bar columns."""
+                   chunk_rows: int = DEFAULT_CHUNK_ROWS, dedupe: bool = True,
+                   **kwargs) -> DataFrame:
+    """One operator over each instrument's series; keeps key, order, bar columns.
+
+    ``dedupe`` keeps one bar per (key, order), the latest ingested; pass False for
+    bars that are unique by construction (it saves a sort and a narrow shuffle).
+    """
     fn, _ = OPERATORS[name]
     return over_series(
         bars, lambda d, s: fn(d, s, **kwargs), key=key, order=order,
-        lookback=feat.LOOKBACK[name], chunk_rows=chunk_rows, latest=_latest(bars),
+        lookback=feat.LOOKBACK[name], chunk_rows=chunk_rows,
+        latest=_latest(bars) if dedupe else None,
     )
 
 
@@ -57,12 +63,13 @@ def utc_stamp() -> str:
 
 def features(bars: DataFrame, *, run_date: str | Column, processed_at: str | Column | None = None,
              key: str = "ticker", order: str = "date", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-             adjusted_atr: bool = False) -> DataFrame:
-    """The 54-column feature table from bars (duplicates removed, series chunked)."""
+             adjusted_atr: bool = False, dedupe: bool = True) -> DataFrame:
+    """The 54-column feature table from bars (series chunked; with ``dedupe`` one bar
+    per (ticker, date) is kept, the latest ingested)."""
     out = over_series(
         bars, lambda d, s: feat.build_features(d, s, adjusted_atr=adjusted_atr),
         key=key, order=order, lookback=feat.LOOKBACK["all"], chunk_rows=chunk_rows,
-        latest=_latest(bars),
+        latest=_latest(bars) if dedupe else None,
     )
     stamp = processed_at if processed_at is not None else utc_stamp()
     out = feat.add_metadata(out, run_date, stamp, order=order)

@@ -138,7 +138,13 @@ def positioned(
             .filter(~F.coalesce(F.col("_same"), F.lit(False)))
             .drop("_same")
         )
-    counts = d.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    # Row counts per (key, bucket) come from a narrow projection (key and order
+    # only): after de-duplication a bucket holds one row per distinct order value.
+    narrow = df.select(key, order).filter(
+        F.col(key).isNotNull() & F.col(order).isNotNull()
+    ).withColumn(BUCKET, b)
+    n = F.count_distinct(order) if latest is not None else F.count(F.lit(1))
+    counts = narrow.groupBy(key, BUCKET).agg(n.alias("_n"))
     per_key = Window.partitionBy(key).orderBy(BUCKET)
     offsets = counts.select(
         key,
@@ -186,11 +192,17 @@ def with_halo(
     return df.select("*", F.inline(arr))
 
 
-def _finish_running(out: DataFrame, s: Series) -> DataFrame:
-    """Add the totals of earlier chunks to each chunk-local running sum."""
+def _finish_running(out: DataFrame, long_out: DataFrame, s: Series) -> DataFrame:
+    """Add the totals of earlier chunks to each chunk-local running sum.
+
+    ``long_out`` is the same computation restricted to keys longer than one chunk;
+    only they need an offset. Its filter on the key's length sits below the windows,
+    so it reaches the small offsets side of the position join, and when no key
+    spans two chunks (daily bars) AQE finds that side empty and skips the branch.
+    """
     key = s.key
     for name, delta in s.offsets.items():
-        totals = out.groupBy(key, CHUNK).agg(F.sum(delta).alias("_t"))
+        totals = long_out.groupBy(key, CHUNK).agg(F.sum(delta).alias("_t"))
         prior = totals.select(
             key,
             CHUNK,
@@ -235,7 +247,10 @@ def over_series(
     frame = with_halo(pos, lookback, lookahead, chunk_rows)
     s = Series.of_chunks(key, order)
     out = build(frame, s).filter(~F.col(HALO))
-    out = _finish_running(out, s)
+    if s.offsets:
+        long_keys = frame.filter(F.col(TOTAL) > F.lit(chunk_rows))
+        long_out = build(long_keys, Series.of_chunks(key, order)).filter(~F.col(HALO))
+        out = _finish_running(out, long_out, s)
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
