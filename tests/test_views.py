@@ -1,0 +1,165 @@
+"""Views, consumer queries, neighbour (lag/lead) and the distributed percent rank."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from barsmith.operators import views as vw
+from barsmith.plans import job
+from barsmith.plans.rank import percent_rank_distributed, percent_rank_local
+from barsmith.plans.series import neighbour
+from conftest import make_bars, random_walk
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    parts = [make_bars(spark, random_walk(400, seed=i, start=100 + 10 * i), ticker=f"T{i}")
+             for i in range(6)]
+    bars = parts[0]
+    for p in parts[1:]:
+        bars = bars.unionByName(p)
+    return job.features(bars, run_date=F.year("date").cast("string"),
+                        processed_at="2024-01-02T00:00:00").cache()
+
+
+def test_latest_snapshot_one_row_per_ticker(features):
+    snap = vw.latest_snapshot(features)
+    assert snap.columns == vw.SNAPSHOT_COLUMNS
+    rows = snap.collect()
+    assert len(rows) == 6
+    assert {r["date"] for r in rows} == {dt.date(2023, 1, 2) + dt.timedelta(days=399)}
+
+
+def test_momentum_ranks_inverted_as_specified(features):
+    m = vw.cross_sectional_momentum(features).collect()
+    assert len(m) == 6 and list(m[0].asDict()) == vw.MOMENTUM_COLUMNS
+    best = max(m, key=lambda r: r["momentum_20d"])
+    assert best["momentum_20d_pctrank"] == 0.0       # DESC: the strongest ranks 0
+    for r in m:
+        assert r["composite_momentum_score"] == pytest.approx(
+            0.4 * r["momentum_20d_pctrank"] + 0.6 * r["momentum_60d_pctrank"])
+        s = r["composite_momentum_score"]
+        want = ("STRONG_BUY" if s >= 0.8 else "BUY" if s >= 0.6 else "STRONG_SELL"
+                if s <= 0.2 else "SELL" if s <= 0.4 else "NEUTRAL")
+        assert r["momentum_signal"] == want
+    flipped = vw.cross_sectional_momentum(features, best_is_high=True).collect()
+    best2 = max(flipped, key=lambda r: r["momentum_20d"])
+    assert best2["momentum_20d_pctrank"] == 1.0
+
+
+def test_momentum_distributed_rank_path_equals_local(features):
+    a = {r["ticker"]: r for r in vw.cross_sectional_momentum(features).collect()}
+    b = vw.cross_sectional_momentum(features, max_local_rows=0).collect()
+    for r in b:
+        assert r.asDict() == a[r["ticker"]].asDict()
+
+
+def test_percent_rank_distributed_matches_window_with_ties_and_nulls(spark):
+    vals = [None, 3.0, 1.0, 1.0, None, 7.0, 3.0, 3.0, 2.0, 9.0] * 30
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    for desc in (True, False):
+        for nulls_last in (True, False):
+            spec = {"pr": ("v", desc, nulls_last)}
+            local = {r["id"]: r["pr"] for r in percent_rank_local(df, spec).collect()}
+            dist = percent_rank_distributed(df, spec, buckets=4).collect()
+            assert len(dist) == len(vals)
+            for r in dist:
+                assert r["pr"] == pytest.approx(local[r["id"]]), (desc, nulls_last)
+
+
+def test_rsi_signals_filter_then_lag(features):
+    as_of = dt.date(2023, 1, 2) + dt.timedelta(days=399)
+    sig = vw.rsi_signals(features, as_of, days=90)
+    assert sig.columns == vw.RSI_COLUMNS
+    rows = sig.collect()
+    assert len(rows) == 6 * 91
+    first_day = as_of - dt.timedelta(days=90)
+    assert all(r["macd_signal"] == "NO_CROSSOVER" for r in rows if r["date"] == first_day)
+    # Same labels as a per-ticker lag over the filtered rows.
+    w = Window.partitionBy("ticker").orderBy("date")
+    ref = (features.filter(F.col("date") >= F.lit(first_day))
+           .withColumn("p", F.lag("macd_hist").over(w)))
+    want = {(r["ticker"], r["date"]): r["p"] for r in ref.collect()}
+    for r in rows:
+        p, h = want[(r["ticker"], r["date"])], r["macd_hist"]
+        label = ("BULLISH_CROSSOVER" if p is not None and h > 0 and p <= 0 else
+                 "BEARISH_CROSSOVER" if p is not None and h < 0 and p >= 0 else "NO_CROSSOVER")
+        assert r["macd_signal"] == label
+        x = r["rsi"]
+        assert r["rsi_signal"] == ("EXTREMELY_OVERBOUGHT" if x >= 80 else "OVERBOUGHT"
+                                   if x >= 70 else "EXTREMELY_OVERSOLD" if x <= 20
+                                   else "OVERSOLD" if x <= 30 else "NEUTRAL")
+
+
+def test_volatility_regime(features):
+    as_of = dt.date(2023, 1, 2) + dt.timedelta(days=399)
+    reg = vw.volatility_regime(features, as_of)
+    assert reg.columns == vw.REGIME_COLUMNS
+    stats = {r["ticker"]: r for r in features.groupBy("ticker").agg(
+        F.avg("annualized_vol_20d").alias("m"), F.stddev_samp("annualized_vol_20d").alias("s")
+    ).collect()}
+    rows = reg.collect()
+    assert len(rows) == 6 * 366
+    for r in rows:
+        st = stats[r["ticker"]]
+        assert r["mean_vol"] == pytest.approx(st["m"]) and r["std_vol"] == pytest.approx(st["s"])
+        v, m, s = r["annualized_vol_20d"], st["m"], st["s"]
+        want = ("NORMAL" if v is None else "CRISIS" if v > m + 2 * s else "HIGH"
+                if v > m + s else "LOW" if v < m - s else "NORMAL")
+        assert r["vol_regime"] == want
+
+
+def test_ml_feature_set_drops_last_row_and_labels(features):
+    ml = vw.ml_feature_set(features)
+    assert ml.columns == vw.ML_COLUMNS
+    assert ml.count() == 6 * 399
+    w = Window.partitionBy("ticker").orderBy("date")
+    ref = {(r["ticker"], r["date"]): r["n"] for r in
+           features.withColumn("n", F.lead("adj_close").over(w)).collect()}
+    for r in ml.collect():
+        n = ref[(r["ticker"], r["date"])]
+        assert r["label_next_day_up"] == (1 if n > r["adj_close"] else 0)
+        assert r["label_next_day_return"] == pytest.approx((n - r["adj_close"]) / r["adj_close"])
+
+
+def test_audit_and_recent_queries(features):
+    audit = vw.pipeline_audit(features).collect()
+    assert [r["pipeline_run"] for r in audit] == ["2024", "2023"]   # newest first
+    assert sum(r["total_rows"] for r in audit) == 2400
+    assert all(r["tickers_loaded"] == 6 and r["null_rsi_count"] == 0 for r in audit)
+    assert vw.audit_recent(vw.pipeline_audit(features), 1).count() == 1
+    board = vw.momentum_board(vw.cross_sectional_momentum(features)).collect()
+    scores = [r["composite_momentum_score"] for r in board]
+    assert scores == sorted(scores, reverse=True)
+    as_of = dt.date(2023, 1, 2) + dt.timedelta(days=399)
+    ext = vw.rsi_extremes(vw.rsi_signals(features, as_of)).collect()
+    assert all(r["rsi_signal"] in ("OVERBOUGHT", "OVERSOLD") for r in ext)
+    recent = vw.ml_recent(vw.ml_feature_set(features), as_of).agg(F.min("date")).first()[0]
+    assert recent >= as_of - dt.timedelta(days=365)
+
+
+def test_register_views(spark, features):
+    views = vw.register_views(features)
+    assert set(views) == {"latest_snapshot", "cross_sectional_momentum", "rsi_signals",
+                          "volatility_regime", "ml_feature_set", "pipeline_audit"}
+    n = spark.sql("SELECT count(*) FROM vw_latest_snapshot").first()[0]
+    assert n == 6
+
+
+def test_neighbour_equals_lag_and_lead_across_buckets(spark):
+    # Dates spanning several years and gaps: edges come from the adjacent bucket.
+    rows = [("A", dt.date(2019, 12, 30) + dt.timedelta(days=7 * i), float(i)) for i in range(120)]
+    rows += [("B", dt.date(2021, 6, 1), 5.0), ("B", dt.date(2023, 2, 1), 6.0)]
+    df = spark.createDataFrame(rows, "ticker string, date date, x double")
+    w = Window.partitionBy("ticker").orderBy("date")
+    ref = {(r["ticker"], r["date"]): (r["p"], r["n"]) for r in
+           df.withColumns({"p": F.lag("x").over(w), "n": F.lead("x").over(w)}).collect()}
+    got_p = neighbour(df, {"p": "x"}, direction=-1).collect()
+    got_n = neighbour(df, {"n": "x"}, direction=1).collect()
+    assert len(got_p) == len(got_n) == len(rows)
+    for r in got_p:
+        assert r["p"] == ref[(r["ticker"], r["date"])][0]
+    for r in got_n:
+        assert r["n"] == ref[(r["ticker"], r["date"])][1]
