@@ -42,7 +42,7 @@ def _latest(df: DataFrame):
 
 def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: str = "date",
                    chunk_rows: int = DEFAULT_CHUNK_ROWS, dedupe: bool = True,
-                   **kwargs) -> DataFrame:
+                   min_periods: bool = False, **kwargs) -> DataFrame:
     """One operator over each instrument's series; keeps key, order, bar columns.
 
     ``dedupe`` keeps one bar per (key, order), the latest ingested; pass False for
@@ -52,7 +52,7 @@ def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: st
     return over_series(
         bars, lambda d, s: fn(d, s, **kwargs), key=key, order=order,
         lookback=feat.LOOKBACK[name], chunk_rows=chunk_rows,
-        latest=_latest(bars) if dedupe else None,
+        latest=_latest(bars) if dedupe else None, min_periods=min_periods,
     )
 
 
@@ -63,22 +63,24 @@ def utc_stamp() -> str:
 
 def features(bars: DataFrame, *, run_date: str | Column, processed_at: str | Column | None = None,
              key: str = "ticker", order: str = "date", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-             adjusted_atr: bool = False, dedupe: bool = True) -> DataFrame:
+             adjusted_atr: bool = False, dedupe: bool = True,
+             min_periods: bool = False) -> DataFrame:
     """The 54-column feature table from bars (series chunked; with ``dedupe`` one bar
     per (ticker, date) is kept, the latest ingested)."""
     out = over_series(
         bars, lambda d, s: feat.build_features(d, s, adjusted_atr=adjusted_atr),
         key=key, order=order, lookback=feat.LOOKBACK["all"], chunk_rows=chunk_rows,
-        latest=_latest(bars) if dedupe else None,
+        latest=_latest(bars) if dedupe else None, min_periods=min_periods,
     )
     stamp = processed_at if processed_at is not None else utc_stamp()
     out = feat.add_metadata(out, run_date, stamp, order=order)
     return out.select(*FEATURE_COLUMNS)
 
 
-def features_plain(bars: DataFrame, *, run_date, processed_at=None) -> DataFrame:
+def features_plain(bars: DataFrame, *, run_date, processed_at=None,
+                   min_periods: bool = False) -> DataFrame:
     """Reference plan (one window partition per ticker); for comparisons and tests."""
-    out = feat.build_features(bars, Series.plain())
+    out = feat.build_features(bars, Series.plain(min_periods=min_periods))
     stamp = processed_at if processed_at is not None else utc_stamp()
     return feat.add_metadata(out, run_date, stamp).select(*FEATURE_COLUMNS)
 

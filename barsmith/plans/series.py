@@ -66,14 +66,31 @@ class Series:
     home: Column = None
     chunked: bool = False
     offsets: dict = field(default_factory=dict)
+    min_periods: bool = False
 
     @classmethod
-    def plain(cls, key: str = "ticker", order: str = "date") -> "Series":
-        return cls(key, order, (key,), (order,), None, False)
+    def plain(cls, key: str = "ticker", order: str = "date",
+              min_periods: bool = False) -> "Series":
+        return cls(key, order, (key,), (order,), None, False, min_periods=min_periods)
 
     @classmethod
-    def of_chunks(cls, key: str, order: str) -> "Series":
-        return cls(key, order, (key, CHUNK), (POS,), ~F.col(HALO), True)
+    def of_chunks(cls, key: str, order: str, min_periods: bool = False) -> "Series":
+        return cls(key, order, (key, CHUNK), (POS,), ~F.col(HALO), True,
+                   min_periods=min_periods)
+
+    def position(self) -> Column:
+        """0-based place of the row in its key's whole series."""
+        if self.chunked:
+            return F.col(POS)
+        return F.row_number().over(self.ordered()) - F.lit(1)
+
+    def roll(self, agg: Column, n: int) -> Column:
+        """``agg`` over the trailing n rows; with ``min_periods`` null until the
+        frame is full."""
+        out = agg.over(self.trailing(n))
+        if self.min_periods and n > 1:
+            return F.when(self.position() >= F.lit(n - 1), out)
+        return out
 
     def ordered(self) -> WindowSpec:
         return Window.partitionBy(*self.partition).orderBy(*self.sort)
@@ -236,6 +253,7 @@ def over_series(
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     bucket: Column | None = None,
     latest: Sequence[Column] | None = None,
+    min_periods: bool = False,
 ) -> DataFrame:
     """Run ``build(frame, series)`` over each key's ordered series, chunked.
 
@@ -245,11 +263,12 @@ def over_series(
     """
     pos = positioned(df, key, order, bucket=bucket, latest=latest)
     frame = with_halo(pos, lookback, lookahead, chunk_rows)
-    s = Series.of_chunks(key, order)
+    s = Series.of_chunks(key, order, min_periods)
     out = build(frame, s).filter(~F.col(HALO))
     if s.offsets:
         long_keys = frame.filter(F.col(TOTAL) > F.lit(chunk_rows))
-        long_out = build(long_keys, Series.of_chunks(key, order)).filter(~F.col(HALO))
+        long_out = build(long_keys, Series.of_chunks(key, order, min_periods)).filter(
+            ~F.col(HALO))
         out = _finish_running(out, long_out, s)
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 

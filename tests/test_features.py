@@ -177,3 +177,22 @@ def test_metadata(spark):
     assert (r["pipeline_run"], r["processed_at"], r["year"], r["month"]) == \
         ("20240101", "2024-01-02T00:00:00", 2023, 1)
     assert r["date_ts"] == r["date"]
+
+
+def test_min_periods_nulls_until_frame_is_full(spark):
+    bars = make_bars(spark, [float(i) for i in range(1, 31)])
+    s = Series.plain(min_periods=True)
+    out = _rows(feat.add_moving_averages(bars, s), "sma_5", "sma_20", "sma_200")
+    assert out[3][0] is None and out[4][0] == pytest.approx(3.0)
+    assert out[18][1] is None and out[19][1] == pytest.approx(10.5)
+    assert all(r[2] is None for r in out)
+    default = _rows(feat.add_moving_averages(bars), "sma_5")
+    assert default[0][0] == 1.0                   # default unchanged: partial frames
+
+
+def test_min_periods_chunked_equals_plain(spark):
+    bars = make_bars(spark, random_walk(700, seed=11))
+    a = job.features(bars, run_date="r", processed_at="p", chunk_rows=300, min_periods=True)
+    b = job.features_plain(bars, run_date="r", processed_at="p", min_periods=True)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.filter(F.col("sma_200").isNull()).count() == 199
