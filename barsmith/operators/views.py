@@ -74,10 +74,17 @@ def resolve_as_of(features: DataFrame, as_of=None, order: str = "date") -> _dt.d
     return _dt.date.fromisoformat(str(as_of)[:10])
 
 
-def _since(as_of: _dt.date, days: int, order: str = "date") -> Column:
-    # A literal bound, so the filter reaches the Parquet scan (and prunes year
-    # partitions when the table is partitioned by year).
-    return F.col(order) >= F.lit(as_of - _dt.timedelta(days=days))
+def _since(df: DataFrame, as_of: _dt.date, days: int, order: str = "date") -> Column:
+    """``order >= as_of - days`` as a literal bound, so it reaches the Parquet scan.
+
+    The feature table is partitioned by ``year`` (= year(date)); the implied
+    ``year >= year(start)`` is added so that whole year directories are skipped.
+    """
+    start = as_of - _dt.timedelta(days=days)
+    cond = F.col(order) >= F.lit(start)
+    if "year" in df.columns:
+        cond = cond & (F.col("year") >= F.lit(start.year))
+    return cond
 
 
 def latest_snapshot(features: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
@@ -125,7 +132,7 @@ def rsi_signals(features: DataFrame, as_of=None, *, days: int = RSI_DAYS) -> Dat
     the filtered rows, so each instrument's first row in range is NO_CROSSOVER.
     """
     as_of = resolve_as_of(features, as_of)
-    recent = features.filter(_since(as_of, days)).select(
+    recent = features.filter(_since(features, as_of, days)).select(
         "ticker", "date", "adj_close", "rsi", "macd_line", "macd_hist"
     )
     prev = neighbour(recent, {"_prev_hist": "macd_hist"}, direction=-1)
@@ -149,7 +156,7 @@ def volatility_regime(features: DataFrame, as_of=None, *, days: int = REGIME_DAY
     stats = features.groupBy("ticker").agg(
         F.avg(v).alias("mean_vol"), F.stddev_samp(v).alias("std_vol")
     )
-    recent = features.filter(_since(as_of, days)).select(
+    recent = features.filter(_since(features, as_of, days)).select(
         "ticker", "date", "adj_close", v, "atr_14"
     )
     joined = recent.join(stats, "ticker")
@@ -216,7 +223,7 @@ def rsi_extremes(signals: DataFrame) -> DataFrame:
 
 
 def ml_recent(ml: DataFrame, as_of, *, days: int = ML_RECENT_DAYS) -> DataFrame:
-    return ml.filter(_since(resolve_as_of(ml, as_of), days))
+    return ml.filter(_since(ml, resolve_as_of(ml, as_of), days))
 
 
 def audit_recent(audit: DataFrame, n: int = 10) -> DataFrame:

@@ -76,3 +76,12 @@ def create_table_ddl(table: str, fmt: str = "parquet") -> str:
     )
     return (f"CREATE TABLE IF NOT EXISTS {table} (\n  {body}\n) USING {fmt}\n"
             f"PARTITIONED BY (year, month)")
+
+
+def ensure_table(spark: SparkSession, table: str, fmt: str = "parquet",
+                 location: str | None = None) -> None:
+    """Create the declared feature table if it does not exist (no-op otherwise)."""
+    ddl = create_table_ddl(table, fmt)
+    if location:
+        ddl += f"\nLOCATION '{location}'"
+    spark.sql(ddl)

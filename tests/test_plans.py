@@ -38,6 +38,7 @@ def test_view_scans_are_pruned_and_pushed(spark, tmp_dir):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     scan = [ln for ln in p.splitlines() if "FileScan parquet" in ln][0]
     assert "GreaterThanOrEqual(date,2023-11-07)" in scan.split("PushedFilters: ")[1]
+    assert "PartitionFilters: [isnotnull(year" in scan and "(year#" in scan
     read_schema = scan.split("ReadSchema: ")[1]
     assert "sma_200" not in read_schema and "macd_hist" in read_schema
 

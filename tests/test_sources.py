@@ -128,6 +128,9 @@ def test_parquet_and_table_roundtrip_and_conform(spark, tmp_dir):
     with pytest.raises(Exception, match="required field ticker"):
         sinks.conform(bad).collect()
     assert "PARTITIONED BY (year, month)" in sinks.create_table_ddl("t")
+    sinks.ensure_table(spark, "declared_t", location=f"{tmp_dir}/declared")
+    sinks.ensure_table(spark, "declared_t", location=f"{tmp_dir}/declared")  # idempotent
+    assert spark.table("declared_t").columns == DECLARED_COLUMNS
 
 
 def test_streaming_ingest_is_incremental(spark, tmp_dir):
