@@ -33,11 +33,11 @@ OPERATORS: dict[str, tuple[Callable, list[str]]] = {
 
 
 def _latest(df: DataFrame):
-    """Duplicate (ticker, date) bars: keep the most recently ingested one."""
-    if "ingested_at" not in df.columns:
-        return None
-    extra = [c for c in ("adj_close", "close", "adj_volume", "volume") if c in df.columns]
-    return [F.col("ingested_at").desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in extra]
+    """Duplicate (ticker, date) bars: keep the most recently ingested one (then the
+    larger prices and volumes, then the other columns, so the choice is fixed)."""
+    prefer = [c for c in ("ingested_at", "adj_close", "close", "adj_volume", "volume")
+              if c in df.columns]
+    return prefer
 
 
 def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: str = "date",

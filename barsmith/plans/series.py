@@ -16,9 +16,11 @@ bucket) and their prefix sums per key. A bucket is a coarse, monotone function o
 the order column (the calendar year of a date by default), so the count table has
 one row per key and year, not per row.
 
-Cost: two shuffles of the data (one by (key, bucket) that also removes duplicate
-bars, one by (key, chunk) for the windows) plus shuffles of the small tables. AQE
-turns the small-table joins into broadcasts when their measured size allows it.
+Cost: two shuffles of the data (one by (key, bucket) for the numbering, one by
+(key, chunk) for the windows), a third one by (key, order) when duplicate bars
+must be collapsed (partially aggregated before it is shuffled), plus shuffles of
+the small tables. AQE turns the small-table joins into broadcasts when their
+measured size allows it.
 """
 
 from __future__ import annotations
@@ -126,37 +128,45 @@ def default_bucket(df: DataFrame, order: str) -> Column:
     return F.lit(0)
 
 
+def collapse_copies(df: DataFrame, key: str, order: str, prefer: Sequence[str]) -> DataFrame:
+    """Keep one row per (key, order): the copy with the largest ``prefer`` values
+    (nulls lose), ties broken by the remaining columns, so the choice is
+    deterministic. It is one grouped ``max`` over a struct: Spark aggregates each
+    input partition before the shuffle, so even a bar copied a billion times moves
+    as one row per input partition.
+    """
+    prefer = [c for c in prefer if c in df.columns and c not in (key, order)]
+    rest = [c for c in df.columns if c not in (key, order, *prefer)]
+    best = F.max(F.struct(*prefer, *rest)).alias("_best")
+    out = df.groupBy(key, order).agg(best)
+    return out.select(*[F.col(c) if c in (key, order) else F.col("_best").getField(c).alias(c)
+                        for c in df.columns])
+
+
 def positioned(
     df: DataFrame,
     key: str,
     order: str,
     *,
     bucket: Column | None = None,
-    latest: Sequence[Column] | None = None,
+    latest: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``POS`` (and ``TOTAL``) to every row.
 
     Rows with a null key or order have no place in a series and are dropped. With
-    ``latest`` (sort expressions, best first) only one row per (key, order) is kept:
-    the first under that ordering. Without it (key, order) must already be unique.
+    ``latest`` (column names, larger wins) only one row per (key, order) is kept,
+    see :func:`collapse_copies`. Without it (key, order) must already be unique.
     """
     b = default_bucket(df, order) if bucket is None else bucket
-    d = (
-        df.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
-        .withColumn(BUCKET, b)
-        # One exchange on (key, bucket) serves the de-duplication, the numbering
-        # and the join with the offsets below.
-        .repartition(key, BUCKET)
-    )
+    base = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
     if latest is not None:
-        wd = Window.partitionBy(key, BUCKET).orderBy(F.col(order), *latest)
-        d = (
-            d.withColumn("_same", F.lag(order).over(wd) == F.col(order))
-            .filter(~F.coalesce(F.col("_same"), F.lit(False)))
-            .drop("_same")
-        )
+        base = collapse_copies(base, key, order, latest)
+    # One exchange on (key, bucket) serves the numbering and the join with the
+    # offsets below.
+    d = base.withColumn(BUCKET, b).repartition(key, BUCKET)
     # Row counts per (key, bucket) come from a narrow projection (key and order
-    # only): after de-duplication a bucket holds one row per distinct order value.
+    # only, partially aggregated before its shuffle): after de-duplication a bucket
+    # holds one row per distinct order value.
     narrow = df.select(key, order).filter(
         F.col(key).isNotNull() & F.col(order).isNotNull()
     ).withColumn(BUCKET, b)
@@ -252,7 +262,7 @@ def over_series(
     lookahead: int = 0,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     bucket: Column | None = None,
-    latest: Sequence[Column] | None = None,
+    latest: Sequence[str] | None = None,
     min_periods: bool = False,
 ) -> DataFrame:
     """Run ``build(frame, series)`` over each key's ordered series, chunked.

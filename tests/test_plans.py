@@ -53,3 +53,28 @@ def test_audit_distinct_count_is_two_phase(spark):
     feats = job.features_plain(make_bars(spark, random_walk(30)), run_date="r", processed_at="p")
     p = _plan(vw.pipeline_audit(feats))
     assert "partial_count(distinct ticker" in p or "partial_count(distinct" in p
+
+
+def test_copies_collapse_before_the_shuffle(spark):
+    """A bar copied thousands of times: partial max(struct) runs map-side, the
+    latest copy wins, and the series is intact."""
+    from barsmith.plans.series import collapse_copies
+
+    bars = make_bars(spark, [1.0, 2.0, 3.0])
+    storm = spark.range(5000).select(
+        F.lit(dt.date(2023, 1, 3)).alias("date"), F.lit("TEST").alias("ticker"),
+        *[F.lit(9.0).alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(1).cast("long").alias("volume"),
+        *[F.lit(9.0).alias(c) for c in ("adj_open", "adj_high", "adj_low", "adj_close")],
+        F.lit(1).cast("long").alias("adj_volume"),
+        F.format_string("2024-01-01T00:%02d:00", (F.col("id") % 60).cast("int")).alias("ingested_at"),
+    )
+    both = bars.unionByName(storm.drop("id").withColumn("adj_close", F.lit(7.0)))
+    out = job.features(both, run_date="r", processed_at="p")
+    rows = out.orderBy("date").select("date", "adj_close", "ingested_at").collect()
+    assert len(rows) == 3
+    assert (rows[1]["adj_close"], rows[1]["ingested_at"]) == (7.0, "2024-01-01T00:59:00")
+    p = _plan(collapse_copies(both, "ticker", "date", ["ingested_at"]))
+    partial = p.index("partial_max")
+    # The plan prints top-down: the exchange sits above the partial aggregate.
+    assert p.index("Exchange hashpartitioning(ticker") < partial
