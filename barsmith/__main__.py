@@ -18,9 +18,11 @@ import sys
 
 
 def _session():
-    from pyspark.sql import SparkSession
+    from barsmith.session import ensure_checkpoint_dir, session_builder
 
-    return SparkSession.builder.appName("barsmith").getOrCreate()
+    spark = session_builder("barsmith").getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
 
 
 def main(argv=None) -> int:

@@ -38,3 +38,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint folder for files a job writes and reads."""
     return f"{ensure_checkpoint_dir(spark)}/barsmith/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# The job's session settings (AQE with partition coalescing, 200
+# shuffle partitions), plus skew-join splitting and UTC session time.
+SESSION_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "200",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def session_builder(app_name: str = "barsmith", **overrides):
+    """A SparkSession builder with the job's settings; the master and resources come
+    from ``spark-submit`` (the library never sets them)."""
+    b = SparkSession.builder.appName(app_name)
+    for k, v in {**SESSION_CONF, **overrides}.items():
+        b = b.config(k, v)
+    return b
