@@ -44,9 +44,10 @@ HALO = "_halo"      # true for copies that only feed a neighbouring chunk
 BUCKET = "_bucket"  # coarse order bucket used to spread one key over many tasks
 TOTAL = "_total"    # rows in the key's series
 
-# Rows per chunk. Daily bars never reach this for one instrument (it is four
-# thousand years), so they run one chunk per key with no halo copies; long intraday
-# series are cut into pieces of bounded memory. Halo overhead is lookback/chunk_rows.
+# Rows per chunk, the most any window task holds for one key. Daily bars do not
+# reach it for one instrument (it is about 400 years of trading days), so they run
+# one chunk per key with no halo copies; long intraday series are cut into pieces
+# of bounded size. Halo overhead is lookback / chunk_rows (0.25 % here).
 DEFAULT_CHUNK_ROWS = 100_000
 
 
