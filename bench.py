@@ -74,9 +74,11 @@ def main() -> None:
         qs[name](spark, d).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
-    if os.path.isdir(warm):
-        run("features_all", warm)
+    # JVM warm-up (untimed): the window code paths are compiled after enough rows.
+    for small in ("sf0.001", "sf0.01"):
+        warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), small)
+        if os.path.isdir(warm) and os.path.realpath(warm) != os.path.realpath(sf_dir):
+            run("features_all", warm)
     # Input preparation, untimed: the lineitem-derived bars are written once as the
     # Parquet bar store every query reads (as the staged NDJSON is for the job below).
     catalog.stored_bars(spark, sf_dir)
