@@ -6,7 +6,6 @@ import datetime as _dt
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from barsmith.operators import features as feat
 from barsmith.plans.series import DEFAULT_CHUNK_ROWS, Series, over_series
