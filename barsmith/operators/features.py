@@ -250,7 +250,12 @@ def add_momentum(df: DataFrame, s: Series | None = None, price: str = PRICE) ->
 def add_metadata(df: DataFrame, run_date, processed_at, order: str = "date") -> DataFrame:
     """processed_at / pipeline_run stamps (values or columns) and date_ts, year, month."""
     dtype = df.schema[order].dataType.simpleString()
-    d = F.col(order) if dtype == "date" else F.try_to_date(F.col(order), "yyyy-MM-dd")
+    if dtype == "date":
+        d = F.col(order)
+    elif dtype.startswith("timestamp"):
+        d = F.to_date(F.col(order))
+    else:
+        d = F.try_to_date(F.col(order), "yyyy-MM-dd")
     df = df.withColumns({
         "processed_at": col_or_lit(processed_at).cast("string"),
         "pipeline_run": col_or_lit(run_date).cast("string"),

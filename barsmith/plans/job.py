@@ -73,7 +73,9 @@ def features(bars: DataFrame, *, run_date: str | Column, processed_at: str | Col
     )
     stamp = processed_at if processed_at is not None else utc_stamp()
     out = feat.add_metadata(out, run_date, stamp, order=order)
-    return out.select(*FEATURE_COLUMNS)
+    # The order column stands where the contract has ``date`` (same for the key).
+    names = {"date": order, "ticker": key}
+    return out.select(*[names.get(c, c) for c in FEATURE_COLUMNS])
 
 
 def features_plain(bars: DataFrame, *, run_date, processed_at=None,

@@ -196,3 +196,29 @@ def test_min_periods_chunked_equals_plain(spark):
     b = job.features_plain(bars, run_date="r", processed_at="p", min_periods=True)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.filter(F.col("sma_200").isNull()).count() == 199
+
+
+def test_intraday_timestamp_series_chunked_equals_plain(spark):
+    """Minute bars over several days: the order column is a timestamp, buckets are
+    days, and chunks cut through days; results equal the plain window."""
+    import datetime as dt
+
+    closes = random_walk(1500, seed=21)
+    t0 = dt.datetime(2024, 3, 1, 9, 30)
+    rows = [(t0 + dt.timedelta(minutes=i), "X", c, c * 1.001, c * 0.999, c, 100 + i,
+             c, c * 1.001, c * 0.999, c, 100 + i, "2024-03-10T00:00:00")
+            for i, c in enumerate(closes)]
+    bars = spark.createDataFrame(rows, (
+        "ts timestamp, ticker string, open double, high double, low double, close double, "
+        "volume long, adj_open double, adj_high double, adj_low double, adj_close double, "
+        "adj_volume long, ingested_at string"))
+    chunked = job.features(bars, run_date="r", processed_at="p", order="ts", chunk_rows=400)
+    plain = feat.add_metadata(feat.build_features(bars, Series.plain("ticker", "ts")),
+                              "r", "p", order="ts")
+    cols = [c for c in chunked.columns if c != "date"]
+    assert chunked.count() == 1500
+    a = chunked.select(*cols)
+    b = plain.select(*cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert {r[0] for r in chunked.select("date_ts").distinct().collect()} == \
+        {dt.date(2024, 3, 1), dt.date(2024, 3, 2)}
