@@ -63,13 +63,13 @@ def utc_stamp() -> str:
 def features(bars: DataFrame, *, run_date: str | Column, processed_at: str | Column | None = None,
              key: str = "ticker", order: str = "date", chunk_rows: int = DEFAULT_CHUNK_ROWS,
              adjusted_atr: bool = False, dedupe: bool = True,
-             min_periods: bool = False) -> DataFrame:
+             min_periods: bool = False, bucket: Column | None = None) -> DataFrame:
     """The 54-column feature table from bars (series chunked; with ``dedupe`` one bar
     per (ticker, date) is kept, the latest ingested)."""
     out = over_series(
         bars, lambda d, s: feat.build_features(d, s, adjusted_atr=adjusted_atr),
         key=key, order=order, lookback=feat.LOOKBACK["all"], chunk_rows=chunk_rows,
-        latest=_latest(bars) if dedupe else None, min_periods=min_periods,
+        latest=_latest(bars) if dedupe else None, min_periods=min_periods, bucket=bucket,
     )
     stamp = processed_at if processed_at is not None else utc_stamp()
     out = feat.add_metadata(out, run_date, stamp, order=order)
@@ -78,12 +78,14 @@ def features(bars: DataFrame, *, run_date: str | Column, processed_at: str | Col
     return out.select(*[names.get(c, c) for c in FEATURE_COLUMNS])
 
 
-def features_plain(bars: DataFrame, *, run_date, processed_at=None,
-                   min_periods: bool = False) -> DataFrame:
+def features_plain(bars: DataFrame, *, run_date, processed_at=None, key: str = "ticker",
+                   order: str = "date", min_periods: bool = False) -> DataFrame:
     """Reference plan (one window partition per ticker); for comparisons and tests."""
-    out = feat.build_features(bars, Series.plain(min_periods=min_periods))
+    out = feat.build_features(bars, Series.plain(key, order, min_periods=min_periods))
     stamp = processed_at if processed_at is not None else utc_stamp()
-    return feat.add_metadata(out, run_date, stamp).select(*FEATURE_COLUMNS)
+    names = {"date": order, "ticker": key}
+    out = feat.add_metadata(out, run_date, stamp, order=order)
+    return out.select(*[names.get(c, c) for c in FEATURE_COLUMNS])
 
 
 def run_pipeline(spark, staged_root: str, out_path: str, run_date: str, *,

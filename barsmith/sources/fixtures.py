@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.schema import BAR_COLUMNS
@@ -56,3 +56,43 @@ def bars_from_lines(lines: DataFrame) -> DataFrame:
 
 def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_from_lines(read_table(spark, sf_dir, "lineitem"))
+
+
+# Seconds of the day are scaled by this factor and the order key added, giving one
+# increasing number per (day, order); order keys stay far below it.
+TICK_SCALE = 100_000_000
+
+
+def skewed_ticks(lines: DataFrame, hot_share: int = 3) -> DataFrame:
+    """A tick series in which one instrument holds about 1/hot_share of all rows.
+
+    One bar per (supplier group, ship day, order), ordered by ``seq`` (ship day and
+    order key in one increasing number). Suppliers with a key up to 1/hot_share of
+    the largest key trade as ``HOT``; the others keep their own ticker. Used to
+    measure a skewed key, not registered as a query.
+    """
+    max_key = lines.agg(F.max("l_suppkey")).first()[0]
+    hot = F.col("l_suppkey") <= F.lit(max_key // hot_share)
+    price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
+    day = F.unix_seconds(F.to_timestamp(F.to_date("l_shipdate")))
+    trades = lines.select(
+        F.when(hot, F.lit("HOT")).otherwise(F.col("l_suppkey").cast("string")).alias("ticker"),
+        (day * F.lit(TICK_SCALE) + F.col("l_orderkey")).alias("seq"),
+        price.alias("price"), F.col("l_quantity").alias("qty"),
+        F.struct("l_linenumber", "l_partkey", price.alias("p")).alias("k"),
+    )
+    raw = trades.groupBy("ticker", "seq").agg(
+        F.min_by("price", "k").alias("open"), F.max("price").alias("high"),
+        F.min("price").alias("low"), F.max_by("price", "k").alias("close"),
+        F.sum("qty").cast("long").alias("volume"),
+    )
+    return raw.select(
+        "seq", "ticker", "open", "high", "low", "close", "volume",
+        *[F.col(c).alias(f"adj_{c}") for c in ("open", "high", "low", "close")],
+        F.col("volume").alias("adj_volume"), F.lit(INGESTED_AT).alias("ingested_at"),
+    )
+
+
+def tick_day_bucket() -> Column:
+    """Day bucket of ``skewed_ticks``'s ``seq``."""
+    return F.expr(f"seq div {TICK_SCALE * 86_400}")

@@ -78,3 +78,22 @@ def test_copies_collapse_before_the_shuffle(spark):
     partial = p.index("partial_max")
     # The plan prints top-down: the exchange sits above the partial aggregate.
     assert p.index("Exchange hashpartitioning(ticker") < partial
+
+
+def test_hot_instrument_is_split_over_chunks(spark):
+    """One instrument with a third of the rows: the chunked plan spreads it over
+    several (ticker, chunk) window groups and equals the per-ticker window."""
+    from barsmith.sources.fixtures import read_table, skewed_ticks, tick_day_bucket
+    from conftest import SMALL
+
+    ticks = skewed_ticks(read_table(spark, SMALL, "lineitem"))
+    n_hot = ticks.filter(F.col("ticker") == "HOT").count()
+    assert n_hot > ticks.count() / 4
+    chunked = job.features(ticks, run_date="r", processed_at="p", order="seq",
+                           bucket=tick_day_bucket(), chunk_rows=300, dedupe=False)
+    plain = job.features_plain(ticks, run_date="r", processed_at="p", order="seq")
+    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
+    from barsmith.plans.series import positioned
+    pos = positioned(ticks, "ticker", "seq", bucket=tick_day_bucket())
+    chunks = pos.filter(F.col("ticker") == "HOT").select(F.floor(F.col("_pos") / 300)).distinct()
+    assert chunks.count() >= n_hot // 300
