@@ -3,24 +3,20 @@
 The reference computes every indicator with
 ``Window.partitionBy("ticker").orderBy("date")``. That plan sends all rows of a
 ticker to one task, so a single instrument holding a third of the data would run in
-one task. Here a series is cut into chunks of ``chunk_rows`` consecutive rows, and
-each chunk also receives a *halo*: copies of the ``lookback`` rows before it (and
-``lookahead`` rows after it). A ROWS frame that reaches back at most ``lookback``
-rows sees exactly the rows it would see in the unchunked series, so every value
-matches the single-partition result; the halo copies are dropped afterwards.
-Running (unbounded-preceding) sums are finished with per-chunk totals and an
-exclusive prefix over chunks.
-
-Positions come from two aggregates that stay small: row counts per (key, order
-bucket) and their prefix sums per key. A bucket is a coarse, monotone function of
-the order column (the calendar year of a date by default), so the count table has
-one row per key and year, not per row.
-
-Cost: two shuffles of the data (one by (key, bucket) for the numbering, one by
-(key, chunk) for the windows), a third one by (key, order) when duplicate bars
-must be collapsed (partially aggregated before it is shuffled), plus shuffles of
-the small tables. AQE turns the small-table joins into broadcasts when their
-measured size allows it.
+one task. Here a series is cut into chunks of about ``chunk_rows`` consecutive
+rows, and each chunk also receives a *halo*: copies of at least the ``lookback``
+rows before it. A ROWS frame that reaches back at most ``lookback`` rows sees
+exactly the rows it would see in the unchunked series, so every value matches the
+single-partition result; the halo copies are dropped afterwards. Running
+(unbounded-preceding) sums are finished with per-chunk totals and an exclusive
+prefix over chunks.
+
+Chunks are whole *buckets* (a coarse, monotone function of the order column: the
+calendar year of a date by default). Which chunk a bucket belongs to and which
+chunk's halo it feeds is decided on a small table with one row per (key, bucket)
+(:func:`chunk_table`), so the rows themselves move once, to (key, chunk).
+Look-ahead frames use the older numbered variant (:func:`positioned`,
+:func:`with_halo`), which needs one more shuffle to number the rows.
 """
 
 from __future__ import annotations
@@ -43,6 +39,7 @@ CHUNK = "_chunk"    # POS div chunk_rows
 HALO = "_halo"      # true for copies that only feed a neighbouring chunk
 BUCKET = "_bucket"  # coarse order bucket used to spread one key over many tasks
 TOTAL = "_total"    # rows in the key's series
+CSTART = "_cstart"  # position of the first row of the chunk the copy belongs to
 
 # Rows per chunk, the most any window task holds for one key. Daily bars do not
 # reach it for one instrument (it is about 400 years of trading days), so they run
@@ -77,15 +74,25 @@ class Series:
         return cls(key, order, (key,), (order,), None, False, min_periods=min_periods)
 
     @classmethod
-    def of_chunks(cls, key: str, order: str, min_periods: bool = False) -> "Series":
-        return cls(key, order, (key, CHUNK), (POS,), ~F.col(HALO), True,
-                   min_periods=min_periods)
+    def of_chunks(cls, key: str, order: str, min_periods: bool = False,
+                  by_order: bool = False) -> "Series":
+        """Windows over (key, chunk); ordered by POS, or by the order column itself
+        when the chunks are bucket-aligned (``by_order``)."""
+        return cls(key, order, (key, CHUNK), (order,) if by_order else (POS,),
+                   ~F.col(HALO), True, min_periods=min_periods)
 
     def position(self) -> Column:
         """0-based place of the row in its key's whole series."""
-        if self.chunked:
+        if self.chunked and self.sort == (POS,):
             return F.col(POS)
-        return F.row_number().over(self.ordered()) - F.lit(1)
+        local = F.row_number().over(self.ordered()) - F.lit(1)
+        if not self.chunked:
+            return local
+        # Bucket-aligned chunks: the halo rows are exactly the rows just before the
+        # chunk's first row, so position = chunk start - halo rows + local index.
+        halo_rows = F.sum(F.when(F.col(HALO), F.lit(1)).otherwise(F.lit(0))).over(
+            Window.partitionBy(*self.partition))
+        return F.col(CSTART) - halo_rows + local
 
     def roll(self, agg: Column, n: int) -> Column:
         """``agg`` over the trailing n rows; with ``min_periods`` null until the
@@ -220,6 +227,81 @@ def with_halo(
     return df.select("*", F.inline(arr))
 
 
+def chunk_table(df: DataFrame, key: str, order: str, bucket: Column, *, distinct: bool,
+                chunk_rows: int, lookback: int) -> DataFrame:
+    """Per (key, bucket): its chunk, the chunk's first position, the key's length,
+    and the next chunk whose halo the bucket feeds (or null).
+
+    Everything here is computed on small tables (one row per key and bucket, or per
+    key and chunk). Chunks are whole buckets: bucket b goes to chunk
+    floor(rows before b / chunk_rows). A chunk shorter than ``lookback`` (possible
+    when a bucket boundary falls just before a multiple of chunk_rows) is merged
+    into the chunk before it, so every chunk after a key's first holds at least
+    ``lookback`` rows. Then the last ``lookback`` rows before a chunk lie in buckets
+    of the one chunk before it, and each bucket feeds at most one halo: a bucket is
+    copied to the next chunk when it ends fewer than ``lookback`` rows before that
+    chunk's start. Copying whole buckets gives a few extra halo rows; they are
+    dropped like the others. A chunk holds at most chunk_rows rows plus one bucket.
+    """
+    narrow = df.select(key, order).filter(
+        F.col(key).isNotNull() & F.col(order).isNotNull()
+    ).withColumn(BUCKET, bucket)
+    n = F.count_distinct(order) if distinct else F.count(F.lit(1))
+    counts = narrow.groupBy(key, BUCKET).agg(n.alias("_n"))
+    # All windows below partition by the key (alone or with a chunk id), so one
+    # exchange of this small table serves them all; no joins are needed because
+    # chunks are contiguous: the next chunk starts where this one ends, and its id
+    # is floor(that position / chunk_rows) (its first bucket opens a kept raw chunk).
+    wk = Window.partitionBy(key).orderBy(BUCKET)
+    c = F.lit(chunk_rows)
+    t = counts.select(
+        key, BUCKET, "_n",
+        F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy(key)).alias(TOTAL),
+    )
+    t = t.withColumn("_c0", F.floor(F.col("_off") / c).cast("long"))
+    t = t.withColumn("_raw_size", F.sum("_n").over(Window.partitionBy(key, "_c0")))
+    keep = (F.col("_raw_size") >= F.lit(lookback)) | (F.col("_c0") == 0)
+    t = t.withColumn(CHUNK, F.max(F.when(keep, F.col("_c0"))).over(
+        wk.rowsBetween(Window.unboundedPreceding, 0)))
+    wch = Window.partitionBy(key, CHUNK)
+    t = t.withColumns({CSTART: F.min("_off").over(wch), "_csize": F.sum("_n").over(wch)})
+    end = F.col(CSTART) + F.col("_csize")
+    feeds = (end < F.col(TOTAL)) & (F.col("_off") + F.col("_n") > end - F.lit(lookback))
+    return t.select(
+        key, BUCKET, TOTAL,
+        F.col(CHUNK).alias("_home_chunk"), F.col(CSTART).alias("_home_start"),
+        F.when(feeds, F.floor(end / c).cast("long")).alias("_halo_chunk"),
+        F.when(feeds, end).alias("_halo_start"),
+    )
+
+
+def bucket_chunked(df: DataFrame, key: str, order: str, *, bucket: Column | None = None,
+                   latest: Sequence[str] | None = None, lookback: int,
+                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Rows with their chunk (and halo copies), without numbering the rows: one
+    shuffle of the data, to (key, chunk), follows. Input: bars; output adds CHUNK,
+    HALO, CSTART and TOTAL."""
+    if not 0 <= lookback <= chunk_rows:
+        raise ValueError("lookback must lie in [0, chunk_rows]")
+    b = default_bucket(df, order) if bucket is None else bucket
+    base = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
+    if latest is not None:
+        base = collapse_copies(base, key, order, latest)
+    t = chunk_table(df, key, order, b, distinct=latest is not None,
+                    chunk_rows=chunk_rows, lookback=lookback)
+    rows = base.withColumn(BUCKET, b).join(t, [key, BUCKET], "inner")
+    home = F.struct(F.col("_home_chunk").alias(CHUNK), F.lit(False).alias(HALO),
+                    F.col("_home_start").alias(CSTART))
+    copy = F.when(F.col("_halo_chunk").isNotNull(), F.struct(
+        F.col("_halo_chunk").alias(CHUNK), F.lit(True).alias(HALO),
+        F.col("_halo_start").alias(CSTART)))
+    targets = F.filter(F.array(home, copy), lambda x: x.isNotNull())
+    return rows.select("*", F.inline(targets)).drop(
+        BUCKET, "_home_chunk", "_home_start", "_halo_chunk", "_halo_start")
+
+
 def _finish_running(out: DataFrame, long_out: DataFrame, s: Series) -> DataFrame:
     """Add the totals of earlier chunks to each chunk-local running sum.
 
@@ -272,14 +354,22 @@ def over_series(
     back than ``lookback`` rows (or ahead than ``lookahead``) except through
     ``Series.running_sum``. Helper columns starting with ``_`` are dropped.
     """
-    pos = positioned(df, key, order, bucket=bucket, latest=latest)
-    frame = with_halo(pos, lookback, lookahead, chunk_rows)
-    s = Series.of_chunks(key, order, min_periods)
+    if lookahead == 0:
+        # Bucket-aligned chunks: one shuffle of the rows, windows ordered by `order`.
+        frame = bucket_chunked(df, key, order, bucket=bucket, latest=latest,
+                               lookback=lookback, chunk_rows=chunk_rows)
+        by_order = True
+    else:
+        # Look-ahead needs row positions: number rows per (key, bucket) first.
+        pos = positioned(df, key, order, bucket=bucket, latest=latest)
+        frame = with_halo(pos, lookback, lookahead, chunk_rows)
+        by_order = False
+    s = Series.of_chunks(key, order, min_periods, by_order)
     out = build(frame, s).filter(~F.col(HALO))
     if s.offsets:
         long_keys = frame.filter(F.col(TOTAL) > F.lit(chunk_rows))
-        long_out = build(long_keys, Series.of_chunks(key, order, min_periods)).filter(
-            ~F.col(HALO))
+        long_out = build(long_keys, Series.of_chunks(key, order, min_periods, by_order)
+                         ).filter(~F.col(HALO))
         out = _finish_running(out, long_out, s)
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 

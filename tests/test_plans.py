@@ -97,3 +97,29 @@ def test_hot_instrument_is_split_over_chunks(spark):
     pos = positioned(ticks, "ticker", "seq", bucket=tick_day_bucket())
     chunks = pos.filter(F.col("ticker") == "HOT").select(F.floor(F.col("_pos") / 300)).distinct()
     assert chunks.count() >= n_hot // 300
+
+
+def test_small_chunks_merge_and_halo_feeds_one_chunk(spark):
+    """Month buckets (~30 rows) with 260-row chunks leave raw chunks shorter than the
+    251-row lookback; they merge into the chunk before, every later chunk keeps at
+    least 251 rows, and results equal the per-ticker window."""
+    from barsmith.plans.series import chunk_table
+    from conftest import random_walk
+
+    bars = make_bars(spark, random_walk(1300, seed=5)).unionByName(
+        make_bars(spark, random_walk(700, seed=6), ticker="B"))
+    month = F.year("date") * 100 + F.month("date")
+    t = chunk_table(bars, "ticker", "date", month, distinct=False, chunk_rows=260,
+                    lookback=251)
+    sizes = t.groupBy("ticker", "_home_chunk").agg(
+        F.min("_home_start").alias("start"), F.count(F.lit(1)).alias("buckets"))
+    rows = {(r["ticker"], r["_home_chunk"]): r["start"] for r in sizes.collect()}
+    for tk in ("TEST", "B"):
+        starts = sorted(v for (k, _), v in rows.items() if k == tk)
+        total = 1300 if tk == "TEST" else 700
+        lengths = [b - a for a, b in zip(starts, starts[1:] + [total])]
+        assert all(n >= 251 for n in lengths[:-1]) and len(starts) > 1
+    merged = job.features(bars, run_date="r", processed_at="p", chunk_rows=260,
+                          bucket=month, dedupe=False)
+    plain = job.features_plain(bars, run_date="r", processed_at="p")
+    assert merged.exceptAll(plain).count() == 0 and plain.exceptAll(merged).count() == 0
