@@ -41,7 +41,8 @@ def _latest(df: DataFrame):
 
 def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: str = "date",
                    chunk_rows: int = DEFAULT_CHUNK_ROWS, dedupe: bool = True,
-                   min_periods: bool = False, **kwargs) -> DataFrame:
+                   min_periods: bool = False, bucket: Column | None = None,
+                   **kwargs) -> DataFrame:
     """One operator over each instrument's series; keeps key, order, bar columns.
 
     ``dedupe`` keeps one bar per (key, order), the latest ingested; pass False for
@@ -51,7 +52,7 @@ def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: st
     return over_series(
         bars, lambda d, s: fn(d, s, **kwargs), key=key, order=order,
         lookback=feat.LOOKBACK[name], chunk_rows=chunk_rows,
-        latest=_latest(bars) if dedupe else None, min_periods=min_periods,
+        latest=_latest(bars) if dedupe else None, min_periods=min_periods, bucket=bucket,
     )
 
 
