@@ -100,6 +100,10 @@ def run_pipeline(spark, staged_root: str, out_path: str, run_date: str, *,
     raw data, the load counters ride on it (``observe``), and the table sink and
     the views read the written files. An empty load raises ``EmptyLoad`` after the
     write, which, being a dynamic partition overwrite of zero rows, replaced nothing.
+
+    ``out_path`` is overwritten per (year, month) partition: a run replaces the
+    months its bars cover and leaves the others (pass a per-run path to keep every
+    run's output separately, as the reference's dated output folders do).
     """
     from barsmith.operators.views import register_views
     from barsmith.sources import ndjson, sinks
