@@ -76,9 +76,9 @@ def test_manifest_marks_failed(spark):
     uni = spark.createDataFrame([("aapl",), ("nope",)], "t string")
     m = {r["ticker"]: r for r in vendor.manifest(uni, bars, run_date="20240101",
                                                  start="2023-01-01", end="2023-12-31",
-                                                 uri_root="gs://b/raw").collect()}
+                                                 uri_root="/shared/raw").collect()}
     assert m["AAPL"]["status"] == "SUCCEEDED" and m["AAPL"]["rows"] == 2
-    assert m["AAPL"]["uri"] == "gs://b/raw/run_date=20240101/ticker=AAPL"
+    assert m["AAPL"]["uri"] == "/shared/raw/run_date=20240101/ticker=AAPL"
     assert m["NOPE"]["status"] == "FAILED" and m["NOPE"]["uri"] is None
     s = vendor.manifest_summary(vendor.manifest(uni, bars, run_date="r", start="a", end="b"))
     assert tuple(s.select("succeeded", "failed", "rows").first()) == (1, 1, 2)
