@@ -31,12 +31,12 @@ OPERATORS: dict[str, tuple[Callable, list[str]]] = {
 }
 
 
-def _latest(df: DataFrame):
-    """Duplicate (ticker, date) bars: keep the most recently ingested one (then the
-    larger prices and volumes, then the other columns, so the choice is fixed)."""
-    prefer = [c for c in ("ingested_at", "adj_close", "close", "adj_volume", "volume")
-              if c in df.columns]
-    return prefer
+def _prefer(df: DataFrame) -> list[str]:
+    """Which copy of a duplicate (ticker, date) bar survives: the most recently
+    ingested, then the larger prices and volumes (then the other columns, in
+    ``collapse_copies``), so the choice is fixed."""
+    return [c for c in ("ingested_at", "adj_close", "close", "adj_volume", "volume")
+            if c in df.columns]
 
 
 def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: str = "date",
@@ -46,13 +46,13 @@ def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: st
     """One operator over each instrument's series; keeps key, order, bar columns.
 
     ``dedupe`` keeps one bar per (key, order), the latest ingested; pass False for
-    bars that are unique by construction (it saves a sort and a narrow shuffle).
+    bars that are unique by construction (it saves the collapsing shuffle).
     """
     fn, _ = OPERATORS[name]
     return over_series(
         bars, lambda d, s: fn(d, s, **kwargs), key=key, order=order,
         lookback=feat.LOOKBACK[name], chunk_rows=chunk_rows,
-        latest=_latest(bars) if dedupe else None, min_periods=min_periods, bucket=bucket,
+        latest=_prefer(bars) if dedupe else None, min_periods=min_periods, bucket=bucket,
     )
 
 
@@ -70,7 +70,7 @@ def features(bars: DataFrame, *, run_date: str | Column, processed_at: str | Col
     out = over_series(
         bars, lambda d, s: feat.build_features(d, s, adjusted_atr=adjusted_atr),
         key=key, order=order, lookback=feat.LOOKBACK["all"], chunk_rows=chunk_rows,
-        latest=_latest(bars) if dedupe else None, min_periods=min_periods, bucket=bucket,
+        latest=_prefer(bars) if dedupe else None, min_periods=min_periods, bucket=bucket,
     )
     stamp = processed_at if processed_at is not None else utc_stamp()
     out = feat.add_metadata(out, run_date, stamp, order=order)
