@@ -229,8 +229,9 @@ def with_halo(
 
 def chunk_table(df: DataFrame, key: str, order: str, bucket: Column, *, distinct: bool,
                 chunk_rows: int, lookback: int) -> DataFrame:
-    """Per (key, bucket): its chunk, the chunk's first position, the key's length,
-    and the next chunk whose halo the bucket feeds (or null).
+    """Per (key, bucket) of keys longer than ``chunk_rows``: its chunk, the chunk's
+    first position, the key's length, and the next chunk whose halo the bucket feeds
+    (or null). Keys not listed are one chunk (0) starting at position 0.
 
     Everything here is computed on small tables (one row per key and bucket, or per
     key and chunk). Chunks are whole buckets: bucket b goes to chunk
@@ -269,7 +270,10 @@ def chunk_table(df: DataFrame, key: str, order: str, bucket: Column, *, distinct
     t = t.withColumns({CSTART: F.min("_off").over(wch), "_csize": F.sum("_n").over(wch)})
     end = F.col(CSTART) + F.col("_csize")
     feeds = (end < F.col(TOTAL)) & (F.col("_off") + F.col("_n") > end - F.lit(lookback))
-    return t.select(
+    # Only keys longer than one chunk need a lookup; every other row is chunk 0,
+    # starting at 0, with no halo. Keeping just those keys' buckets keeps this side
+    # of the join small even for millions of instruments (and empty for daily bars).
+    return t.filter(F.col(TOTAL) > F.lit(chunk_rows)).select(
         key, BUCKET, TOTAL,
         F.col(CHUNK).alias("_home_chunk"), F.col(CSTART).alias("_home_start"),
         F.when(feeds, F.floor(end / c).cast("long")).alias("_halo_chunk"),
@@ -282,7 +286,7 @@ def bucket_chunked(df: DataFrame, key: str, order: str, *, bucket: Column | None
                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Rows with their chunk (and halo copies), without numbering the rows: one
     shuffle of the data, to (key, chunk), follows. Input: bars; output adds CHUNK,
-    HALO, CSTART and TOTAL."""
+    HALO, CSTART and TOTAL (TOTAL is null for keys of one chunk)."""
     if not 0 <= lookback <= chunk_rows:
         raise ValueError("lookback must lie in [0, chunk_rows]")
     b = default_bucket(df, order) if bucket is None else bucket
@@ -291,9 +295,12 @@ def bucket_chunked(df: DataFrame, key: str, order: str, *, bucket: Column | None
         base = collapse_copies(base, key, order, latest)
     t = chunk_table(df, key, order, b, distinct=latest is not None,
                     chunk_rows=chunk_rows, lookback=lookback)
-    rows = base.withColumn(BUCKET, b).join(t, [key, BUCKET], "inner")
-    home = F.struct(F.col("_home_chunk").alias(CHUNK), F.lit(False).alias(HALO),
-                    F.col("_home_start").alias(CSTART))
+    # Left join: rows of short keys find no entry and default to chunk 0. AQE
+    # broadcasts the (small) long-key side, or drops the join when it is empty.
+    rows = base.withColumn(BUCKET, b).join(t, [key, BUCKET], "left")
+    home = F.struct(F.coalesce(F.col("_home_chunk"), F.lit(0).cast("long")).alias(CHUNK),
+                    F.lit(False).alias(HALO),
+                    F.coalesce(F.col("_home_start"), F.lit(0).cast("long")).alias(CSTART))
     copy = F.when(F.col("_halo_chunk").isNotNull(), F.struct(
         F.col("_halo_chunk").alias(CHUNK), F.lit(True).alias(HALO),
         F.col("_halo_start").alias(CSTART)))
