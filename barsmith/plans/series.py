@@ -360,6 +360,9 @@ def over_series(
     ``build`` must only use windows from ``series`` and must not reach further
     back than ``lookback`` rows (or ahead than ``lookahead``) except through
     ``Series.running_sum``. Helper columns starting with ``_`` are dropped.
+    A caller's ``bucket`` must be non-null and non-decreasing in ``order`` within a
+    key (the defaults are); it bounds how many rows one bucket, and so one chunk
+    beyond ``chunk_rows``, can hold.
     """
     if lookahead == 0:
         # Bucket-aligned chunks: one shuffle of the rows, windows ordered by `order`.
