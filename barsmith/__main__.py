@@ -68,9 +68,18 @@ def main(argv=None) -> int:
         bars = vendor.normalize(vendor.read_payloads(spark, a.payloads, multi_line=a.multi_line),
                                 utc_stamp())
         bars = vendor.in_window(bars, start, end)
-        if a.tickers:
-            bars = vendor.in_universe(bars, a.tickers.split(","))
+        tickers = a.tickers.split(",") if a.tickers else vendor.DEFAULT_TICKERS
+        bars = vendor.in_universe(bars, tickers)
         ndjson.stage(bars, a.staged, a.run_date)
+        # Manifest (one row per requested ticker) next to the staged files; the
+        # leading underscore keeps it out of the bar scans.
+        universe = spark.createDataFrame([(t,) for t in tickers], "ticker string")
+        staged = ndjson.scan(spark, a.staged, a.run_date)
+        m = vendor.manifest(universe, staged, run_date=a.run_date, start=start, end=end,
+                            uri_root=a.staged)
+        m.write.mode("overwrite").json(
+            f"{a.staged.rstrip('/')}/_manifests/run_date={a.run_date}")
+        print(json.dumps(vendor.manifest_summary(m).first().asDict(), default=str))
     elif a.cmd == "ingest":
         from barsmith.streaming.ingest import ingest_available
 

@@ -32,6 +32,9 @@ def test_stage_then_run(tmp_dir):
               "--run-date", "20240131", "--multi-line", "--tickers", "AAPL,MSFT")
     assert st.returncode == 0, st.stderr[-2000:]
     assert os.path.isdir(f"{tmp_dir}/staged/run_date=20240131/ticker=AAPL")
+    summary = json.loads(st.stdout.strip().splitlines()[-1])
+    assert (summary["succeeded"], summary["failed"], summary["rows"]) == (1, 1, 2)
+    assert os.path.isdir(f"{tmp_dir}/staged/_manifests/run_date=20240131")
     run = _cli("run", "--staged", f"{tmp_dir}/staged", "--out", f"{tmp_dir}/out",
                "--run-date", "20240131")
     assert run.returncode == 0, run.stderr[-2000:]
