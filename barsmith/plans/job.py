@@ -116,7 +116,9 @@ def run_pipeline(spark, staged_root: str, out_path: str, run_date: str, *,
     metrics = ndjson.check_gate(obs.get)
     stored = sinks.read_parquet(spark, out_path)
     if table:
-        sinks.write_table(sinks.conform(stored), table, fmt=table_format, path=table_path)
+        # `stored` is read from year/month directories: no second shuffle.
+        sinks.write_table(sinks.conform(stored), table, fmt=table_format, path=table_path,
+                          rebalance=False)
     views = register_views(stored, as_of) if register else {}
     return {"rows": int(metrics["rows"]), "metrics": metrics, "features": stored,
             "views": views, "path": out_path, "table": table}

@@ -15,14 +15,14 @@ from barsmith.schema import DECLARED_SCHEMA, FEATURE_SCHEMA
 PARTITION_COLUMNS = ("year", "month")
 
 
-def _layout(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+def _layout(df: DataFrame, partition_cols: Sequence[str], rebalance: bool = True) -> DataFrame:
     # REBALANCE: hash by the partition columns, and AQE splits big partitions and
     # merges small ones, so files come out near the advisory size even when one
-    # month holds most of the rows.
-    return (
-        df.hint("rebalance", *partition_cols)
-        .sortWithinPartitions(*partition_cols, "ticker", "date")
-    )
+    # month holds most of the rows. Data read back from a table already laid out by
+    # these columns needs no shuffle: its read splits come from one directory each.
+    if rebalance:
+        df = df.hint("rebalance", *partition_cols)
+    return df.sortWithinPartitions(*partition_cols, "ticker", "date")
 
 
 def write_parquet(features: DataFrame, path: str,
@@ -44,9 +44,13 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def write_table(features: DataFrame, table: str, *, fmt: str = "parquet",
                 path: str | None = None,
-                partition_cols: Sequence[str] = PARTITION_COLUMNS) -> None:
-    """Overwrite a catalog table (``fmt`` pluggable: parquet, orc, or a connector)."""
-    w = _layout(features, partition_cols).write.format(fmt).mode("overwrite")
+                partition_cols: Sequence[str] = PARTITION_COLUMNS,
+                rebalance: bool = True) -> None:
+    """Overwrite a catalog table (``fmt`` pluggable: parquet, orc, or a connector).
+
+    ``rebalance=False`` when the input is read from files already partitioned by
+    ``partition_cols`` (it saves a full shuffle of the table)."""
+    w = _layout(features, partition_cols, rebalance).write.format(fmt).mode("overwrite")
     if path:
         w = w.option("path", path)
     w.partitionBy(*partition_cols).saveAsTable(table)
