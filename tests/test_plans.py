@@ -143,3 +143,19 @@ def test_lookahead_path_equals_lead(spark):
     a, b = got.select("ticker", "date", "nxt"), want.select("ticker", "date", "nxt")
     assert a.count() == 790
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_daily_bars_run_with_one_exchange(spark):
+    """Daily bars never span two chunks, so at runtime AQE drops the chunk-table join
+    and the OBV-offset branch: the executed plan moves the rows exactly once."""
+    from barsmith.sources.fixtures import lineitem_bars
+    from conftest import SMALL
+
+    df = job.features(lineitem_bars(spark, SMALL), run_date="r", processed_at="p",
+                      dedupe=False)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    exchanges = [ln for ln in final.splitlines() if " Exchange " in ln or "+- Exchange" in ln]
+    data_exchanges = [ln for ln in exchanges if "_chunk" in ln]
+    assert len(data_exchanges) == 1, final
+    assert "Join" not in final, final
