@@ -163,3 +163,28 @@ def test_neighbour_equals_lag_and_lead_across_buckets(spark):
         assert r["p"] == ref[(r["ticker"], r["date"])][0]
     for r in got_n:
         assert r["n"] == ref[(r["ticker"], r["date"])][1]
+
+
+def test_documented_consumer_sql_runs_on_registered_views(spark, features):
+    """The four documented consumer queries, as SQL over the registered views, give
+    what the DataFrame functions give."""
+    as_of = dt.date(2023, 1, 2) + dt.timedelta(days=399)
+    vw.register_views(features, as_of)
+    board = spark.sql("""SELECT ticker, momentum_signal, composite_momentum_score
+                         FROM vw_cross_sectional_momentum
+                         ORDER BY composite_momentum_score DESC""")
+    extremes = spark.sql("""SELECT ticker, rsi, rsi_signal, macd_signal FROM vw_rsi_signals
+                            WHERE rsi_signal IN ('OVERBOUGHT', 'OVERSOLD')""")
+    recent = spark.sql(f"""SELECT * FROM vw_ml_feature_set
+                           WHERE date >= date_sub(DATE'{as_of}', 365)""")
+    audit = spark.sql("""SELECT pipeline_run, tickers_loaded, total_rows, invalid_price_count
+                         FROM vw_pipeline_audit ORDER BY pipeline_run DESC LIMIT 10""")
+    pairs = [
+        (board, vw.momentum_board(vw.cross_sectional_momentum(features))),
+        (extremes, vw.rsi_extremes(vw.rsi_signals(features, as_of))),
+        (recent, vw.ml_recent(vw.ml_feature_set(features), as_of)),
+        (audit, vw.audit_recent(vw.pipeline_audit(features))),
+    ]
+    for sql_df, api_df in pairs:
+        assert sql_df.columns == api_df.columns
+        assert sorted(sql_df.collect()) == sorted(api_df.collect())
