@@ -266,7 +266,7 @@ def add_metadata(df: DataFrame, run_date, processed_at, order: str = "date") ->
 
 # ---------------------------------------------------------------- all at once
 def build_features(df: DataFrame, s: Series | None = None, price: str = PRICE,
-                   adjusted_atr: bool = False) -> DataFrame:
+                   adjusted_atr: bool = False, volume: str = "adj_volume") -> DataFrame:
     """All indicators in two window levels over one shared partitioning.
 
     Level 1 windows read only bar columns; level 2 windows read level-1 results
@@ -286,8 +286,8 @@ def build_features(df: DataFrame, s: Series | None = None, price: str = PRICE,
         "_prev": F.lag(price, 1).over(w),
         "_hi52": s.roll(F.max(price), RANGE_SPAN),
         "_lo52": s.roll(F.min(price), RANGE_SPAN),
-        "vol_sma_20": s.roll(F.avg("adj_volume"), VOLUME_SPAN),
-        "vol_std_20": s.roll(F.stddev_samp("adj_volume"), VOLUME_SPAN),
+        "vol_sma_20": s.roll(F.avg(volume), VOLUME_SPAN),
+        "vol_std_20": s.roll(F.stddev_samp(volume), VOLUME_SPAN),
     })
     level1.update({f"_lag{n}": F.lag(price, n).over(w) for n in MOMENTUM_LAGS})
     df = df.withColumns(level1)
@@ -303,8 +303,8 @@ def build_features(df: DataFrame, s: Series | None = None, price: str = PRICE,
         "macd_line": F.col("ema_12") - F.col("ema_26"),
         "log_return": _log_return(x, prev),
         "_tr": _true_range(F.col(hi), F.col(lo), prev),
-        "_obv_delta": _obv_delta(x, prev, F.col("adj_volume")),
-        "vol_zscore": _zscore(F.col("adj_volume"), F.col("vol_sma_20"), F.col("vol_std_20")),
+        "_obv_delta": _obv_delta(x, prev, F.col(volume)),
+        "vol_zscore": _zscore(F.col(volume), F.col("vol_sma_20"), F.col("vol_std_20")),
         "pct_from_52w_high": rel_change(x, F.col("_hi52")),
         "pct_from_52w_low": rel_change(x, F.col("_lo52")),
         "golden_cross": _golden_cross(F.col("sma_50"), F.col("sma_200")),
