@@ -222,3 +222,14 @@ def test_intraday_timestamp_series_chunked_equals_plain(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert {r[0] for r in chunked.select("date_ts").distinct().collect()} == \
         {dt.date(2024, 3, 1), dt.date(2024, 3, 2)}
+
+
+def test_single_bar_and_empty_input(spark):
+    one = job.features(make_bars(spark, [5.0]), run_date="r", processed_at="p").collect()
+    assert len(one) == 1
+    r = one[0]
+    assert (r["sma_200"], r["rsi"], r["obv"], r["golden_cross"]) == (5.0, 100.0, 0, 0)
+    assert r["bb_std"] is None and r["log_return"] is None and r["momentum_20d"] is None
+    assert r["atr_14"] == pytest.approx(5.0 * 1.01 - 5.0 * 0.99)
+    empty = make_bars(spark, [1.0]).limit(0)
+    assert job.features(empty, run_date="r", processed_at="p").count() == 0
