@@ -133,6 +133,18 @@ def main() -> None:
         chunk_rows=25_000, dedupe=False))
     reference = {"skewed_ticks_features_per_ticker_window": timed(lambda: job.features_plain(
         ticks, run_date="r", processed_at="p", order="seq"))}
+    # The most rows one window task holds (halo copies included): the number that
+    # bounds task memory and time on a cluster, independent of this machine's noise.
+    from pyspark.sql import functions as F
+
+    from barsmith.plans.series import bucket_chunked
+
+    groups = bucket_chunked(ticks, "ticker", "seq", bucket=tick_day_bucket(), lookback=251,
+                            chunk_rows=25_000).groupBy("ticker", "_chunk").count()
+    largest = {
+        "per_ticker_window": ticks.groupBy("ticker").count().agg(F.max("count")).first()[0],
+        "chunked": groups.agg(F.max("count")).first()[0],
+    }
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -144,6 +156,7 @@ def main() -> None:
         "cpus": int(cpus),
         "bars": res["rows"],
         "reference_plan": reference,
+        "skewed_largest_window_group_rows": largest,
         "timing": f"best of {REPEAT} runs per query; pipeline_end_to_end single run",
     }))
     spark.stop()
