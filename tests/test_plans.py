@@ -98,6 +98,13 @@ def test_hot_instrument_is_split_over_chunks(spark):
                     chunk_rows=300, lookback=251)
     chunks = t.filter(F.col("ticker") == "HOT").select("_home_chunk").distinct().count()
     assert chunks >= n_hot // (300 + 50)      # ~chunk_rows rows (plus a day) per chunk
+    # No window group exceeds chunk_rows + one bucket + the halo.
+    from barsmith.plans.series import bucket_chunked
+    day = ticks.groupBy("ticker", tick_day_bucket().alias("d")).count().agg(F.max("count"))
+    biggest_day = day.first()[0]
+    groups = bucket_chunked(ticks, "ticker", "seq", bucket=tick_day_bucket(), lookback=251,
+                            chunk_rows=300).groupBy("ticker", "_chunk").count()
+    assert groups.agg(F.max("count")).first()[0] <= 300 + biggest_day + 251 + biggest_day
 
 
 def test_small_chunks_merge_and_halo_feeds_one_chunk(spark):
