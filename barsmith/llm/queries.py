@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.llm.common import read_table
 
 
+def id_crc(doc_id: str) -> Column:
+    """crc32 of the id as text."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary"))
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barsmith.llm.line_dedup import dedup_lines
 
@@ -24,7 +29,29 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from barsmith.llm.tokens import token_counts
+
+    out = token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+    return out.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barsmith.llm.langid import dictionaries, identify
+
+    docs = read_table(spark, sf_dir, "documents")
+    remainder = id_crc("doc_id") % 4
+    out = identify(docs, dictionaries(docs, remainder != 2))
+    return out.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"),
+                      F.col("lang_best").alias("lang_pred"), F.col("lang_score").alias("score"),
+                      (F.col("lang_id") != F.col("lang_best")).alias("rejected"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
+    "op7_token_counts": op7_token_counts,
+    "op8_language_id": op8_language_id,
 }
