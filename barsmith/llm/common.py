@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.session import ensure_checkpoint_dir, scratch_path
+from barsmith.session import ensure_checkpoint_dir, scratch_path  # noqa: F401
 
 #: ASCII white space, as the contracts name it: [\x20\x09-\x0D].
 WS = " \t\n\x0b\x0c\r"

@@ -29,6 +29,23 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+# The contract's rules (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barsmith.llm.urls import judge
+
+    out = judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, default="allow")
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barsmith.llm.ann import nearest
+
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,6 +69,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
+    "op4_url_filter": op4_url_filter,
+    "op6_neighbours": op6_neighbours,
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
 }

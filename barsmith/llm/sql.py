@@ -25,6 +25,22 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE
 FROM marked GROUP BY r
 """
 
+OP4 = f"""
+WITH parts AS (
+  SELECT page_id,
+    {_LOWER.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), rules(h, p, v) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), fits AS (
+  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) AS k
+  FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+)
+SELECT page_id, host, path, h || p AS rule, coalesce(v, 'allow') AS verdict FROM fits WHERE k = 1
+"""
+
 ORACLE = {
+    "op4_url_filter": OP4,
     "op1_line_dedup": OP1,
 }
