@@ -29,6 +29,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barsmith.llm.warc import summary, write_archives
+
+    out = summary(write_archives(read_table(spark, sf_dir, "pages"), min_bytes=0))
+    return out.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast("long").alias("refers_to"))
+
+
 # The contract's rules (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -69,6 +77,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
     "op6_neighbours": op6_neighbours,
     "op7_token_counts": op7_token_counts,

@@ -25,6 +25,20 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE
 FROM marked GROUP BY r
 """
 
+OP3 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS d FROM pages
+), f AS (
+  SELECT body, min(page_id) AS first FROM p GROUP BY body
+)
+SELECT page_id, strlen(body) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (((('0x' || substr(d, 1 + 5 * (j // 4)::INT, 5))::INT >> (15 - 5 * (j % 4))::INT) & 31))::INT, 1) FOR j IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (body)
+"""
+
 OP4 = f"""
 WITH parts AS (
   SELECT page_id,
@@ -41,6 +55,7 @@ SELECT page_id, host, path, h || p AS rule, coalesce(v, 'allow') AS verdict FROM
 """
 
 ORACLE = {
+    "op3_warc": OP3,
     "op4_url_filter": OP4,
     "op1_line_dedup": OP1,
 }
