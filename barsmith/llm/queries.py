@@ -48,6 +48,21 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+#: Scores under this are predicted 0.
+QUALITY_THRESHOLD = 0.3
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barsmith.llm.quality import learn, score
+
+    docs = read_table(spark, sf_dir, "documents")
+    remainder = id_crc("doc_id") % 5
+    model = learn(docs, read_table(spark, sf_dir, "labels"), remainder != 0)
+    return score(docs, model).select(
+        "doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barsmith.llm.ann import nearest
 
@@ -79,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
+    "op5_quality": op5_quality,
     "op6_neighbours": op6_neighbours,
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
