@@ -89,6 +89,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("lang_id") != F.col("lang_best")).alias("rejected"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barsmith.llm.decontaminate import matches
+
+    return matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
@@ -98,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_neighbours": op6_neighbours,
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
+    "op9_decontaminate": op9_decontaminate,
 }
