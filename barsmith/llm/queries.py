@@ -95,6 +95,23 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def label_domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labels table: toxic, else low (quality 0), else clean."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "clean")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+#: Target weights of the domains in the mix, over all tokens.
+MIX_TARGETS = {"clean": 0.9, "low": 0.08, "toxic": 0.02}
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barsmith.llm.mixing import mix
+
+    out = mix(read_table(spark, sf_dir, "documents"), label_domains(read_table(spark, sf_dir, "labels")), MIX_TARGETS)
+    return out.select("doc_id", "n_tokens", "domain", *[F.col("posteriors")[d].alias(f"p_{d}") for d in sorted(MIX_TARGETS)], "rate")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
@@ -105,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_language_id": op8_language_id,
     "op9_decontaminate": op9_decontaminate,
+    "op10_mixing": op10_mixing,
 }
