@@ -176,7 +176,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, text
                      .groupBy(*named).agg(F.sum("n").cast("double").alias("n")), "mixing-mass")
     steps = fit_rates(mass_of, weights, total, iterations=iterations, tolerance=tolerance)
     own = [free_name(taken, f"_posterior_{i}") for i in range(len(named))]
-    out = with_posteriors(docs, model, x, names[0], own)
+    # A row number is not deterministic, so a caller's filter on the rate stays above this
+    # step: pushed below it, the posteriors would be computed again for every gradient step.
+    row = free_name([*taken, *own], "_row")
+    out = with_posteriors(docs, model, x, names[0], own).withColumn(row, F.monotonically_increasing_id())
     keys = F.array(*[F.lit(d) for d in model.domains])
     likeliest = F.element_at(keys, F.array_position(F.array(*own), F.greatest(*own) if len(own) > 1 else F.col(own[0])).cast("int"))
-    return out.withColumns({names[1]: F.map_from_arrays(keys, F.array(*own)), names[2]: likeliest, names[3]: rate_of(own, steps)}).drop(*own)
+    return out.withColumns({names[1]: F.map_from_arrays(keys, F.array(*own)), names[2]: likeliest, names[3]: F.when(F.col(row) >= 0, rate_of(own, steps))}).drop(*own, row)
