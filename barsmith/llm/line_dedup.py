@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from barsmith.llm.common import free_name, stored
 
@@ -137,7 +138,7 @@ def _twice_filter(texts: DataFrame, min_chars: int, segment_bits: int) -> np.nda
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _without_lines(text: pd.Series, drops: pd.Series) -> pd.Series:
     def one(t, gone):
         if t is None or gone is None:

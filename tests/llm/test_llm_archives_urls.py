@@ -1,0 +1,127 @@
+"""WARC archives and URL rules: round trips, damage, and plain Python versions."""
+
+import hashlib
+import base64
+
+import pytest
+import xxhash
+import zstandard
+
+from barsmith.llm import urls, warc
+
+
+def brute_warc(rows, min_bytes=0):
+    first = {}
+    for i, _, h in rows:
+        body = (h or "").encode()
+        if i is not None and len(body) >= min_bytes:
+            first[body] = min(first.get(body, i), i)
+    out = []
+    for i, _, h in rows:
+        body = (h or "").encode()
+        f = first.get(body)
+        revisit = f is not None and f != i
+        out.append((i, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "revisit" if revisit else "response", f if revisit else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("min_bytes", [0, 2])
+def test_warc_round_trip(spark, min_bytes):
+    rows = [(1, "u", "x"), (2, None, "x"), (3, "a\r\nWARC-Type: evil", None), (4, "u", ""), (None, "u", "x"), (2, None, "x"), (None, None, "y"),
+            (6, "http://é/", "é" * 5), (5, "u", "é" * 5), (7, "u", "z" * 300_000), (8, "u", "\r\n\r\nWARC/1.1\r\n")]
+    rows += [(100 + i, f"u{i}", f"<html>page {i} of many</html>" * 20) for i in range(60)]
+    pages = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, digest string, archive string")
+    archives = warc.write_archives(pages, min_bytes=min_bytes, archive_bytes=20_000)
+    assert archives.count() > 1
+    got = warc.summary(archives).collect()
+    key = lambda r: (r["page_id"] and int(r["page_id"]), r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"] and int(r["refers_to"]))
+    assert sorted(map(key, got), key=repr) == brute_warc(rows, min_bytes)
+    records = warc.read_archives(archives).filter("record_type = 'response'").collect()
+    texts = {r["record_id"]: bytes(r["payload"]).decode() for r in records}
+    assert texts["urn:page:7"] == "z" * 300_000 and texts["urn:page:8"] == "\r\n\r\nWARC/1.1\r\n"
+    assert next(r["target_uri"] for r in records if r["record_id"] == "urn:page:3") == "a%0D%0AWARC-Type: evil"
+    assert warc.summary(warc.write_archives(pages.limit(0))).collect() == []
+
+
+def archive(n=40, **change):
+    records = [warc.record(f"urn:page:{i}", "response", "u", "2024-01-01T00:00:00Z", f"body {i} ".encode() * 30, warc.base32_sha1(f"body {i} ".encode() * 30), None) for i in range(n)]
+    return records, warc.pack_archive(records, 2048, 1 << 20, 3)
+
+
+def test_dictionary_leads_and_frames_are_records():
+    records, packed = archive()
+    assert packed[:4] == warc.DICTIONARY_MAGIC
+    assert list(warc.frames(packed)) == records
+    size = int.from_bytes(packed[4:8], "little")
+    plain = zstandard.ZstdDecompressor().decompress(packed[8:8 + size])
+    uncompressed = warc.DICTIONARY_MAGIC + len(plain).to_bytes(4, "little") + plain + packed[8 + size:]
+    assert list(warc.frames(uncompressed)) == records  # a dictionary frame may also hold it plain
+
+
+@pytest.mark.parametrize(("spoil", "problem"), [
+    (lambda r: r.replace(b"WARC/1.1", b"WARC/9.9"), "no WARC/1.1 header"),
+    (lambda r: r.replace(b"WARC-Date", b"WARC-Dat"), "missing WARC-Date"),
+    (lambda r: r[:-5] + r[-4:], "Content-Length"),
+    (lambda r: r.replace(b"body", b"bodi"), "digest"),
+    (lambda r: r.replace(b"WARC-Type: r", b"nonsense r"), "not a named field"),
+])
+def test_invalid_records_are_told(spark, spoil, problem):
+    assert problem in warc.parse(spoil(archive(1)[0][0]))["problem"]
+
+
+def test_damaged_archives(spark):
+    records, packed = archive()
+    rows = [("whole", packed), ("cut", packed[:-10]), ("noise", b"not zstandard at all"), ("empty", b""), ("none", None), ("dictionary only", packed[:20])]
+    got = warc.read_archives(spark.createDataFrame(rows, "archive string, content binary")).collect()
+    bad = {r["archive"]: r["problem"] for r in got if r["problem"]}
+    assert set(bad) == {"cut", "noise", "dictionary only"}
+    assert sum(r["archive"] == "whole" for r in got) == 40 and sum(r["archive"] == "cut" for r in got) == 40
+    with pytest.raises(Exception, match="cut off"):
+        warc.read_archives(spark.createDataFrame(rows[1:2], "archive string, content binary"), strict=True).collect()
+
+
+def test_files_of_the_format(spark, tmp_path):
+    _, packed = archive()
+    (tmp_path / "a.warc.zst").write_bytes(packed)
+    (tmp_path / "b.txt").write_text("no archive")
+    got = warc.read_archives(warc.open_archives(spark, str(tmp_path)))
+    assert got.count() == 40 and got.filter("problem is not null").count() == 0
+
+
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"), ("a.b", "", "block")]
+
+
+def brute_url(url):
+    if url is None or "://" not in url:
+        return "", "", None, "allow"
+    rest = url.split("://", 1)[1]
+    cut = min([rest.index(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    tail = rest[cut:]
+    path = tail[:min([tail.index(c) for c in "?#" if c in tail], default=len(tail))]
+    fits = [(len(h + p), h + p, v) for h, p, v in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, *(max(fits)[1:] if fits else (None, "allow")))
+
+
+def test_url_rules(spark):
+    given = ["http://x.example.net/en/1?q#f", "http://example.net/de", "https://EXAMPLE.com/de/x", "http://example.com/DE/", "http://notnet/", "http://net", "http://net?x/",
+             "http://a.net/x://b.org/fr/", "http://a.org/fr/x", "no scheme", "", None, "://", "http://", "http://É.NET/", "http://user@x.net:80/", "http://z.a.b", "http://a.b?",
+             "http://" + "a." * 5000 + "net/" + "p" * 100_000, "http://x.net/\nline", "http://.net/", "http://x.example.net/en"]
+    pages = spark.createDataFrame([(i, u, "mine") for i, u in enumerate([*given, given[0]])], "page_id long, url string, host string")
+    out = urls.judge(pages, RULES)
+    assert out.columns == ["page_id", "url", "host", "_host", "path", "rule", "verdict"]
+    for r in out.collect():
+        assert (r["_host"], r["path"], r["rule"], r["verdict"]) == brute_url(r["url"]), r["url"]
+    assert urls.judge(pages.limit(0), RULES).collect() == []
+    assert {r["verdict"] for r in urls.judge(pages, []).collect()} == {"allow"}
+    with pytest.raises(ValueError, match="more than"):
+        urls.judge(pages, RULES, max_rules=2)
+    with pytest.raises(ValueError, match="not a rule"):
+        urls.judge(pages, [("a", "b", "block")])
+
+
+def test_colliding_keys_are_confirmed(tmp_path, monkeypatch):
+    """With every key equal, only the stored strings decide."""
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda s: 7)
+    (tmp_path / "f").write_bytes(urls.pack(["net/", "org/", "a.b"], ["1", "2", "3"]))
+    assert urls.DigestArray(str(tmp_path / "f")).find([b"org/", b"x", b"a.b", b"net/"]) == ["2", None, "3", "1"]
