@@ -6,8 +6,8 @@ Built-in DataFrame functions only; no Python runs on the executors.
    of a document are its distinct lower-case words, and two shape words: how much of it
    is blanks and punctuation, how many of its words differ. On a bounded sample
    of labelled rows (about ``sample_rows``, by a hash of the id) documents are
-   counted per feature and domain. Features that make some
-   domain ``min_lift`` times as likely as it is overall, the ``max_features`` best of
+   counted per feature and domain. Features that are
+   ``min_lift`` times as frequent in some domain as in the others, the ``max_features`` best of
    them by the G statistic (``min_g`` at least), make a Bernoulli naive Bayes model: one row
    per feature, a weight per domain, and a base weight for the absence of all of them.
 2. Posteriors of every document, from its whole text.
@@ -96,7 +96,8 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: list[str], *, text: str
     g = F.lit(0.0)
     for i, d in enumerate(named):
         g = g + g_part(F.col(f"n{i}"), F.col("n") * sizes[d] / rows) + g_part(F.lit(sizes[d]) - F.col(f"n{i}"), (F.lit(rows) - F.col("n")) * sizes[d] / rows)
-    lift = F.greatest(F.lit(0.0), *[F.col(f"n{i}") * rows / (F.col("n") * sizes[d]) for i, d in enumerate(named)])
+    lift = F.greatest(F.lit(0.0), *[((F.col(f"n{i}") + smooth) / (sizes[d] + 2 * smooth))
+                                    / ((F.col("n") - F.col(f"n{i}") + smooth) / (rows - sizes[d] + 2 * smooth)) for i, d in enumerate(named)])
     top = counted.filter((F.col("n") < rows) & (lift >= min_lift)).withColumn("g", g).filter(F.col("g") >= min_g).orderBy(F.desc("g"), "f").limit(max_features).collect()
 
     def share(count: int, d: str) -> float:
