@@ -18,10 +18,10 @@ import sys
 
 
 def _session():
-    from barsmith.session import ensure_checkpoint_dir, session_builder
+    from barsmith.session import ensure_checkpoint_dir, get_session
 
-    spark = session_builder("barsmith").getOrCreate()
-    ensure_checkpoint_dir(spark)
+    spark = get_session("barsmith")
+    ensure_checkpoint_dir(spark, local_fallback=False)
     return spark
 
 
@@ -31,7 +31,7 @@ def main(argv=None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
 
     r = sub.add_parser("run", help="features + sinks + views for one run")
-    r.add_argument("--staged", required=True, help="root of staged NDJSON (run_date=/ticker=)")
+    r.add_argument("--staged", required=True, help="root of staged NDJSON (run_date=)")
     r.add_argument("--out", required=True, help="Parquet output path for the feature table")
     r.add_argument("--run-date", default=today)
     r.add_argument("--table", default=None, help="also write this catalog table")

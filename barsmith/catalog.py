@@ -159,7 +159,7 @@ def q_rsi_extremes(spark, sf_dir):
 
 def q_ml_recent(spark, sf_dir):
     f = stored_features(spark, sf_dir)
-    return rounded(vw.ml_recent(vw.ml_feature_set(f), bars_as_of(spark, sf_dir)))
+    return rounded(vw.recent_ml_feature_set(f, bars_as_of(spark, sf_dir)))
 
 
 def q_audit_recent(spark, sf_dir):
@@ -295,7 +295,82 @@ def q_stream_ingest(spark, sf_dir):
     return rounded(spark.read.parquet(out).select(*BAR_COLUMNS))
 
 
+# ---------------------------------------------------------------- the paths built for scale
+def split_bars(spark: SparkSession, sf_dir: str) -> dict:
+    """Arguments that cut every long instrument of the test bars in several chunks."""
+    return {"chunk_rows": 251, "bucket": F.expr("year(date) * 12 + month(date)")}
+
+
+def q_features_chunked(spark, sf_dir):
+    return rounded(test_features(spark, sf_dir, **split_bars(spark, sf_dir)))
+
+
+def with_copies(bars: DataFrame) -> DataFrame:
+    """The bars, and older copies of a third of them with other prices."""
+    old = bars.filter("day(date) % 3 = 0").withColumn("adj_close", F.col("adj_close") * 1.5).withColumn(
+        "ingested_at", F.lit("2023-06-01T00:00:00"))
+    return bars.unionByName(old)
+
+
+def q_features_dedupe(spark, sf_dir):
+    bars = with_copies(stored_bars(spark, sf_dir))
+    return rounded(job.features(bars, run_date=run_of(), processed_at=PROCESSED_AT, dedupe=True,
+                                **split_bars(spark, sf_dir)))
+
+
+def q_rank_ties(spark, sf_dir):
+    """Percent ranks of a column with ties and nulls, in every order."""
+    from barsmith.plans.rank import percent_ranks
+
+    v = F.when(F.col("volume") % 5 != 0, (F.col("volume") % 7).cast("double"))
+    bars = stored_bars(spark, sf_dir).select("ticker", "date", v.alias("v"))
+    return rounded(percent_ranks(bars, {
+        f"{'desc' if d else 'asc'}_{'last' if n else 'first'}": ("v", d, n) for d in (True, False) for n in (True, False)}))
+
+
+def q_sql_views(spark, sf_dir):
+    vw.register_views(stored_features(spark, sf_dir), bars_as_of(spark, sf_dir))
+    return rounded(spark.sql("SELECT ticker, momentum_signal, composite_momentum_score "
+                             "FROM vw_cross_sectional_momentum"))
+
+
+def q_pipeline_rerun(spark, sf_dir):
+    """Two runs of the batch job into one output: all instruments, then half of them from
+    the middle of a month. Every row of either run is there."""
+    from barsmith.session import scratch_path
+
+    staged, out = scratch_path(spark, "staged"), scratch_path(spark, "runs")
+    bars = lineitem_bars(spark, sf_dir)
+    ndjson.stage(bars, staged, "20240101")
+    ndjson.stage(bars.filter("ticker % 2 = 0 AND date >= DATE '1995-03-15'"), staged, "20240102")
+    for run in ("20240101", "20240102"):
+        job.run_pipeline(spark, staged, out, run, processed_at=PROCESSED_AT, register=False)
+    return rounded(sinks.read_runs(spark, out))
+
+
+def q_pipeline_gate(spark, sf_dir):
+    """The batch job's account of staged lines with copies, bad dates and broken lines."""
+    from barsmith.session import scratch_path
+
+    staged = scratch_path(spark, "staged")
+    bars = lineitem_bars(spark, sf_dir)
+    undated = bars.filter("day(date) % 7 = 0").withColumn("date", F.lit(None).cast("date"))
+    ndjson.stage(with_copies(bars).unionByName(undated), staged, RUN_DATE)
+    broken = bars.filter("day(date) % 10 = 0").select(F.concat(F.lit('{"ticker": "'), "ticker"))
+    broken.write.mode("append").text(f"{staged}/run_date={RUN_DATE}")
+    res = job.run_pipeline(spark, staged, scratch_path(spark, "runs"), RUN_DATE,
+                           processed_at=PROCESSED_AT, register=False)
+    names = ("rows", "corrupt_rows", "unusable_rows", "duplicate_rows", "written_rows")
+    return spark.createDataFrame([tuple(res["metrics"][n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
 SOURCE_QUERIES = {
+    "features_chunked": q_features_chunked,
+    "features_dedupe": q_features_dedupe,
+    "rank_ties": q_rank_ties,
+    "sql_views": q_sql_views,
+    "pipeline_rerun": q_pipeline_rerun,
+    "pipeline_gate": q_pipeline_gate,
     "ingest_normalize": q_ingest_normalize,
     "ingest_window": q_ingest_window,
     "ingest_universe": q_ingest_universe,

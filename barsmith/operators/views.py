@@ -21,7 +21,7 @@ from barsmith.functions.columns import (
     safe_ratio,
     vol_regime_label,
 )
-from barsmith.plans.rank import MAX_LOCAL_ROWS, percent_ranks
+from barsmith.plans.rank import percent_ranks
 from barsmith.plans.series import neighbour
 
 # View column lists, in output order.
@@ -99,8 +99,7 @@ def latest_snapshot(features: DataFrame, key: str = "ticker", order: str = "date
     )
 
 
-def cross_sectional_momentum(features: DataFrame, *, best_is_high: bool = False,
-                             max_local_rows: int = MAX_LOCAL_ROWS) -> DataFrame:
+def cross_sectional_momentum(features: DataFrame, *, best_is_high: bool = False) -> DataFrame:
     """Percent ranks of the latest rows; composite = 0.4 p20 + 0.6 p60.
 
     As specified, momentum ranks run in *descending* order, so the strongest
@@ -114,7 +113,7 @@ def cross_sectional_momentum(features: DataFrame, *, best_is_high: bool = False,
         "momentum_20d_pctrank": ("momentum_20d", desc, desc),
         "momentum_60d_pctrank": ("momentum_60d", desc, desc),
         "vol_pctrank": ("annualized_vol_20d", False, False),
-    }, max_local_rows=max_local_rows)
+    })
     score = (F.lit(MOMENTUM_WEIGHTS["m20"]) * F.col("momentum_20d_pctrank")
              + F.lit(MOMENTUM_WEIGHTS["m60"]) * F.col("momentum_60d_pctrank"))
     return (
@@ -169,7 +168,10 @@ def volatility_regime(features: DataFrame, as_of=None, *, days: int = REGIME_DAY
 
 
 def ml_feature_set(features: DataFrame) -> DataFrame:
-    """Feature matrix with the next row's close as label; rows without one dropped."""
+    """Feature matrix with the next row's close as label; rows without one dropped.
+
+    The label looks forward only, so rows before a date can be filtered out of
+    ``features`` first: the rows after it come out the same."""
     base = neighbour(features, {"next_close": "adj_close"}, direction=1)
     x, nxt = F.col("adj_close"), F.col("next_close")
     out = base.filter(
@@ -226,6 +228,12 @@ def ml_recent(ml: DataFrame, as_of, *, days: int = ML_RECENT_DAYS) -> DataFrame:
     return ml.filter(_since(ml, resolve_as_of(ml, as_of), days))
 
 
+def recent_ml_feature_set(features: DataFrame, as_of=None, *, days: int = ML_RECENT_DAYS) -> DataFrame:
+    """``ml_recent`` of the whole matrix, from the feature table: the date filter runs below
+    the label's window, so it prunes the scan."""
+    return ml_feature_set(features.filter(_since(features, resolve_as_of(features, as_of), days)))
+
+
 def audit_recent(audit: DataFrame, n: int = 10) -> DataFrame:
     return audit.select(
         "pipeline_run", "tickers_loaded", "total_rows", "invalid_price_count"

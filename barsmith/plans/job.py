@@ -6,9 +6,10 @@ import datetime as _dt
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from barsmith.operators import features as feat
-from barsmith.plans.series import DEFAULT_CHUNK_ROWS, Series, over_series
+from barsmith.plans.series import Series, collapse_copies, over_series
 from barsmith.schema import FEATURE_COLUMNS
 
 # Operator name -> (function, columns it adds).
@@ -40,7 +41,7 @@ def _prefer(df: DataFrame) -> list[str]:
 
 
 def apply_operator(bars: DataFrame, name: str, *, key: str = "ticker", order: str = "date",
-                   chunk_rows: int = DEFAULT_CHUNK_ROWS, dedupe: bool = True,
+                   chunk_rows: int | None = None, dedupe: bool = True,
                    min_periods: bool = False, bucket: Column | None = None,
                    **kwargs) -> DataFrame:
     """One operator over each instrument's series; keeps key, order, bar columns.
@@ -62,7 +63,7 @@ def utc_stamp() -> str:
 
 
 def features(bars: DataFrame, *, run_date: str | Column, processed_at: str | Column | None = None,
-             key: str = "ticker", order: str = "date", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+             key: str = "ticker", order: str = "date", chunk_rows: int | None = None,
              adjusted_atr: bool = False, dedupe: bool = True,
              min_periods: bool = False, bucket: Column | None = None) -> DataFrame:
     """The 54-column feature table from bars (series chunked; with ``dedupe`` one bar
@@ -92,33 +93,48 @@ def features_plain(bars: DataFrame, *, run_date, processed_at=None, key: str = "
 def run_pipeline(spark, staged_root: str, out_path: str, run_date: str, *,
                  processed_at: str | None = None, table: str | None = None,
                  table_format: str = "parquet", table_path: str | None = None,
-                 as_of=None, register: bool = True,
-                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> dict:
-    """The daily batch: staged NDJSON of one run -> features -> Parquet (-> table, views).
-
-    The features are computed once: the Parquet write is the only action over the
-    raw data, the load counters ride on it (``observe``), and the table sink and
-    the views read the written files. An empty load raises ``EmptyLoad`` after the
-    write, which, being a dynamic partition overwrite of zero rows, replaced nothing.
-
-    ``out_path`` is overwritten per (year, month) partition: a run replaces the
-    months its bars cover and leaves the others (pass a per-run path to keep every
-    run's output separately, as the reference's dated output folders do).
+                 as_of=None, register: bool = True, max_unusable: int | None = None,
+                 chunk_rows: int | None = None) -> dict:
+    """The daily batch: staged NDJSON of one run -> bar store -> features -> Parquet (->
+    table, views).
+
+    The NDJSON is scanned once: its usable lines, one per (ticker, date), become a Parquet
+    bar store in the shared folder while counters ride along, and the features are
+    computed from that store. Every scanned line is accounted for in the metrics: rows =
+    unusable_rows (no ticker or date; corrupt_rows is how many did not parse) +
+    duplicate_rows + written_rows; anything else raises ``LossyLoad``, as do more than
+    ``max_unusable`` unusable lines. An empty load raises ``EmptyLoad``. All this is checked
+    before the output is touched.
+
+    Each run has its own folder, ``out_path/run_date=<run>``; repeating a run replaces that
+    folder and nothing else. ``sinks.read_runs`` reads all of them. The catalog table
+    holds the rows of the run that wrote it last.
     """
     from barsmith.operators.views import register_views
+    from barsmith.session import scratch_path
     from barsmith.sources import ndjson, sinks
 
-    raw = ndjson.scan(spark, staged_root, run_date)
-    feats = features(ndjson.to_bars(raw), run_date=run_date,
-                     processed_at=processed_at or utc_stamp(), chunk_rows=chunk_rows)
-    feats, obs = ndjson.observed(feats, name=f"load_{run_date}")
-    sinks.write_parquet(feats, out_path)
-    metrics = ndjson.check_gate(obs.get)
-    stored = sinks.read_parquet(spark, out_path)
+    raw, seen = ndjson.observed(ndjson.scan(spark, staged_root, run_date), name=f"scan_{run_date}")
+    bars = ndjson.to_bars(raw)
+    usable = bars.filter(F.col("ticker").isNotNull() & F.col("date").isNotNull())
+    store = scratch_path(spark, f"bars-{run_date}")
+    collapse_copies(usable, "ticker", "date", _prefer(bars)).write.parquet(store)
+    stored_bars = spark.read.schema(bars.schema).parquet(store)
+    metrics = {k: int(v) for k, v in seen.get.items()}
+    written = stored_bars.count()
+    metrics |= {"written_rows": written, "duplicate_rows": metrics.get("rows", 0) - metrics.get("unusable_rows", 0) - written}
+    ndjson.check_gate(metrics, max_unusable)
+    feats = features(stored_bars, run_date=run_date, processed_at=processed_at or utc_stamp(),
+                     chunk_rows=chunk_rows, dedupe=False)
+    path = sinks.run_path(out_path, run_date)
+    sinks.write_parquet(feats, path)
+    stored = sinks.read_parquet(spark, path)
+    if (kept := stored.count()) != written:
+        raise ndjson.LossyLoad(f"{written} bars gave {kept} feature rows")
     if table:
         # `stored` is read from year/month directories: no second shuffle.
         sinks.write_table(sinks.conform(stored), table, fmt=table_format, path=table_path,
                           rebalance=False)
     views = register_views(stored, as_of) if register else {}
-    return {"rows": int(metrics["rows"]), "metrics": metrics, "features": stored,
-            "views": views, "path": out_path, "table": table}
+    return {"rows": written, "metrics": metrics, "features": stored,
+            "views": views, "path": path, "table": table}

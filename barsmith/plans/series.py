@@ -350,20 +350,33 @@ def over_series(
     order: str = "date",
     lookback: int,
     lookahead: int = 0,
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = None,
     bucket: Column | None = None,
     latest: Sequence[str] | None = None,
     min_periods: bool = False,
 ) -> DataFrame:
     """Run ``build(frame, series)`` over each key's ordered series, chunked.
 
+    A series ordered by DATE is bounded by its type (one row per key and day, 366 a
+    year), so it runs as one plain window per key: one shuffle, no chunk table. Other
+    orders, and any call that names ``chunk_rows`` or ``bucket``, are cut in chunks
+    (DEFAULT_CHUNK_ROWS unless named).
+
     ``build`` must only use windows from ``series`` and must not reach further
     back than ``lookback`` rows (or ahead than ``lookahead``) except through
-    ``Series.running_sum``. Helper columns starting with ``_`` are dropped.
+    ``Series.running_sum``. Helper columns (``_`` names that ``df`` has not) are dropped.
     A caller's ``bucket`` must be non-null and non-decreasing in ``order`` within a
     key (the defaults are); it bounds how many rows one bucket, and so one chunk
     beyond ``chunk_rows``, can hold.
     """
+    if (chunk_rows is None and bucket is None and lookahead == 0
+            and isinstance(df.schema[order].dataType, DateType)):
+        base = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
+        if latest is not None:
+            base = collapse_copies(base, key, order, latest)
+        out = build(base, Series.plain(key, order, min_periods=min_periods))
+        return out.drop(*[c for c in out.columns if c.startswith("_") and c not in df.columns])
+    chunk_rows = DEFAULT_CHUNK_ROWS if chunk_rows is None else chunk_rows
     if lookahead == 0:
         # Bucket-aligned chunks: one shuffle of the rows, windows ordered by `order`.
         frame = bucket_chunked(df, key, order, bucket=bucket, latest=latest,
@@ -381,7 +394,7 @@ def over_series(
         long_out = build(long_keys, Series.of_chunks(key, order, min_periods, by_order)
                          ).filter(~F.col(HALO))
         out = _finish_running(out, long_out, s)
-    return out.drop(*[c for c in out.columns if c.startswith("_")])
+    return out.drop(*[c for c in out.columns if c.startswith("_") and c not in df.columns])
 
 
 def neighbour(
@@ -404,6 +417,12 @@ def neighbour(
     """
     if direction not in (-1, 1):
         raise ValueError("direction must be -1 or 1")
+    if bucket is None and isinstance(df.schema[order].dataType, DateType):
+        # At most one row per key and day: a plain window is bounded by the type.
+        whole = Window.partitionBy(key).orderBy(order)
+        step = F.lag if direction < 0 else F.lead
+        return df.filter(F.col(key).isNotNull() & F.col(order).isNotNull()).withColumns(
+            {out: step(src).over(whole) for out, src in cols.items()})
     b = default_bucket(df, order) if bucket is None else bucket
     d = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull()).withColumn(BUCKET, b)
     w = Window.partitionBy(key, BUCKET).orderBy(order)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,11 +19,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return d or None
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a local one only when none is set.
+def ensure_checkpoint_dir(spark: SparkSession, *, local_fallback: bool = True) -> str:
+    """Return the checkpoint folder; a local one is made only for tests.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    The local fallback exists for tests and single-machine runs.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; where
+    it is unset the call raises, because executors would not see each other's files.
+    Only a ``local[...]`` master, whose one machine sees its own folders, falls back to a
+    temporary one (not with ``local_fallback=False``, as the command line does).
     """
     d = checkpoint_dir(spark)
     if d:
@@ -30,6 +33,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not (hasattr(sc, "getCheckpointDir") and sc.getCheckpointDir()):
             sc.setCheckpointDir(d)
         return d.rstrip("/")
+    if not (local_fallback and re.match(r"local(\[|$)", spark.sparkContext.master)):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     d = tempfile.mkdtemp(prefix="barsmith-ck-")
     spark.sparkContext.setCheckpointDir(d)
     return d
@@ -40,21 +45,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/barsmith/{name}-{uuid.uuid4().hex[:12]}"
 
 
-# The job's session settings (AQE with partition coalescing, 200
-# shuffle partitions), plus skew-join splitting and UTC session time.
+# The job's session settings (AQE with partition coalescing), plus
+# skew-join splitting and UTC session time. The number of shuffle partitions is left to
+# the submitter: it follows the data, and no constant fits both 1 GB and 100 TB.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "200",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
-def session_builder(app_name: str = "barsmith", **overrides):
-    """A SparkSession builder with the job's settings; the master and resources come
-    from ``spark-submit`` (the library never sets them)."""
-    b = SparkSession.builder.appName(app_name)
-    for k, v in {**SESSION_CONF, **overrides}.items():
-        b = b.config(k, v)
-    return b
+def get_session(app_name: str = "barsmith", **overrides) -> SparkSession:
+    """The job's session. Master, resources and anything else come from ``spark-submit``;
+    SESSION_CONF fills in only what the submitter left unset, ``overrides`` always hold."""
+    spark = SparkSession.builder.appName(app_name).getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for k, v in SESSION_CONF.items():
+        if submitted.get(k) is None:
+            spark.conf.set(k, v)
+    for k, v in overrides.items():
+        spark.conf.set(k, v)
+    return spark

@@ -42,6 +42,25 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEATURE_SCHEMA).parquet(path).select(*FEATURE_SCHEMA.names)
 
 
+def run_path(root: str, run_date: str) -> str:
+    """The folder of one run's feature files. Runs never write into each other's folder,
+    so a run with fewer instruments or days leaves the rows of earlier ones alone."""
+    return f"{root.rstrip('/')}/run_date={run_date}"
+
+
+def read_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of every run under ``root``; ``pipeline_run`` tells them apart."""
+    return read_parquet(spark, root)
+
+
+def newest(runs: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
+    """One row per (key, order): that of the newest run. A grouped maximum, so copies
+    collapse before they are shuffled."""
+    from barsmith.plans.series import collapse_copies
+
+    return collapse_copies(runs, key, order, ["pipeline_run", "processed_at"])
+
+
 def write_table(features: DataFrame, table: str, *, fmt: str = "parquet",
                 path: str | None = None,
                 partition_cols: Sequence[str] = PARTITION_COLUMNS,

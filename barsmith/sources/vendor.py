@@ -28,9 +28,6 @@ DEFAULT_TICKERS = [
 ]
 LOOKBACK_DAYS = 365
 
-# Lists up to this size filter with IN (pushed to the scan); larger universes join.
-ISIN_MAX = 1_000
-BROADCAST_MAX_NAMES = 1_000_000
 
 
 def read_payloads(spark: SparkSession, root: str, *, multi_line: bool = False) -> DataFrame:
@@ -85,22 +82,14 @@ def in_universe(bars: DataFrame, universe: Iterable[str] | DataFrame | None = No
                 key: str = "ticker") -> DataFrame:
     """Keep the bars of a universe (default: the 16 default tickers).
 
-    A short list becomes an IN filter that reaches the scan; a longer list a
-    broadcast semi-join (its size is known here); a DataFrame a semi-join whose
-    strategy AQE picks from the measured size.
+    A list and a DataFrame (its first column) mean the same: names in any case, one
+    semi-join whose strategy Spark picks from the measured size.
     """
     if universe is None:
         universe = DEFAULT_TICKERS
-    if isinstance(universe, DataFrame):
-        u = universe.select(F.col(universe.columns[0]).cast("string").alias(key))
-        return bars.join(u, key, "left_semi")
-    names = sorted({str(t).upper() for t in universe})
-    if len(names) <= ISIN_MAX:
-        return bars.filter(F.col(key).isin(names))
-    spark = bars.sparkSession
-    u = spark.createDataFrame([(n,) for n in names], f"{key} string")
-    if len(names) <= BROADCAST_MAX_NAMES:
-        u = F.broadcast(u)
+    if not isinstance(universe, DataFrame):
+        universe = bars.sparkSession.createDataFrame([(str(n),) for n in universe], "name string")
+    u = universe.select(F.upper(F.col(universe.columns[0]).cast("string")).alias(key))
     return bars.join(u, key, "left_semi")
 
 
@@ -109,7 +98,7 @@ def manifest(universe: DataFrame, loaded: DataFrame, *, run_date: str, start, en
     """Per-instrument ingestion manifest: one row per requested ticker.
 
     status is SUCCEEDED when the run loaded at least one bar for it, else FAILED;
-    ``uri`` is the staged directory of a succeeded ticker. The reference writes two
+    ``uri`` is the run's staged directory. The reference writes two
     lists into one JSON document; a row per ticker keeps a large universe from
     collecting into one record (``manifest_summary`` gives the counts).
     """
@@ -117,8 +106,7 @@ def manifest(universe: DataFrame, loaded: DataFrame, *, run_date: str, start, en
     counts = loaded.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     m = req.join(counts, key, "left")
     ok = F.coalesce(F.col("rows"), F.lit(0)) > 0
-    uri = (F.concat(F.lit(f"{uri_root.rstrip('/')}/run_date={run_date}/{key}="), F.col(key))
-           if uri_root else F.lit(None).cast("string"))
+    uri = F.lit(f"{uri_root.rstrip('/')}/run_date={run_date}" if uri_root else None).cast("string")
     return m.select(
         F.lit(run_date).alias("run_date"),
         F.lit(str(start)[:10]).alias("start_date"),

@@ -18,8 +18,10 @@ RECORDS = [
 ]
 
 
-def _cli(*args):
-    env = dict(os.environ, PYTHONPATH=ROOT)
+def _cli(*args, shared=None, **more):
+    conf = f"--conf spark.checkpoint.dir={shared} " if shared else ""
+    env = dict(os.environ, PYTHONPATH=ROOT,
+               PYSPARK_SUBMIT_ARGS=f"--master local[2] --conf spark.ui.enabled=false {conf}pyspark-shell", **more)
     return subprocess.run([sys.executable, "-m", "barsmith", *args], cwd=ROOT, env=env,
                           capture_output=True, text=True, timeout=600)
 
@@ -29,15 +31,30 @@ def test_stage_then_run(tmp_dir):
     with open(f"{tmp_dir}/payloads/aapl.json", "w") as f:
         json.dump(RECORDS, f)
     st = _cli("stage", "--payloads", f"{tmp_dir}/payloads", "--staged", f"{tmp_dir}/staged",
-              "--run-date", "20240131", "--multi-line", "--tickers", "AAPL,MSFT")
+              "--run-date", "20240131", "--multi-line", "--tickers", "AAPL,MSFT", shared=f"{tmp_dir}/ck")
     assert st.returncode == 0, st.stderr[-2000:]
-    assert os.path.isdir(f"{tmp_dir}/staged/run_date=20240131/ticker=AAPL")
+    assert os.path.isdir(f"{tmp_dir}/staged/run_date=20240131")
     summary = json.loads(st.stdout.strip().splitlines()[-1])
     assert (summary["succeeded"], summary["failed"], summary["rows"]) == (1, 1, 2)
     assert os.path.isdir(f"{tmp_dir}/staged/_manifests/run_date=20240131")
     run = _cli("run", "--staged", f"{tmp_dir}/staged", "--out", f"{tmp_dir}/out",
-               "--run-date", "20240131")
+               "--run-date", "20240131", shared=f"{tmp_dir}/ck")
     assert run.returncode == 0, run.stderr[-2000:]
     summary = json.loads(run.stdout.strip().splitlines()[-1])
     assert summary["rows"] == 2 and summary["metrics"]["null_adj_close"] == 0
-    assert os.listdir(f"{tmp_dir}/out")
+    assert os.listdir(f"{tmp_dir}/out") == ["run_date=20240131"]
+
+
+def test_refuses_to_run_without_a_shared_folder(tmp_dir):
+    run = _cli("ingest", "--staged", tmp_dir, "--out", f"{tmp_dir}/out", "--checkpoint", f"{tmp_dir}/ck",
+               SPARK_CONF_DIR=tmp_dir)  # no defaults that name a folder
+    assert run.returncode != 0 and "spark.checkpoint.dir" in run.stderr
+
+
+def test_submitted_settings_survive():
+    code = ("from barsmith.session import get_session; s = get_session();"
+            "print(s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.session.timeZone'))")
+    env = dict(os.environ, PYTHONPATH=ROOT, PYSPARK_SUBMIT_ARGS="--master local[1] --conf spark.ui.enabled=false "
+               "--conf spark.sql.shuffle.partitions=5000 pyspark-shell")
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert out.stdout.split() == ["5000", "UTC"], out.stderr[-1000:]

@@ -1,6 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -16,8 +17,8 @@ def _plan(df):
 
 def test_feature_windows_share_one_partitioning(spark):
     bars = make_bars(spark, random_walk(50))
-    p = _plan(job.features(bars, run_date="r", processed_at="p"))
-    # All indicator windows run over (ticker, chunk) ordered by position ...
+    p = _plan(job.features(bars, run_date="r", processed_at="p", chunk_rows=100_000))
+    # All indicator windows of a chunked series run over (ticker, chunk) ...
     assert "Window [avg(adj_close" in p
     windows = [ln for ln in p.splitlines() if "Window [" in ln and "_chunk" in ln]
     assert windows and all("ticker" in ln for ln in windows)
@@ -153,8 +154,7 @@ def test_lookahead_path_equals_lead(spark):
 
 
 def test_daily_bars_run_with_one_exchange(spark):
-    """Daily bars never span two chunks, so at runtime AQE drops the chunk-table join
-    and the OBV-offset branch: the executed plan moves the rows exactly once."""
+    """A series ordered by DATE needs no chunk table: the plan moves the rows exactly once."""
     from barsmith.sources.fixtures import lineitem_bars
     from conftest import SMALL
 
@@ -162,7 +162,19 @@ def test_daily_bars_run_with_one_exchange(spark):
                       dedupe=False)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    exchanges = [ln for ln in final.splitlines() if " Exchange " in ln or "+- Exchange" in ln]
-    data_exchanges = [ln for ln in exchanges if "_chunk" in ln]
-    assert len(data_exchanges) == 1, final
-    assert "Join" not in final, final
+    by_ticker = [ln for ln in final.splitlines() if re.search(r"Exchange hashpartitioning\(ticker#\d+, \d+\)", ln)]
+    assert len(by_ticker) == 1, final
+    assert "Join" not in final and "_chunk" not in final, final
+
+
+def test_registered_scale_paths_have_several_chunks(spark):
+    from barsmith import catalog
+    from barsmith.plans.series import bucket_chunked
+    from conftest import SMALL
+
+    bars = catalog.stored_bars(spark, SMALL)
+    cut = bucket_chunked(bars, "ticker", "date", lookback=251, **catalog.split_bars(spark, SMALL))
+    chunks = cut.groupBy("ticker").agg(F.count_distinct("_chunk").alias("n"))
+    # (A last piece shorter than the lookback joins the one before it.)
+    split, every = chunks.agg(F.count_if(F.col("n") > 1), F.count("n")).first()
+    assert split > every / 2

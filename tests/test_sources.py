@@ -67,8 +67,10 @@ def test_window_universe_and_default_tickers(spark):
     assert vendor.in_universe(bars).select("ticker").distinct().collect()[0][0] == "AAPL"
     assert len(vendor.DEFAULT_TICKERS) >= 10
     assert all(isinstance(t, str) and len(t) <= 10 for t in vendor.DEFAULT_TICKERS)
-    big = [f"X{i}" for i in range(vendor.ISIN_MAX + 1)] + ["ZZZ"]
-    assert vendor.in_universe(bars, big).count() == 10
+    names = ["zzz", *[f"X{i}" for i in range(2000)]]
+    frame = spark.createDataFrame([(n,) for n in names], "name string")
+    assert vendor.in_universe(bars, names).count() == 10          # names in any case,
+    assert vendor.in_universe(bars, frame).count() == 10          # as a list or a DataFrame
 
 
 def test_manifest_marks_failed(spark):
@@ -78,7 +80,7 @@ def test_manifest_marks_failed(spark):
                                                  start="2023-01-01", end="2023-12-31",
                                                  uri_root="/shared/raw").collect()}
     assert m["AAPL"]["status"] == "SUCCEEDED" and m["AAPL"]["rows"] == 2
-    assert m["AAPL"]["uri"] == "/shared/raw/run_date=20240101/ticker=AAPL"
+    assert m["AAPL"]["uri"] == "/shared/raw/run_date=20240101"
     assert m["NOPE"]["status"] == "FAILED" and m["NOPE"]["uri"] is None
     s = vendor.manifest_summary(vendor.manifest(uni, bars, run_date="r", start="a", end="b"))
     assert tuple(s.select("succeeded", "failed", "rows").first()) == (1, 1, 2)
@@ -94,7 +96,7 @@ def test_stage_scan_roundtrip_bad_records_and_rerun(spark, tmp_dir):
     ndjson.stage(bars.limit(1), tmp_dir, "20240101")               # re-run replaces its day only
     assert ndjson.scan(spark, tmp_dir, "20240101").count() == 1
     assert ndjson.scan(spark, tmp_dir, "20240102").count() == 2
-    d = f"{tmp_dir}/run_date=20240103/ticker=BAD"
+    d = f"{tmp_dir}/run_date=20240103"
     _write(f"{d}/part-0.json", '{"date": "2024-01-01", "adj_close": 1.0}\nnot json\n'
            '{"date": "2024-13-45", "adj_close": "x"}\n')
     m = ndjson.gate_metrics(ndjson.scan(spark, tmp_dir, "20240103")).first()
@@ -103,12 +105,48 @@ def test_stage_scan_roundtrip_bad_records_and_rerun(spark, tmp_dir):
     assert dates.count(None) == 2
 
 
-def test_gate_raises_on_empty(spark):
+def test_gate_raises_on_empty_and_on_loss(spark, tmp_dir):
     with pytest.raises(ndjson.EmptyLoad):
         ndjson.check_gate({"rows": 0})
-    df, obs = ndjson.observed(make_bars(spark, [1.0, None]))
+    ndjson.stage(make_bars(spark, [1.0, None]), tmp_dir, "r")
+    df, obs = ndjson.observed(ndjson.scan(spark, tmp_dir, "r"))
     df.write.format("noop").mode("overwrite").save()
-    assert obs.get == {"rows": 2, "null_adj_close": 1}
+    assert obs.get == {"rows": 2, "corrupt_rows": 0, "unusable_rows": 0, "null_adj_close": 1}
+    counts = {"rows": 5, "unusable_rows": 2, "duplicate_rows": 1, "written_rows": 2}
+    assert ndjson.check_gate(counts) == counts
+    with pytest.raises(ndjson.LossyLoad, match="unusable"):
+        ndjson.check_gate(counts, max_unusable=1)
+    with pytest.raises(ndjson.LossyLoad, match="unaccounted"):
+        ndjson.check_gate({**counts, "written_rows": 1})
+
+
+def test_rerun_keeps_the_rows_of_other_runs(spark, tmp_dir):
+    """A run with fewer instruments, from the middle of a month, deletes nothing."""
+    bars = make_bars(spark, random_walk(60), ticker="A").unionByName(make_bars(spark, random_walk(60), ticker="B"))
+    staged, out = f"{tmp_dir}/staged", f"{tmp_dir}/out"
+    ndjson.stage(bars, staged, "20240101")
+    ndjson.stage(bars.filter("ticker = 'A' AND date >= DATE '2023-01-16'"), staged, "20240102")
+    first = job.run_pipeline(spark, staged, out, "20240101", register=False)
+    second = job.run_pipeline(spark, staged, out, "20240102", register=False)
+    again = job.run_pipeline(spark, staged, out, "20240102", register=False)     # replaces itself only
+    assert (first["rows"], second["rows"], again["rows"]) == (120, 46, 46)
+    runs = sinks.read_runs(spark, out)
+    assert runs.count() == 166
+    newest = sinks.newest(runs)
+    assert newest.count() == 120 and newest.filter("pipeline_run = '20240102'").count() == 46
+    assert newest.columns == FEATURE_COLUMNS
+
+
+def test_run_counts_every_line(spark, tmp_dir):
+    bars = make_bars(spark, [1.0, 2.0, 3.0])
+    ndjson.stage(bars.unionByName(bars.limit(2)), tmp_dir, "r")
+    _write(f"{tmp_dir}/run_date=r/part-bad.json", 'not json\n{"ticker": "T"}\n{"date": "2024-01-01"}\n')
+    res = job.run_pipeline(spark, tmp_dir, f"{tmp_dir}/out", "r", register=False)
+    m = res["metrics"]
+    assert (m["rows"], m["corrupt_rows"], m["unusable_rows"], m["duplicate_rows"], m["written_rows"]) == (8, 1, 3, 2, 3)
+    with pytest.raises(ndjson.LossyLoad):
+        job.run_pipeline(spark, tmp_dir, f"{tmp_dir}/out2", "r", register=False, max_unusable=2)
+    assert not os.path.exists(f"{tmp_dir}/out2")
 
 
 def test_parquet_and_table_roundtrip_and_conform(spark, tmp_dir):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barsmith.operators import views as vw
 from barsmith.plans import job
-from barsmith.plans.rank import percent_rank_distributed, percent_rank_local
+from barsmith.plans.rank import percent_ranks
 from barsmith.plans.series import neighbour
 from conftest import make_bars, random_walk
 
@@ -49,24 +49,49 @@ def test_momentum_ranks_inverted_as_specified(features):
     assert best2["momentum_20d_pctrank"] == 1.0
 
 
-def test_momentum_distributed_rank_path_equals_local(features):
-    a = {r["ticker"]: r for r in vw.cross_sectional_momentum(features).collect()}
-    b = vw.cross_sectional_momentum(features, max_local_rows=0).collect()
-    for r in b:
-        assert r.asDict() == a[r["ticker"]].asDict()
-
-
-def test_percent_rank_distributed_matches_window_with_ties_and_nulls(spark):
-    vals = [None, 3.0, 1.0, 1.0, None, 7.0, 3.0, 3.0, 2.0, 9.0] * 30
+def test_percent_ranks_match_the_window_with_ties_and_nulls(spark):
+    vals = [None, 3.0, 1.0, 1.0, None, 7.0, 3.0, 3.0, 2.0, 9.0] * 30 + [float(i % 97) / 7 for i in range(900)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
-    for desc in (True, False):
-        for nulls_last in (True, False):
-            spec = {"pr": ("v", desc, nulls_last)}
-            local = {r["id"]: r["pr"] for r in percent_rank_local(df, spec).collect()}
-            dist = percent_rank_distributed(df, spec, buckets=4).collect()
-            assert len(dist) == len(vals)
-            for r in dist:
-                assert r["pr"] == pytest.approx(local[r["id"]]), (desc, nulls_last)
+    order = {(True, True): "desc_nulls_last", (True, False): "desc_nulls_first",
+             (False, True): "asc_nulls_last", (False, False): "asc_nulls_first"}
+    got = percent_ranks(df, {m: ("v", *k) for k, m in order.items()})
+    for m in order.values():
+        got = got.withColumn("want_" + m, F.percent_rank().over(Window.orderBy(getattr(F.col("v"), m)())))
+    rows = got.collect()
+    assert len(rows) == len(vals)
+    for r in rows:
+        for m in order.values():
+            assert r[m] == pytest.approx(r["want_" + m])
+    assert percent_ranks(df.filter("v is null"), {"p": ("v", True, True)}).agg(F.max("p")).first()[0] == 0
+    assert percent_ranks(df.limit(0), {"p": ("v", True, True)}).collect() == []
+
+
+def test_momentum_view_sees_rows_added_later(spark, tmp_dir, features):
+    one, two = (features.filter(F.col("ticker") == t) for t in ("T0", "T1"))
+    one.write.saveAsTable("live_features", path=f"{tmp_dir}/live", format="parquet")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "views")
+    vw.register_views(spark.table("live_features"), "2024-02-05")
+    assert len(tracker.getJobIdsForGroup("building")) == 0  # building a view runs nothing
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.table("vw_cross_sectional_momentum").count() == 1
+    two.write.insertInto("live_features")
+    assert spark.table("vw_latest_snapshot").count() == 2
+    assert spark.table("vw_cross_sectional_momentum").count() == 2
+    spark.sql("DROP TABLE live_features")
+
+
+def test_recent_ml_rows_prune_the_scan(spark, tmp_dir, features):
+    from barsmith.sources import sinks
+
+    sinks.write_parquet(features, f"{tmp_dir}/f")
+    stored = sinks.read_parquet(spark, f"{tmp_dir}/f")
+    as_of = dt.date(2024, 2, 5)
+    got = vw.recent_ml_feature_set(stored, as_of, days=30)
+    scan = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    assert scan and all("PartitionFilters: [isnotnull(year" in x for x in scan)
+    want = vw.ml_recent(vw.ml_feature_set(stored), as_of, days=30)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_rsi_signals_filter_then_lag(features):
