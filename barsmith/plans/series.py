@@ -11,12 +11,14 @@ single-partition result; the halo copies are dropped afterwards. Running
 (unbounded-preceding) sums are finished with per-chunk totals and an exclusive
 prefix over chunks.
 
-Chunks are whole *buckets* (a coarse, monotone function of the order column: the
-calendar year of a date by default). Which chunk a bucket belongs to and which
-chunk's halo it feeds is decided on a small table with one row per (key, bucket)
-(:func:`chunk_table`), so the rows themselves move once, to (key, chunk).
-Look-ahead frames use the older numbered variant (:func:`positioned`,
-:func:`with_halo`), which needs one more shuffle to number the rows.
+Chunks are whole *buckets*: runs of consecutive rows of a key. Which chunk a bucket
+belongs to and which chunk's halo it feeds is decided on a small table with one row
+per (key, bucket) (:func:`chunk_table`). Without a bucket from the caller the rows are
+sorted once by (key, order) across the cluster and counted off
+(:func:`range_buckets`), so a bucket has at most an eighth of ``chunk_rows`` rows
+whatever the order column's type or spread. A caller who knows a coarse monotone
+function of the order column (the day of a timestamp, say) can pass it and save
+that sort; its largest bucket then bounds the group.
 """
 
 from __future__ import annotations
@@ -26,16 +28,9 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DateType,
-    NumericType,
-    StringType,
-    TimestampNTZType,
-    TimestampType,
-)
-
-POS = "_pos"        # 0-based place of the row in its key's ordered series
-CHUNK = "_chunk"    # POS div chunk_rows
+from pyspark.sql.types import DateType
+
+CHUNK = "_chunk"    # number of the chunk within its key
 HALO = "_halo"      # true for copies that only feed a neighbouring chunk
 BUCKET = "_bucket"  # coarse order bucket used to spread one key over many tasks
 TOTAL = "_total"    # rows in the key's series
@@ -74,17 +69,12 @@ class Series:
         return cls(key, order, (key,), (order,), None, False, min_periods=min_periods)
 
     @classmethod
-    def of_chunks(cls, key: str, order: str, min_periods: bool = False,
-                  by_order: bool = False) -> "Series":
-        """Windows over (key, chunk); ordered by POS, or by the order column itself
-        when the chunks are bucket-aligned (``by_order``)."""
-        return cls(key, order, (key, CHUNK), (order,) if by_order else (POS,),
-                   ~F.col(HALO), True, min_periods=min_periods)
+    def of_chunks(cls, key: str, order: str, min_periods: bool = False) -> "Series":
+        """Windows over (key, chunk), ordered by the order column."""
+        return cls(key, order, (key, CHUNK), (order,), ~F.col(HALO), True, min_periods=min_periods)
 
     def position(self) -> Column:
         """0-based place of the row in its key's whole series."""
-        if self.chunked and self.sort == (POS,):
-            return F.col(POS)
         local = F.row_number().over(self.ordered()) - F.lit(1)
         if not self.chunked:
             return local
@@ -121,19 +111,23 @@ class Series:
         return F.sum(delta).over(self.cumulative())
 
 
-def default_bucket(df: DataFrame, order: str) -> Column:
-    """A coarse, order-preserving bucket of the order column."""
-    dtype = df.schema[order].dataType
-    c = F.col(order)
-    if isinstance(dtype, DateType):
-        return F.year(c)
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.to_date(c)
-    if isinstance(dtype, StringType):  # ISO text sorts like the time it names
-        return F.substring(c, 1, 4)
-    if isinstance(dtype, NumericType):
-        return F.floor(c / F.lit(1_000_000))
-    return F.lit(0)
+def range_buckets(df: DataFrame, key: str, order: str, rows: int) -> DataFrame:
+    """``df`` with BUCKET: consecutive runs of at most ``rows`` rows in (key, order) order.
+
+    The rows are range-partitioned and sorted by (key, order), and each partition is
+    counted off, so a bucket's size does not depend on how the order values are spread,
+    nor on how well the ranges were sampled. The result is stored in the shared folder:
+    everything after it sees the same numbers, also when tasks are repeated.
+    """
+    from barsmith.session import scratch_path
+
+    spark = df.sparkSession
+    # The row number within the partition is in the low 33 bits, the partition above.
+    counted = (df.repartitionByRange(key, order).sortWithinPartitions(key, order)
+               .withColumn(BUCKET, F.monotonically_increasing_id()))
+    path = scratch_path(spark, "series")
+    counted.write.parquet(path)
+    return spark.read.schema(counted.schema).parquet(path).withColumn(BUCKET, F.expr(f"{BUCKET} div {max(1, rows)}"))
 
 
 def collapse_copies(df: DataFrame, key: str, order: str, prefer: Sequence[str]) -> DataFrame:
@@ -151,82 +145,6 @@ def collapse_copies(df: DataFrame, key: str, order: str, prefer: Sequence[str])
                         for c in df.columns])
 
 
-def positioned(
-    df: DataFrame,
-    key: str,
-    order: str,
-    *,
-    bucket: Column | None = None,
-    latest: Sequence[str] | None = None,
-) -> DataFrame:
-    """Add ``POS`` (and ``TOTAL``) to every row.
-
-    Rows with a null key or order have no place in a series and are dropped. With
-    ``latest`` (column names, larger wins) only one row per (key, order) is kept,
-    see :func:`collapse_copies`. Without it (key, order) must already be unique.
-    """
-    b = default_bucket(df, order) if bucket is None else bucket
-    base = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
-    if latest is not None:
-        base = collapse_copies(base, key, order, latest)
-    # One exchange on (key, bucket) serves the numbering and the join with the
-    # offsets below.
-    d = base.withColumn(BUCKET, b).repartition(key, BUCKET)
-    # Row counts per (key, bucket) come from a narrow projection (key and order
-    # only, partially aggregated before its shuffle): after de-duplication a bucket
-    # holds one row per distinct order value.
-    narrow = df.select(key, order).filter(
-        F.col(key).isNotNull() & F.col(order).isNotNull()
-    ).withColumn(BUCKET, b)
-    n = F.count_distinct(order) if latest is not None else F.count(F.lit(1))
-    counts = narrow.groupBy(key, BUCKET).agg(n.alias("_n"))
-    per_key = Window.partitionBy(key).orderBy(BUCKET)
-    offsets = counts.select(
-        key,
-        BUCKET,
-        F.coalesce(
-            F.sum("_n").over(per_key.rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_off"),
-        F.sum("_n").over(Window.partitionBy(key)).alias(TOTAL),
-    )
-    numbered = d.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(key, BUCKET).orderBy(order))
-    )
-    return (
-        numbered.join(offsets, [key, BUCKET], "inner")
-        .withColumn(POS, F.col("_off") + F.col("_rn") - F.lit(1))
-        .drop(BUCKET, "_off", "_rn")
-    )
-
-
-def with_halo(
-    df: DataFrame, lookback: int, lookahead: int = 0, chunk_rows: int = DEFAULT_CHUNK_ROWS
-) -> DataFrame:
-    """Assign ``CHUNK`` and add halo copies; input must carry POS and TOTAL."""
-    if not (0 <= lookback <= chunk_rows and 0 <= lookahead <= chunk_rows):
-        raise ValueError("lookback and lookahead must lie in [0, chunk_rows]")
-    pos = F.col(POS)
-    c = F.floor(pos / F.lit(chunk_rows)).cast("long")
-    r = pos - c * F.lit(chunk_rows)
-    targets = [F.struct(c.alias(CHUNK), F.lit(False).alias(HALO))]
-    if lookback:
-        nxt = c + F.lit(1)
-        targets.append(F.when(
-            (r >= F.lit(chunk_rows - lookback)) & (nxt * F.lit(chunk_rows) < F.col(TOTAL)),
-            F.struct(nxt.alias(CHUNK), F.lit(True).alias(HALO)),
-        ))
-    if lookahead:
-        targets.append(F.when(
-            (r < F.lit(lookahead)) & (c > F.lit(0)),
-            F.struct((c - F.lit(1)).alias(CHUNK), F.lit(True).alias(HALO)),
-        ))
-    arr = F.array(*targets)
-    if len(targets) > 1:
-        arr = F.filter(arr, lambda t: t.isNotNull())
-    return df.select("*", F.inline(arr))
-
-
 def chunk_table(df: DataFrame, key: str, order: str, bucket: Column, *, distinct: bool,
                 chunk_rows: int, lookback: int) -> DataFrame:
     """Per (key, bucket) of keys longer than ``chunk_rows``: its chunk, the chunk's
@@ -244,9 +162,8 @@ def chunk_table(df: DataFrame, key: str, order: str, bucket: Column, *, distinct
     chunk's start. Copying whole buckets gives a few extra halo rows; they are
     dropped like the others. A chunk holds at most chunk_rows rows plus one bucket.
     """
-    narrow = df.select(key, order).filter(
-        F.col(key).isNotNull() & F.col(order).isNotNull()
-    ).withColumn(BUCKET, bucket)
+    narrow = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull()).select(
+        key, order, bucket.alias(BUCKET))
     n = F.count_distinct(order) if distinct else F.count(F.lit(1))
     counts = narrow.groupBy(key, BUCKET).agg(n.alias("_n"))
     # All windows below partition by the key (alone or with a chunk id), so one
@@ -289,15 +206,20 @@ def bucket_chunked(df: DataFrame, key: str, order: str, *, bucket: Column | None
     HALO, CSTART and TOTAL (TOTAL is null for keys of one chunk)."""
     if not 0 <= lookback <= chunk_rows:
         raise ValueError("lookback must lie in [0, chunk_rows]")
-    b = default_bucket(df, order) if bucket is None else bucket
     base = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
     if latest is not None:
         base = collapse_copies(base, key, order, latest)
-    t = chunk_table(df, key, order, b, distinct=latest is not None,
-                    chunk_rows=chunk_rows, lookback=lookback)
+    if bucket is None:
+        base = range_buckets(base, key, order, chunk_rows // 8)
+        t = chunk_table(base, key, order, F.col(BUCKET), distinct=False,
+                        chunk_rows=chunk_rows, lookback=lookback)
+    else:
+        base = base.withColumn(BUCKET, bucket)
+        t = chunk_table(df, key, order, bucket, distinct=latest is not None,
+                        chunk_rows=chunk_rows, lookback=lookback)
     # Left join: rows of short keys find no entry and default to chunk 0. AQE
     # broadcasts the (small) long-key side, or drops the join when it is empty.
-    rows = base.withColumn(BUCKET, b).join(t, [key, BUCKET], "left")
+    rows = base.join(t, [key, BUCKET], "left")
     home = F.struct(F.coalesce(F.col("_home_chunk"), F.lit(0).cast("long")).alias(CHUNK),
                     F.lit(False).alias(HALO),
                     F.coalesce(F.col("_home_start"), F.lit(0).cast("long")).alias(CSTART))
@@ -349,7 +271,6 @@ def over_series(
     key: str = "ticker",
     order: str = "date",
     lookback: int,
-    lookahead: int = 0,
     chunk_rows: int | None = None,
     bucket: Column | None = None,
     latest: Sequence[str] | None = None,
@@ -363,13 +284,13 @@ def over_series(
     (DEFAULT_CHUNK_ROWS unless named).
 
     ``build`` must only use windows from ``series`` and must not reach further
-    back than ``lookback`` rows (or ahead than ``lookahead``) except through
+    back than ``lookback`` rows except through
     ``Series.running_sum``. Helper columns (``_`` names that ``df`` has not) are dropped.
     A caller's ``bucket`` must be non-null and non-decreasing in ``order`` within a
-    key (the defaults are); it bounds how many rows one bucket, and so one chunk
-    beyond ``chunk_rows``, can hold.
+    key; it bounds how many rows one bucket, and so one chunk beyond ``chunk_rows``,
+    can hold. Without it buckets are counted off (:func:`range_buckets`).
     """
-    if (chunk_rows is None and bucket is None and lookahead == 0
+    if (chunk_rows is None and bucket is None
             and isinstance(df.schema[order].dataType, DateType)):
         base = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
         if latest is not None:
@@ -377,22 +298,14 @@ def over_series(
         out = build(base, Series.plain(key, order, min_periods=min_periods))
         return out.drop(*[c for c in out.columns if c.startswith("_") and c not in df.columns])
     chunk_rows = DEFAULT_CHUNK_ROWS if chunk_rows is None else chunk_rows
-    if lookahead == 0:
-        # Bucket-aligned chunks: one shuffle of the rows, windows ordered by `order`.
-        frame = bucket_chunked(df, key, order, bucket=bucket, latest=latest,
-                               lookback=lookback, chunk_rows=chunk_rows)
-        by_order = True
-    else:
-        # Look-ahead needs row positions: number rows per (key, bucket) first.
-        pos = positioned(df, key, order, bucket=bucket, latest=latest)
-        frame = with_halo(pos, lookback, lookahead, chunk_rows)
-        by_order = False
-    s = Series.of_chunks(key, order, min_periods, by_order)
+    # One shuffle of the bucketed rows, to (key, chunk); windows ordered by `order`.
+    frame = bucket_chunked(df, key, order, bucket=bucket, latest=latest,
+                           lookback=lookback, chunk_rows=chunk_rows)
+    s = Series.of_chunks(key, order, min_periods)
     out = build(frame, s).filter(~F.col(HALO))
     if s.offsets:
         long_keys = frame.filter(F.col(TOTAL) > F.lit(chunk_rows))
-        long_out = build(long_keys, Series.of_chunks(key, order, min_periods, by_order)
-                         ).filter(~F.col(HALO))
+        long_out = build(long_keys, Series.of_chunks(key, order, min_periods)).filter(~F.col(HALO))
         out = _finish_running(out, long_out, s)
     return out.drop(*[c for c in out.columns if c.startswith("_") and c not in df.columns])
 
@@ -423,8 +336,8 @@ def neighbour(
         step = F.lag if direction < 0 else F.lead
         return df.filter(F.col(key).isNotNull() & F.col(order).isNotNull()).withColumns(
             {out: step(src).over(whole) for out, src in cols.items()})
-    b = default_bucket(df, order) if bucket is None else bucket
-    d = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull()).withColumn(BUCKET, b)
+    d = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
+    d = range_buckets(d, key, order, DEFAULT_CHUNK_ROWS) if bucket is None else d.withColumn(BUCKET, bucket)
     w = Window.partitionBy(key, BUCKET).orderBy(order)
     shift = F.lag if direction < 0 else F.lead
     srcs = sorted(set(cols.values()))

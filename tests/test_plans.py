@@ -3,6 +3,7 @@
 import datetime as dt
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from barsmith.operators import views as vw
@@ -134,23 +135,38 @@ def test_small_chunks_merge_and_halo_feeds_one_chunk(spark):
     assert merged.exceptAll(plain).count() == 0 and plain.exceptAll(merged).count() == 0
 
 
-def test_lookahead_path_equals_lead(spark):
-    """The numbered variant (used for look-ahead frames) gives exact leads across
-    chunk borders."""
-    from pyspark.sql import Window
-
-    from barsmith.plans.series import over_series
-
-    bars = make_bars(spark, random_walk(700, seed=2)).unionByName(
-        make_bars(spark, random_walk(90, seed=3), ticker="B"))
-    got = over_series(
-        bars, lambda d, s: d.withColumn("nxt", F.lead("adj_close", 3).over(s.ordered())),
-        lookback=0, lookahead=3, chunk_rows=100)
-    w = Window.partitionBy("ticker").orderBy("date")
-    want = bars.withColumn("nxt", F.lead("adj_close", 3).over(w))
-    a, b = got.select("ticker", "date", "nxt"), want.select("ticker", "date", "nxt")
-    assert a.count() == 790
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+@pytest.mark.parametrize("kind", ["timestamp", "text", "sequence", "nanoseconds", "bursts"])
+def test_groups_are_bounded_for_any_order(spark, kind):
+    """One key with 50,000 rows: no window group exceeds twice the chunk plus the lookback,
+    and the chunk table stays small."""
+    from barsmith.plans.series import BUCKET, bucket_chunked, chunk_table, range_buckets
+
+    i = F.col("id")
+    order = {"timestamp": F.timestamp_millis(i * 100),          # one busy day
+             "text": F.date_format(F.timestamp_millis(i * 1000), "yyyy-MM-dd'T'HH:mm:ss"),
+             "sequence": i, "nanoseconds": i * 1_000_000_000,
+             "bursts": F.when(i < 40_000, i).otherwise(i * 1_000_003)}[kind]
+    df = spark.range(50_000).select(F.lit("HOT").alias("k"), order.alias("o"))
+    groups = bucket_chunked(df, "k", "o", lookback=251, chunk_rows=1000).groupBy("k", "_chunk").agg(
+        F.count("o").alias("n"), F.count_if(~F.col("_halo")).alias("own"))
+    n, biggest, own = groups.agg(F.count("n"), F.max("n"), F.sum("own")).first()
+    assert biggest <= 2 * 1000 + 251 and n >= 40 and own == 50_000
+    counted = range_buckets(df, "k", "o", 125)
+    table = chunk_table(counted, "k", "o", F.col(BUCKET), distinct=False, chunk_rows=1000, lookback=251)
+    assert table.count() <= 20 * n
+
+
+def test_range_buckets_equal_the_plain_window(spark):
+    """Unevenly spread sequence numbers, two keys, copies, and no bucket from the caller."""
+    bars = make_bars(spark, random_walk(900, seed=2)).unionByName(make_bars(spark, random_walk(90, seed=3), ticker="B"))
+    seq = bars.withColumn("seq", F.pow(F.datediff("date", F.lit("2023-01-01")), F.lit(3)).cast("long")).drop("date")
+    copies = seq.unionByName(seq.filter("seq % 2 = 0").withColumn("ingested_at", F.lit("2000-01-01")))
+    got = job.features(copies, run_date="r", processed_at="p", order="seq", chunk_rows=300)
+    want = job.features_plain(seq, run_date="r", processed_at="p", order="seq")
+    assert got.count() == 990
+    for c in ("sma_200", "obv", "rsi", "vol_60d", "pct_from_52w_high"):
+        a, b = (d.select("ticker", "seq", F.round(c, 6).alias(c)) for d in (got, want))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, c
 
 
 def test_daily_bars_run_with_one_exchange(spark):
