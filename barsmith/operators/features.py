@@ -127,19 +127,19 @@ def _golden_cross(fast: Column, slow: Column) -> Column:
 def add_moving_averages(df: DataFrame, s: Series | None = None, price: str = PRICE) -> DataFrame:
     """sma_5/10/20/50/200: mean of ``price`` over the trailing n rows."""
     s = _s(s)
-    return df.withColumns({f"sma_{n}": s.roll(F.avg(price), n) for n in SMA_SPANS})
+    return df.withColumns({f"sma_{n}": s.roll(F.avg, price, n) for n in SMA_SPANS})
 
 
 def add_ema(df: DataFrame, s: Series | None = None, price: str = PRICE) -> DataFrame:
     """ema_12/26 as specified: a *simple* mean over 12 and 26 rows."""
     s = _s(s)
-    return df.withColumns({f"ema_{n}": s.roll(F.avg(price), n) for n in EMA_SPANS})
+    return df.withColumns({f"ema_{n}": s.roll(F.avg, price, n) for n in EMA_SPANS})
 
 
 def add_bollinger_bands(df: DataFrame, s: Series | None = None, price: str = PRICE) -> DataFrame:
     s = _s(s)
-    df = df.withColumns({"bb_mid": s.roll(F.avg(price), BB_SPAN),
-                         "bb_std": s.roll(F.stddev_samp(price), BB_SPAN)})
+    df = df.withColumns({"bb_mid": s.roll(F.avg, price, BB_SPAN),
+                         "bb_std": s.roll(F.stddev_samp, price, BB_SPAN)})
     mid, std = F.col("bb_mid"), F.col("bb_std")
     df = df.withColumns({"bb_upper": _bb_upper(mid, std), "bb_lower": _bb_lower(mid, std)})
     up, lo = F.col("bb_upper"), F.col("bb_lower")
@@ -155,8 +155,8 @@ def add_rsi(df: DataFrame, s: Series | None = None, price: str = PRICE,
     x = F.col(price)
     df = df.withColumn("_prev", F.lag(price, 1).over(s.ordered()))
     df = df.withColumns({"_gain": _gain(x, F.col("_prev")), "_loss": _loss(x, F.col("_prev"))})
-    df = df.withColumns({"_avg_gain": s.roll(F.avg("_gain"), period),
-                         "_avg_loss": s.roll(F.avg("_loss"), period)})
+    df = df.withColumns({"_avg_gain": s.roll(F.avg, "_gain", period),
+                         "_avg_loss": s.roll(F.avg, "_loss", period)})
     df = df.withColumn("rsi", _rsi(F.col("_avg_gain"), F.col("_avg_loss")))
     return df.drop("_prev", "_gain", "_loss", "_avg_gain", "_avg_loss")
 
@@ -167,7 +167,7 @@ def add_macd(df: DataFrame, s: Series | None = None, price: str = PRICE) -> Data
     if not {"ema_12", "ema_26"} <= set(df.columns):
         df = add_ema(df, s, price)
     df = df.withColumn("macd_line", F.col("ema_12") - F.col("ema_26"))
-    df = df.withColumn("macd_signal", s.roll(F.avg("macd_line"), MACD_SIGNAL_SPAN))
+    df = df.withColumn("macd_signal", s.roll(F.avg, "macd_line", MACD_SIGNAL_SPAN))
     return df.withColumn("macd_hist", F.col("macd_line") - F.col("macd_signal"))
 
 
@@ -183,7 +183,7 @@ def add_volatility(df: DataFrame, s: Series | None = None, price: str = PRICE) -
     if "log_return" not in df.columns:
         df = add_log_return(df, s, price)
     df = df.withColumns(
-        {f"vol_{n}d": s.roll(F.stddev_samp("log_return"), n) for n in VOL_SPANS}
+        {f"vol_{n}d": s.roll(F.stddev_samp, "log_return", n) for n in VOL_SPANS}
     )
     return df.withColumns(
         {f"annualized_vol_{n}d": F.col(f"vol_{n}d") * F.lit(SQRT_252) for n in VOL_SPANS}
@@ -197,7 +197,7 @@ def add_atr(df: DataFrame, s: Series | None = None, price: str = PRICE,
     hi, lo = ("adj_high", "adj_low") if adjusted else ("high", "low")
     prev = F.lag(price, 1).over(s.ordered())
     df = df.withColumn("_tr", _true_range(F.col(hi), F.col(lo), prev))
-    return df.withColumn("atr_14", s.roll(F.avg("_tr"), ATR_SPAN)).drop("_tr")
+    return df.withColumn("atr_14", s.roll(F.avg, "_tr", ATR_SPAN)).drop("_tr")
 
 
 def add_obv(df: DataFrame, s: Series | None = None, price: str = PRICE,
@@ -214,8 +214,8 @@ def add_volume_zscore(df: DataFrame, s: Series | None = None,
                       volume: str = "adj_volume") -> DataFrame:
     s = _s(s)
     df = df.withColumns({
-        "vol_sma_20": s.roll(F.avg(volume), VOLUME_SPAN),
-        "vol_std_20": s.roll(F.stddev_samp(volume), VOLUME_SPAN),
+        "vol_sma_20": s.roll(F.avg, volume, VOLUME_SPAN),
+        "vol_std_20": s.roll(F.stddev_samp, volume, VOLUME_SPAN),
     })
     return df.withColumn(
         "vol_zscore", _zscore(F.col(volume), F.col("vol_sma_20"), F.col("vol_std_20"))
@@ -227,8 +227,8 @@ def add_range_52w(df: DataFrame, s: Series | None = None, price: str = PRICE) ->
     s = _s(s)
     x = F.col(price)
     return df.withColumns({
-        "pct_from_52w_high": rel_change(x, s.roll(F.max(price), RANGE_SPAN)),
-        "pct_from_52w_low": rel_change(x, s.roll(F.min(price), RANGE_SPAN)),
+        "pct_from_52w_high": rel_change(x, s.roll(F.max, price, RANGE_SPAN)),
+        "pct_from_52w_low": rel_change(x, s.roll(F.min, price, RANGE_SPAN)),
     })
 
 
@@ -278,16 +278,16 @@ def build_features(df: DataFrame, s: Series | None = None, price: str = PRICE,
     x = F.col(price)
     w = s.ordered()
     hi, lo = ("adj_high", "adj_low") if adjusted_atr else ("high", "low")
-    level1 = {f"sma_{n}": s.roll(F.avg(price), n) for n in SMA_SPANS}
-    level1.update({f"ema_{n}": s.roll(F.avg(price), n) for n in EMA_SPANS})
+    level1 = {f"sma_{n}": s.roll(F.avg, price, n) for n in SMA_SPANS}
+    level1.update({f"ema_{n}": s.roll(F.avg, price, n) for n in EMA_SPANS})
     level1.update({
-        "bb_mid": s.roll(F.avg(price), BB_SPAN),
-        "bb_std": s.roll(F.stddev_samp(price), BB_SPAN),
+        "bb_mid": s.roll(F.avg, price, BB_SPAN),
+        "bb_std": s.roll(F.stddev_samp, price, BB_SPAN),
         "_prev": F.lag(price, 1).over(w),
-        "_hi52": s.roll(F.max(price), RANGE_SPAN),
-        "_lo52": s.roll(F.min(price), RANGE_SPAN),
-        "vol_sma_20": s.roll(F.avg(volume), VOLUME_SPAN),
-        "vol_std_20": s.roll(F.stddev_samp(volume), VOLUME_SPAN),
+        "_hi52": s.roll(F.max, price, RANGE_SPAN),
+        "_lo52": s.roll(F.min, price, RANGE_SPAN),
+        "vol_sma_20": s.roll(F.avg, volume, VOLUME_SPAN),
+        "vol_std_20": s.roll(F.stddev_samp, volume, VOLUME_SPAN),
     })
     level1.update({f"_lag{n}": F.lag(price, n).over(w) for n in MOMENTUM_LAGS})
     df = df.withColumns(level1)
@@ -313,14 +313,14 @@ def build_features(df: DataFrame, s: Series | None = None, price: str = PRICE,
     df = df.withColumns(derived)
 
     level2 = {
-        "_avg_gain": s.roll(F.avg("_gain"), RSI_PERIOD),
-        "_avg_loss": s.roll(F.avg("_loss"), RSI_PERIOD),
-        "macd_signal": s.roll(F.avg("macd_line"), MACD_SIGNAL_SPAN),
-        "atr_14": s.roll(F.avg("_tr"), ATR_SPAN),
+        "_avg_gain": s.roll(F.avg, "_gain", RSI_PERIOD),
+        "_avg_loss": s.roll(F.avg, "_loss", RSI_PERIOD),
+        "macd_signal": s.roll(F.avg, "macd_line", MACD_SIGNAL_SPAN),
+        "atr_14": s.roll(F.avg, "_tr", ATR_SPAN),
         "obv": s.running_sum("_obv_delta", "obv"),
     }
     level2.update(
-        {f"vol_{n}d": s.roll(F.stddev_samp("log_return"), n) for n in VOL_SPANS}
+        {f"vol_{n}d": s.roll(F.stddev_samp, "log_return", n) for n in VOL_SPANS}
     )
     df = df.withColumns(level2)
     df = df.withColumns({

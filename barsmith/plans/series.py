@@ -73,23 +73,12 @@ class Series:
         """Windows over (key, chunk), ordered by the order column."""
         return cls(key, order, (key, CHUNK), (order,), ~F.col(HALO), True, min_periods=min_periods)
 
-    def position(self) -> Column:
-        """0-based place of the row in its key's whole series."""
-        local = F.row_number().over(self.ordered()) - F.lit(1)
-        if not self.chunked:
-            return local
-        # Bucket-aligned chunks: the halo rows are exactly the rows just before the
-        # chunk's first row, so position = chunk start - halo rows + local index.
-        halo_rows = F.sum(F.when(F.col(HALO), F.lit(1)).otherwise(F.lit(0))).over(
-            Window.partitionBy(*self.partition))
-        return F.col(CSTART) - halo_rows + local
-
-    def roll(self, agg: Column, n: int) -> Column:
-        """``agg`` over the trailing n rows; with ``min_periods`` null until the
-        frame is full."""
-        out = agg.over(self.trailing(n))
+    def roll(self, fn: Callable, value, n: int) -> Column:
+        """``fn(value)`` over the trailing n rows; with ``min_periods`` null until the
+        frame holds n values (not null), as pandas ``rolling(n)`` does."""
+        out = fn(value).over(self.trailing(n))
         if self.min_periods and n > 1:
-            return F.when(self.position() >= F.lit(n - 1), out)
+            return F.when(F.count(value).over(self.trailing(n)) >= F.lit(n), out)
         return out
 
     def ordered(self) -> WindowSpec:

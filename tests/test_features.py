@@ -190,6 +190,19 @@ def test_min_periods_nulls_until_frame_is_full(spark):
     assert default[0][0] == 1.0                   # default unchanged: partial frames
 
 
+def test_min_periods_count_values_as_pandas_does(spark):
+    import pandas as pd
+
+    walk = random_walk(60, seed=4)
+    got = job.features(make_bars(spark, walk), run_date="r", processed_at="p", min_periods=True).orderBy("date").toPandas()
+    close = pd.Series(walk)
+    line = close.rolling(12).mean() - close.rolling(26).mean()
+    want = {"macd_signal": line.rolling(9).mean(), "vol_5d": got["log_return"].astype(float).rolling(5).std()}
+    for c, w in want.items():
+        assert got[c].isna().tolist() == w.isna().tolist(), c
+        assert got[c].dropna().tolist() == pytest.approx(w.dropna().tolist()), c
+
+
 def test_min_periods_chunked_equals_plain(spark):
     bars = make_bars(spark, random_walk(700, seed=11))
     a = job.features(bars, run_date="r", processed_at="p", chunk_rows=300, min_periods=True)
