@@ -87,6 +87,11 @@ def _since(df: DataFrame, as_of: _dt.date, days: int, order: str = "date") -> Co
     return cond
 
 
+def _named(columns: list[str], key: str, order: str) -> list[str]:
+    """The view's columns, with the series' own key and order columns in their places."""
+    return [{"ticker": key, "date": order}.get(c, c) for c in columns]
+
+
 def latest_snapshot(features: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
     """Newest row per instrument. Top-1 per group: Spark keeps one row per key in
     each partition before the shuffle (WindowGroupLimit), so a large key costs a
@@ -95,11 +100,12 @@ def latest_snapshot(features: DataFrame, key: str = "ticker", order: str = "date
     return (
         features.withColumn("_rn", F.row_number().over(w))
         .filter(F.col("_rn") == 1)
-        .select(*SNAPSHOT_COLUMNS)
+        .select(*_named(SNAPSHOT_COLUMNS, key, order))
     )
 
 
-def cross_sectional_momentum(features: DataFrame, *, best_is_high: bool = False) -> DataFrame:
+def cross_sectional_momentum(features: DataFrame, *, best_is_high: bool = False,
+                             key: str = "ticker", order: str = "date") -> DataFrame:
     """Percent ranks of the latest rows; composite = 0.4 p20 + 0.6 p60.
 
     As specified, momentum ranks run in *descending* order, so the strongest
@@ -107,7 +113,7 @@ def cross_sectional_momentum(features: DataFrame, *, best_is_high: bool = False)
     ascending instead. Null momentum sorts last when descending (first ascending);
     null volatility sorts first.
     """
-    latest = latest_snapshot(features)
+    latest = latest_snapshot(features, key, order)
     desc = not best_is_high
     ranked = percent_ranks(latest, {
         "momentum_20d_pctrank": ("momentum_20d", desc, desc),
@@ -119,66 +125,68 @@ def cross_sectional_momentum(features: DataFrame, *, best_is_high: bool = False)
     return (
         ranked.withColumn("composite_momentum_score", score)
         .withColumn("momentum_signal", momentum_label(F.col("composite_momentum_score")))
-        .select(*MOMENTUM_COLUMNS)
+        .select(*_named(MOMENTUM_COLUMNS, key, order))
         .orderBy(F.col("composite_momentum_score").desc())
     )
 
 
-def rsi_signals(features: DataFrame, as_of=None, *, days: int = RSI_DAYS) -> DataFrame:
+def rsi_signals(features: DataFrame, as_of=None, *, days: int = RSI_DAYS,
+                key: str = "ticker", order: str = "date") -> DataFrame:
     """RSI labels and MACD crossovers over the last ``days`` days.
 
     The date filter runs first and the previous histogram value is taken inside
     the filtered rows, so each instrument's first row in range is NO_CROSSOVER.
     """
-    as_of = resolve_as_of(features, as_of)
-    recent = features.filter(_since(features, as_of, days)).select(
-        "ticker", "date", "adj_close", "rsi", "macd_line", "macd_hist"
+    as_of = resolve_as_of(features, as_of, order)
+    recent = features.filter(_since(features, as_of, days, order)).select(
+        key, order, "adj_close", "rsi", "macd_line", "macd_hist"
     )
-    prev = neighbour(recent, {"_prev_hist": "macd_hist"}, direction=-1)
+    prev = neighbour(recent, {"_prev_hist": "macd_hist"}, key=key, order=order, direction=-1)
     return prev.select(
-        "ticker", "date", "adj_close", "rsi",
+        key, order, "adj_close", "rsi",
         rsi_label(F.col("rsi")).alias("rsi_signal"),
         "macd_line", "macd_hist",
         macd_cross_label(F.col("macd_hist"), F.col("_prev_hist")).alias("macd_signal"),
     )
 
 
-def volatility_regime(features: DataFrame, as_of=None, *, days: int = REGIME_DAYS) -> DataFrame:
+def volatility_regime(features: DataFrame, as_of=None, *, days: int = REGIME_DAYS,
+                      key: str = "ticker", order: str = "date") -> DataFrame:
     """Regime of annualised 20-day vol against the instrument's full-history mean/std.
 
     The statistics are a per-instrument aggregate (partial aggregation, one row per
     instrument); the join back is left to AQE, which broadcasts the statistics when
     their measured size allows and otherwise splits a hot instrument's partition.
     """
-    as_of = resolve_as_of(features, as_of)
+    as_of = resolve_as_of(features, as_of, order)
     v = "annualized_vol_20d"
-    stats = features.groupBy("ticker").agg(
+    stats = features.groupBy(key).agg(
         F.avg(v).alias("mean_vol"), F.stddev_samp(v).alias("std_vol")
     )
-    recent = features.filter(_since(features, as_of, days)).select(
-        "ticker", "date", "adj_close", v, "atr_14"
+    recent = features.filter(_since(features, as_of, days, order)).select(
+        key, order, "adj_close", v, "atr_14"
     )
-    joined = recent.join(stats, "ticker")
+    joined = recent.join(stats, key)
     x, mean, std = F.col(v), F.col("mean_vol"), F.col("std_vol")
     return joined.select(
-        "ticker", "date", "adj_close", v, "atr_14", "mean_vol", "std_vol",
+        key, order, "adj_close", v, "atr_14", "mean_vol", "std_vol",
         safe_ratio(x - mean, std).alias("vol_z_score"),
         vol_regime_label(x, mean, std).alias("vol_regime"),
     )
 
 
-def ml_feature_set(features: DataFrame) -> DataFrame:
+def ml_feature_set(features: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
     """Feature matrix with the next row's close as label; rows without one dropped.
 
     The label looks forward only, so rows before a date can be filtered out of
     ``features`` first: the rows after it come out the same."""
-    base = neighbour(features, {"next_close": "adj_close"}, direction=1)
+    base = neighbour(features, {"next_close": "adj_close"}, key=key, order=order, direction=1)
     x, nxt = F.col("adj_close"), F.col("next_close")
     out = base.filter(
         nxt.isNotNull() & F.col("rsi").isNotNull() & F.col("sma_200").isNotNull()
     )
     return out.select(
-        "ticker", "date",
+        key, order,
         F.when(nxt > x, F.lit(1)).otherwise(F.lit(0)).alias("label_next_day_up"),
         safe_ratio(nxt - x, x).alias("label_next_day_return"),
         "adj_close", "log_return", "momentum_20d", "momentum_60d",
@@ -193,15 +201,15 @@ def ml_feature_set(features: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_audit(features: DataFrame) -> DataFrame:
+def pipeline_audit(features: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
     """Row counts and data-quality counters per pipeline run, newest run first."""
     return (
         features.groupBy("pipeline_run")
         .agg(
-            F.countDistinct("ticker").alias("tickers_loaded"),
+            F.countDistinct(key).alias("tickers_loaded"),
             F.count(F.lit(1)).alias("total_rows"),
-            F.min("date").alias("earliest_date"),
-            F.max("date").alias("latest_date"),
+            F.min(order).alias("earliest_date"),
+            F.max(order).alias("latest_date"),
             F.count_if(F.col("rsi").isNull()).alias("null_rsi_count"),
             F.count_if(F.col("sma_200").isNull()).alias("null_sma200_count"),
             F.count_if(F.col("adj_close") <= 0).alias("invalid_price_count"),

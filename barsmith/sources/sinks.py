@@ -6,6 +6,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barsmith.schema import DECLARED_SCHEMA, FEATURE_SCHEMA
 
@@ -15,21 +16,23 @@ from barsmith.schema import DECLARED_SCHEMA, FEATURE_SCHEMA
 PARTITION_COLUMNS = ("year", "month")
 
 
-def _layout(df: DataFrame, partition_cols: Sequence[str], rebalance: bool = True) -> DataFrame:
+def _layout(df: DataFrame, partition_cols: Sequence[str], rebalance: bool = True,
+            key: str = "ticker", order: str = "date") -> DataFrame:
     # REBALANCE: hash by the partition columns, and AQE splits big partitions and
     # merges small ones, so files come out near the advisory size even when one
     # month holds most of the rows. Data read back from a table already laid out by
     # these columns needs no shuffle: its read splits come from one directory each.
     if rebalance:
         df = df.hint("rebalance", *partition_cols)
-    return df.sortWithinPartitions(*partition_cols, "ticker", "date")
+    return df.sortWithinPartitions(*partition_cols, key, order)
 
 
 def write_parquet(features: DataFrame, path: str,
-                  partition_cols: Sequence[str] = PARTITION_COLUMNS) -> None:
+                  partition_cols: Sequence[str] = PARTITION_COLUMNS,
+                  key: str = "ticker", order: str = "date") -> None:
     """Partitioned Parquet; re-runs replace only the partitions they write."""
     (
-        _layout(features, partition_cols)
+        _layout(features, partition_cols, key=key, order=order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
@@ -37,9 +40,10 @@ def write_parquet(features: DataFrame, path: str,
     )
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Read the feature table back with its explicit schema, columns in order."""
-    return spark.read.schema(FEATURE_SCHEMA).parquet(path).select(*FEATURE_SCHEMA.names)
+def read_parquet(spark: SparkSession, path: str, schema: StructType = FEATURE_SCHEMA) -> DataFrame:
+    """Read the feature table back with its explicit schema, columns in order. (Features of
+    a series with another key or order column: pass their own schema.)"""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def run_path(root: str, run_date: str) -> str:
@@ -64,12 +68,12 @@ def newest(runs: DataFrame, key: str = "ticker", order: str = "date") -> DataFra
 def write_table(features: DataFrame, table: str, *, fmt: str = "parquet",
                 path: str | None = None,
                 partition_cols: Sequence[str] = PARTITION_COLUMNS,
-                rebalance: bool = True) -> None:
+                rebalance: bool = True, key: str = "ticker", order: str = "date") -> None:
     """Overwrite a catalog table (``fmt`` pluggable: parquet, orc, or a connector).
 
     ``rebalance=False`` when the input is read from files already partitioned by
     ``partition_cols`` (it saves a full shuffle of the table)."""
-    w = _layout(features, partition_cols, rebalance).write.format(fmt).mode("overwrite")
+    w = _layout(features, partition_cols, rebalance, key, order).write.format(fmt).mode("overwrite")
     if path:
         w = w.option("path", path)
     w.partitionBy(*partition_cols).saveAsTable(table)

@@ -213,3 +213,29 @@ def test_documented_consumer_sql_runs_on_registered_views(spark, features):
     for sql_df, api_df in pairs:
         assert sql_df.columns == api_df.columns
         assert sorted(sql_df.collect()) == sorted(api_df.collect())
+
+
+def test_timestamp_series_is_stored_and_viewed(spark, tmp_dir):
+    """Minute bars with their own key and order columns go through sinks and views."""
+    from barsmith.sources import sinks
+
+    bars = make_bars(spark, random_walk(900, seed=3)).unionByName(make_bars(spark, random_walk(500, seed=5), ticker="B"))
+    start = F.unix_seconds(F.lit("2024-03-01 09:00:00").cast("timestamp"))
+    minutes = (bars.withColumn("ts", F.timestamp_seconds(start + 60 * F.datediff("date", F.lit("2023-01-02"))))
+               .withColumnRenamed("ticker", "symbol").drop("date"))
+    names = {"key": "symbol", "order": "ts"}
+    feats = job.features(minutes, run_date="r", processed_at="p", chunk_rows=300, **names)
+    sinks.write_parquet(feats, f"{tmp_dir}/f", **names)
+    stored = sinks.read_parquet(spark, f"{tmp_dir}/f", feats.schema)
+    assert stored.count() == 1400
+    snap = {r["symbol"]: r for r in vw.latest_snapshot(stored, **names).collect()}
+    assert snap["TEST"]["ts"].minute == 59 and set(snap) == {"TEST", "B"}
+    assert vw.cross_sectional_momentum(stored, **names).count() == 2
+    plain = Window.partitionBy("symbol").orderBy("ts")
+    ml = vw.ml_feature_set(stored, **names)
+    want = stored.withColumn("n", F.lead("adj_close").over(plain)).filter("n is not null and rsi is not null and sma_200 is not null")
+    assert ml.select("symbol", "ts").exceptAll(want.select("symbol", "ts")).count() == 0 and ml.count() == want.count() == 1398
+    signals = vw.rsi_signals(stored, days=90, **names)
+    assert signals.count() == 1400 and signals.columns[:2] == ["symbol", "ts"]
+    assert vw.volatility_regime(stored, days=90, **names).count() == 1400
+    assert vw.pipeline_audit(stored, **names).first()["tickers_loaded"] == 2
