@@ -325,7 +325,7 @@ def q_rank_ties(spark, sf_dir):
     v = F.when(F.col("volume") % 5 != 0, (F.col("volume") % 7).cast("double"))
     bars = stored_bars(spark, sf_dir).select("ticker", "date", v.alias("v"))
     return rounded(percent_ranks(bars, {
-        f"{'desc' if d else 'asc'}_{'last' if n else 'first'}": ("v", d, n) for d in (True, False) for n in (True, False)}))
+        f"{'desc' if d else 'asc'}_{'last' if n else 'first'}": ("v", d, n) for d in (True, False) for n in (True, False)}, by=["ticker", "date"]))
 
 
 def q_sql_views(spark, sf_dir):

@@ -119,7 +119,7 @@ def cross_sectional_momentum(features: DataFrame, *, best_is_high: bool = False,
         "momentum_20d_pctrank": ("momentum_20d", desc, desc),
         "momentum_60d_pctrank": ("momentum_60d", desc, desc),
         "vol_pctrank": ("annualized_vol_20d", False, False),
-    })
+    }, by=[key])
     score = (F.lit(MOMENTUM_WEIGHTS["m20"]) * F.col("momentum_20d_pctrank")
              + F.lit(MOMENTUM_WEIGHTS["m60"]) * F.col("momentum_60d_pctrank"))
     return (

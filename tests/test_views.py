@@ -54,7 +54,7 @@ def test_percent_ranks_match_the_window_with_ties_and_nulls(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
     order = {(True, True): "desc_nulls_last", (True, False): "desc_nulls_first",
              (False, True): "asc_nulls_last", (False, False): "asc_nulls_first"}
-    got = percent_ranks(df, {m: ("v", *k) for k, m in order.items()})
+    got = percent_ranks(df, {m: ("v", *k) for k, m in order.items()}, by=["id"])
     for m in order.values():
         got = got.withColumn("want_" + m, F.percent_rank().over(Window.orderBy(getattr(F.col("v"), m)())))
     rows = got.collect()
@@ -62,8 +62,8 @@ def test_percent_ranks_match_the_window_with_ties_and_nulls(spark):
     for r in rows:
         for m in order.values():
             assert r[m] == pytest.approx(r["want_" + m])
-    assert percent_ranks(df.filter("v is null"), {"p": ("v", True, True)}).agg(F.max("p")).first()[0] == 0
-    assert percent_ranks(df.limit(0), {"p": ("v", True, True)}).collect() == []
+    assert percent_ranks(df.filter("v is null"), {"p": ("v", True, True)}, by=["id"]).agg(F.max("p")).first()[0] == 0
+    assert percent_ranks(df.limit(0), {"p": ("v", True, True)}, by=["id"]).collect() == []
 
 
 def test_momentum_view_sees_rows_added_later(spark, tmp_dir, features):
