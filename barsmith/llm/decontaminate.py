@@ -1,23 +1,23 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are runs of letters and digits of the lower-cased text. Word n-grams are 64-bit hashes.
 
-1. A first pass over the documents counts, for each n-gram of the test items, the documents
-   that hold it. Of the n-grams that occur, each item takes its rarest half
-   (``least_seeds`` at least) as seeds. There is no frequency limit: an item whose whole
-   passage is frequent has frequent seeds, and all documents that hold it are found.
-2. A second pass finds the seeds. Around them it cuts windows as wide as the longest item on
-   either side; overlapping windows are one. Windows and items meet by an equi-join on
-   the seed.
+1. Every n-gram of a test item is a seed. None is left out for being frequent, so copies that
+   are edited or partial are found whatever other documents hold of the item. An alignment that
+   shares no run of ``n`` words with its item (every third word edited, at n = 3) has no seed
+   and is not found.
+2. One pass over the documents finds the seeds. Around them it cuts windows as wide as the
+   longest item on either side; overlapping windows are one. Windows and items meet by an
+   equi-join on the seed.
 3. Each pair of window and item is aligned word by word (match 1, mismatch and gap
    -``penalty``). Score: the best local alignment's sum over the item's number of words.
    A pair of document and item with at least ``min_score`` and ``min_matches`` in its best
-   alignment's sum (or the whole item, if shorter) is contamination.
+   alignment's sum (or the whole item, if shorter) is contamination. Pairs that can't get there,
+   because no stretch of the window has enough words of the item, are not aligned.
 
-Both passes probe a bitmap of fixed size (``filter_bits``, 8 MB) that is broadcast whatever the
+The pass probes a bitmap of fixed size (``filter_bits``, 8 MB) that is broadcast whatever the
 size of the benchmark; the n-grams it lets through meet the exact ones in a join, and the
-alignment compares words, not hashes. A passage that a third of the documents share is one
-counter per map task in the first pass, one window per document in the second.
+alignment compares words, not hashes.
 
 Items of fewer than ``n`` words can't be told from chance and match nothing. Null texts are
 empty. Null doc_ids and item_ids are reported as null, as one document or by item text.
@@ -32,7 +32,7 @@ from typing import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.llm.common import stored
@@ -153,12 +153,19 @@ def bitmap_of(hashes: DataFrame, bits: int) -> np.ndarray:
     return out.reshape(-1)
 
 
-def align(item: list[str], window: list[str], penalty: float) -> tuple[float, int, int]:
-    """(sum, first, last word) of the best local alignment, spans in the window."""
+def align(item: list[str], window: list[str], penalty: float, least: float = 0.0) -> tuple[float, int, int]:
+    """(sum, first, last word) of the best local alignment, spans in the window; zeros where it
+    is plain that the sum is under ``least``."""
     numbers: dict[str, int] = {}
     a = [numbers.setdefault(w, len(numbers)) for w in item]
     b = np.array([numbers.get(w, -1) for w in window])
     m = len(b)
+    # Each gap along the window costs the penalty, so an alignment with that sum spans at most
+    # this many words, and its sum is at most the words of the item among them.
+    span = min(m, len(a) + int(max(0.0, len(a) - least) / penalty) + 1) if penalty > 0 else m
+    held = np.cumsum(np.append(0, b >= 0))
+    if (held[span:] - held[:m + 1 - span]).max() < least:
+        return 0.0, 0, 0
     place = np.arange(m)
     slope = penalty * place
     row, first = np.zeros(m + 1), np.arange(m + 1)  # row[j]: best alignment that ends with window word j - 1
@@ -182,7 +189,7 @@ def align(item: list[str], window: list[str], penalty: float) -> tuple[float, in
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id",
-            item_text: str = "text", n: int = 3, least_seeds: int = 8, penalty: float = 0.5, min_score: float = 0.4,
+            item_text: str = "text", n: int = 3, penalty: float = 0.5, min_score: float = 0.4,
             min_matches: float = 6.0, filter_bits: int = 1 << 26) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word): each contaminated pair once, with its
     best alignment's score and its span in words of the document."""
@@ -202,31 +209,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id
     item_grams = items.select("item", F.explode("grams").alias("gram"))
     reach = items.agg(F.max("n_words")).first()[0] or 0
 
-    every = spark.sparkContext.broadcast(bitmap_of(item_grams.select("gram"), filter_bits))
-
-    def count(batches):
-        def emit(total):
-            return pa.RecordBatch.from_arrays([pa.array(list(total), pa.uint64()).view(pa.int64()), pa.array(list(total.values()), pa.int64())], names=["gram", "n"])
-
-        total: dict[int, int] = {}
-        for b in batches:
-            for _, _, h, _, _ in split(b.column(0).to_pylist()):
-                g = grams_of(h, n)
-                for x in np.unique(g[_let_through(every.value, g, filter_bits)]).tolist():
-                    total[x] = total.get(x, 0) + 1
-            if len(total) > 1 << 20:
-                yield emit(total)
-                total = {}
-        if total:
-            yield emit(total)
-
-    frequency = docs.select(text).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    rarest = Window.partitionBy("item").orderBy("n", "gram")
-    occurring = F.count(F.lit(1)).over(Window.partitionBy("item"))
-    seeds = stored(item_grams.join(frequency, "gram").withColumn("k", F.row_number().over(rarest))
-                   .withColumn("of", occurring).filter(F.col("k") <= F.greatest(F.lit(least_seeds), F.ceil(F.col("of") / 2)))
-                   .select("gram", "item"), "seeds")
-    rare = spark.sparkContext.broadcast(bitmap_of(seeds.select("gram").distinct(), filter_bits))
+    seeds = spark.sparkContext.broadcast(bitmap_of(item_grams.select("gram"), filter_bits))
 
     def cut(batches):
         schema = pa.schema([("at", pa.int64()), ("start", pa.int32()), ("words", pa.string()), ("grams", pa.list_(pa.int64()))])
@@ -234,7 +217,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id
             out = []
             for i, t, h, s, e in split(b.column(1).to_pylist()):
                 g = grams_of(h, n)
-                hits = np.flatnonzero(_let_through(rare.value, g, filter_bits))
+                hits = np.flatnonzero(_let_through(seeds.value, g, filter_bits))
                 if not len(hits):
                     continue
                 for part in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * reach + n) + 1):
@@ -248,11 +231,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id
     windows = stored(docs.select(doc_id, text).mapInArrow(cut, f"d {kind}, start int, words string, grams array<long>")
                      .withColumn("window", F.xxhash64("d", "start", "words")), "windows")
 
-    pairs = (windows.select("window", F.explode("grams").alias("gram")).join(seeds, "gram").select("window", "item").distinct())
+    pairs = (windows.select("window", F.explode("grams").alias("gram")).join(item_grams, "gram").select("window", "item").distinct())
 
     @F.pandas_udf("sum double, first int, last int")
     def aligned(item: pd.Series, window: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([align(a.split(" "), b.split(" "), penalty) for a, b in zip(item, window, strict=True)], columns=["sum", "first", "last"])
+        found = []
+        for a, b in zip(item, window, strict=True):
+            words = a.split(" ")
+            least = max(min_score * len(words), min(min_matches, len(words))) - 1e-6
+            found.append(align(words, b.split(" "), penalty, least))
+        return pd.DataFrame(found, columns=["sum", "first", "last"])
 
     found = (pairs.join(items.select("item", F.col("words").alias("item_words"), "n_words"), "item")
              .join(windows.select("window", "d", "start", "words"), "window")

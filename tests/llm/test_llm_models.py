@@ -256,6 +256,31 @@ def test_contamination_found_and_clean_left(spark):
     assert decontaminate.matches(df, bench.limit(0)).collect() == []
 
 
+def test_edited_copies_found_beside_exact_ones(spark):
+    """Each item stands whole in 200 documents and changed in one way in another."""
+    changed = {k: lambda words, k=k: [f"x{i}" if i % k == k - 1 else w for i, w in enumerate(words)] for k in (4, 5, 6)}
+    changed |= {18: lambda words: words[:18], 20: lambda words: words[:20], 5000: lambda words: words[:5], 5001: lambda words: words[::2]}
+    items = {k: [f"w{k}n{i}" for i in range(40)] for k in changed}
+    docs = [(1000 + i, " ".join([f"p{i}", *(w for words in items.values() for w in [*words, f"q{i}"])])) for i in range(200)]
+    docs += [(k, " ".join([f"p{k}", *change(items[k]), f"q{k}"])) for k, change in changed.items()]
+    bench = spark.createDataFrame([(k, " ".join(words)) for k, words in items.items()], "item_id long, text string")
+    found = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in found.collect()}
+    sums = {k: slow_align(items[k], change(items[k]), 0.5) for k, change in changed.items()}
+    want = {(k, k): s / 40 for k, s in sums.items() if s / 40 >= 0.4 and s >= 6}
+    assert {k for k, _ in want} == {4, 5, 6, 18, 20}
+    assert got == pytest.approx(want | {(1000 + i, k): 1.0 for i in range(200) for k in items})
+
+
+def test_alignments_are_skipped_only_below_the_bar():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        a, b = ([str(x) for x in rng.integers(0, 12, k)] for k in rng.integers(1, 30, 2))
+        whole = decontaminate.align(a, b, 0.5)
+        for least in (0.4 * len(a), min(6.0, len(a))):
+            assert decontaminate.align(a, b, 0.5, least) == whole or whole[0] < least
+
+
 # -- mixing
 
 
