@@ -22,7 +22,8 @@ from barsmith.llm import decontaminate, line_dedup, mixing, quality, simhash  #
 from barsmith.llm.common import read_table, stored  # noqa: E402
 from barsmith.llm.queries import QUALITY_THRESHOLD, id_crc, label_domains  # noqa: E402
 
-#: Target weights of the final mix: clean text only. Documents at rate 0 leave the corpus.
+#: Target weights of the final mix: clean text only. Documents whose likeliest domain has
+#: target 0 leave the corpus, whatever their rate.
 TARGETS = {"clean": 1.0, "low": 0.0, "toxic": 0.0}
 
 
@@ -56,9 +57,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a positive rate in the target mix, with that rate."""
+    """Documents whose likeliest domain has a place in the target mix, with their rate. The rate
+    itself decides nothing: how near to 0 it comes depends on when the fit stops. Without any
+    labelled row there are no domains, and every document stays."""
     out = mixing.mix(docs, label_domains(read_table(spark, sf_dir, "labels")), TARGETS)
-    return out.filter(F.col("rate") > 0)
+    wanted = [d for d, weight in TARGETS.items() if weight > 0]
+    return out.filter(F.col("domain").isNull() | F.col("domain").isin(wanted))
 
 
 STAGES = [

@@ -56,3 +56,24 @@ def test_pipeline_stages(spark):
     assert len(fine - set(kept["quality"])) <= 0.05 * len(fine)
     assert all(r["rate"] > 0 for r in kept["mixing"].values())
     assert set(kept["line_dedup"]) == set(kept["quality"])
+
+
+@pytest.mark.parametrize("separable", [True, False])
+def test_mixing_stage_drops_by_domain(spark, tmp_dir, separable):
+    """Toxic and low documents leave and clean ones stay, whether the fit of the rates takes one
+    step (posteriors almost 0 or 1) or many."""
+    words = {"clean": "meadow river stone", "low": "click offer prize", "toxic": "vile scum filth"}
+    rows, labels = [], []
+    for i in range(600):
+        d = "toxic" if i % 10 == 0 else "low" if i % 10 == 1 else "clean"
+        own = words[d].split() if separable or i % 7 else words[d].split()[:1] + words["low" if d == "clean" else "clean"].split()[:1]
+        rows.append((i, " ".join([*own, *(f"w{(i * k) % 50}" for k in range(1, 9))])))
+        labels.append((i, int(d != "low"), int(d == "toxic")))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in corpus_pipeline.mix(spark, docs, tmp_dir).collect()}
+    assert {r["domain"] for r in got.values()} == {"clean"}
+    if separable:
+        assert set(got) == {i for i, quality, toxic in labels if quality and not toxic}
+    out = corpus_pipeline.mixing.mix(docs, corpus_pipeline.label_domains(spark.read.parquet(f"{tmp_dir}/labels.parquet")), corpus_pipeline.TARGETS).collect()
+    assert set(got) == {r["doc_id"] for r in out if r["domain"] == "clean"}
