@@ -7,9 +7,12 @@ Built-in DataFrame functions only; no Python runs on the executors.
    is blanks and punctuation, how many of its words differ. On a bounded sample
    of labelled rows (about ``sample_rows``, by a hash of the id) documents are
    counted per feature and domain. Features that are
-   ``min_lift`` times as frequent in some domain as in the others, the ``max_features`` best of
-   them by the G statistic (``min_g`` at least), make a Bernoulli naive Bayes model: one row
-   per feature, a weight per domain, and a base weight for the absence of all of them.
+   ``min_lift`` times as frequent in a domain as in the others and significant by the G
+   statistic make a Bernoulli naive Bayes model, the ``max_features`` best of each domain: one
+   row per feature, a weight per domain, and a base weight for the absence of all of them.
+   Significant means a chance of ``significance`` that any of the sample's features would get
+   there if none differed between domains (Bonferroni), so the bar follows the sample;
+   ``min_g`` sets it by hand.
 2. Posteriors of every document, from its whole text.
 3. Rates. With n the tokens (words) of a document and p its posteriors, rates w >= 0 minimise
    the sum over domains of (sum of w n p - target)^2 / mass, mass being the domain's expected
@@ -25,7 +28,8 @@ one pass over the documents.
 
 Targets are weights over domains (scaled to sum 1) of ``total`` tokens (default: as many as
 the documents have). Domains without labelled rows in the sample have no posterior, and
-their weight can't be reached. Without any labelled row every rate is 1.
+their weight can't be reached. Without any labelled row every rate is 1. Where no feature is
+significant, all posteriors are the domains' shares, with a warning.
 
 Null texts are empty, with zero tokens; they have posteriors and a rate all the same. Rows with
 null domain, or a domain without target, teach nothing; ids that repeat in the table teach
@@ -36,6 +40,7 @@ pass through; result columns get underscores in front where their names are take
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -75,8 +80,28 @@ class Model:
     weights: dict[str, list[float]]
 
 
+def chance_of(g: float, freedom: int) -> float:
+    """The chance that a chi-squared variable of ``freedom`` degrees is ``g`` or more."""
+    x, a = g / 2, 0.5 if freedom % 2 else 1.0
+    chance = math.erfc(math.sqrt(x)) if freedom % 2 else math.exp(-x)
+    while 2 * a < freedom:
+        chance += x ** a * math.exp(-x) / math.gamma(a + 1)
+        a += 1
+    return chance
+
+
+def least_g(features: int, domains: int, significance: float) -> float:
+    """The G statistic that one of ``features`` reaches by chance with that probability."""
+    low, high = 0.0, 1000.0
+    for _ in range(60):
+        g = (low + high) / 2
+        low, high = (g, high) if chance_of(g, max(domains - 1, 1)) * features > significance else (low, g)
+    return high
+
+
 def learn(docs: DataFrame, labelled: DataFrame, domains: list[str], *, text: str = "text", doc_id: str = "doc_id", domain: str = "domain",
-          sample_rows: int = 20_000, max_features: int = 128, min_g: float = 40.0, min_lift: float = 2.5, smooth: float = 0.5) -> Model | None:
+          sample_rows: int = 20_000, max_features: int = 128, min_g: float | None = None,
+          significance: float = 0.01, min_lift: float = 2.5, smooth: float = 0.5) -> Model | None:
     known = labelled.filter(F.col(domain).isin(domains) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(domain).alias("_d"))
     rate = min(1.0, sample_rows / max(known.count(), 1))
     chosen = known.filter(F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit("mixing")), F.lit(1 << 20)) < rate * (1 << 20))
@@ -87,8 +112,8 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: list[str], *, text: str
     if not named:
         return None
     rows = sum(sizes.values())
-    counted = seen.select("_d", F.explode("_f").alias("f")).groupBy("f").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("_d") == d).alias(f"n{i}") for i, d in enumerate(named)])
+    counted = stored(seen.select("_d", F.explode("_f").alias("f")).groupBy("f").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("_d") == d).alias(f"n{i}") for i, d in enumerate(named)]), "mixing-features")
 
     def g_part(observed: Column, expected: Column) -> Column:
         return F.when(observed > 0, 2 * observed * F.log(observed / expected)).otherwise(0.0)
@@ -96,9 +121,16 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: list[str], *, text: str
     g = F.lit(0.0)
     for i, d in enumerate(named):
         g = g + g_part(F.col(f"n{i}"), F.col("n") * sizes[d] / rows) + g_part(F.lit(sizes[d]) - F.col(f"n{i}"), (F.lit(rows) - F.col("n")) * sizes[d] / rows)
-    lift = F.greatest(F.lit(0.0), *[((F.col(f"n{i}") + smooth) / (sizes[d] + 2 * smooth))
-                                    / ((F.col("n") - F.col(f"n{i}") + smooth) / (rows - sizes[d] + 2 * smooth)) for i, d in enumerate(named)])
-    top = counted.filter((F.col("n") < rows) & (lift >= min_lift)).withColumn("g", g).filter(F.col("g") >= min_g).orderBy(F.desc("g"), "f").limit(max_features).collect()
+    lifts = [((F.col(f"n{i}") + smooth) / (sizes[d] + 2 * smooth))
+             / ((F.col("n") - F.col(f"n{i}") + smooth) / (rows - sizes[d] + 2 * smooth)) for i, d in enumerate(named)]
+    if min_g is None:
+        min_g = least_g(max(counted.count(), 1), len(named), significance)
+    bar = counted.filter(F.col("n") < rows).withColumn("g", g).filter(F.col("g") >= min_g)
+    best = {r["f"]: r for lift in lifts for r in bar.filter(lift >= min_lift).orderBy(F.desc("g"), "f").limit(max_features).collect()}
+    top = sorted(best.values(), key=lambda r: (-r["g"], r["f"]))
+
+    if not top and len(named) > 1:
+        warnings.warn(f"no word tells the domains apart in {rows} labelled rows: all posteriors are equal", stacklevel=2)
 
     def share(count: int, d: str) -> float:
         return (count + smooth) / (sizes[d] + 2 * smooth)

@@ -343,3 +343,24 @@ def test_mixing_without_labels_or_rows(spark):
 def test_mixing_runs_no_python(spark):
     plan = queries.op10_mixing(spark, DATA)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_bar_of_features_follows_the_sample(spark):
+    """Few labelled rows: a word in 6 of 10 toxic ones teaches, chance words don't; none is a warning."""
+    rng = random.Random(4)
+    filler = [" ".join(f"f{rng.randint(0, 60)}" for _ in range(8)) for _ in range(90)]
+    labels = spark.createDataFrame([(i, "toxic" if i < 10 else "clean") for i in range(90)], "doc_id long, domain string")
+    docs = spark.createDataFrame([(i, ("scum " if i < 6 else "") + x) for i, x in enumerate(filler)], "doc_id long, text string")
+    assert list(mixing.learn(docs, labels, ["clean", "toxic"]).weights) == ["scum"]
+    assert mixing.least_g(1, 2, 0.05) == pytest.approx(3.841, abs=1e-3) and mixing.least_g(1, 5, 0.05) == pytest.approx(9.488, abs=1e-3)
+    plain = spark.createDataFrame(list(enumerate(filler)), "doc_id long, text string")
+    with pytest.warns(UserWarning, match="no word"):
+        assert mixing.learn(plain, labels, ["clean", "toxic"]).weights == {}
+
+
+def test_each_domain_has_features_of_its_own(spark):
+    words = {"a": "a1 a2 a3 a4", "b": "b1 b2 b3 b4", "rare": "r1"}
+    rows = [(i, "rare" if i % 20 == 0 else "ab"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame([(i, f"{words[d]} w{i % 9}") for i, d in rows], "doc_id long, text string")
+    model = mixing.learn(docs, spark.createDataFrame(rows, "doc_id long, domain string"), ["a", "b", "rare"], max_features=3)
+    assert "r1" in model.weights and {k[0] for k in model.weights} >= {"a", "b", "r"}
