@@ -112,6 +112,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "domain", *[F.col("posteriors")[d].alias(f"p_{d}") for d in sorted(MIX_TARGETS)], "rate")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barsmith.llm.prefix_trie import build, conversation_turns, ends_digest, with_borrowed_starts
+
+    c = F.col("conv_id")
+    convs = conversation_turns(read_table(spark, sf_dir, "conversations"))
+    out = ends_digest(*build(with_borrowed_starts(convs, c - c % 100, (id_crc("conv_id") % 6).cast("int"), most=5)))
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from barsmith.llm.filter_audit import audit
+
+    return audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from barsmith.llm.packing import pack
+
+    out = pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=1)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
@@ -123,4 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_packing": op13_packing,
 }
