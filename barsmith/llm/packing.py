@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import struct
 from typing import Iterator
 
 import numpy as np
@@ -48,16 +49,23 @@ SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 WINDOW_BITS = 40
 
 
+#: Marks that are a pre-token of their own between a letter and a blank.
+_MARKS = {".", ",", ";", ":", "!", "?"}
+
+
 class _PieceIds(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit numbers."""
+    """Pre-token -> its ids as little-endian unsigned 32-bit numbers, by the library's model."""
 
     def __init__(self, spec: str):
         super().__init__()
-        self.model, self.symbols = Tokenizer.from_str(spec).model, byte_symbols()
+        self.merge, self.symbols = Tokenizer.from_str(spec).model.tokenize, dict(enumerate(byte_symbols()))
+
+    def ids(self, piece: str) -> bytes:
+        merged = self.merge(piece.encode().decode("latin-1").translate(self.symbols))
+        return struct.pack(f"<{len(merged)}I", *[t.id for t in merged])
 
     def __missing__(self, piece: str) -> bytes:
-        merged = self.model.tokenize("".join([self.symbols[b] for b in piece.encode()]))
-        ids = np.array([t.id for t in merged], dtype="<u4").tobytes()
+        ids = self.ids(piece)
         if len(self) < REMEMBERED and len(piece) < 64:
             self[piece] = ids
         return ids
@@ -69,10 +77,19 @@ class _WordIds(dict):
 
     def __init__(self, pieces: _PieceIds):
         super().__init__()
-        self.pieces, self.split = pieces.__getitem__, regex.compile(PATTERN).findall
+        self.pieces, self.split = pieces, regex.compile(PATTERN).findall
 
     def __missing__(self, word: str) -> bytes | None:
-        ids = None if not word or word[-1].isspace() else b"".join(map(self.pieces, self.split(" " + word)))
+        if word.isalpha():  # one pre-token
+            ids = self.pieces.ids(" " + word)
+        elif word[-1:] in _MARKS and word[:-1].isalpha():  # two
+            ids = self[word[:-1]] + self.pieces[word[-1]]
+        elif not word or word[-1].isspace():
+            ids = None
+        else:
+            first, *others = self.split(" " + word)
+            ids = self[first[1:]] if first[1:].isalpha() else self.pieces[first]
+            ids += b"".join(map(self.pieces.__getitem__, others))
         if len(self) < REMEMBERED and len(word) < 64:
             self[word] = ids
         return ids
@@ -85,7 +102,7 @@ def encoder(spec: str):
     is split into pre-tokens, whose ids the library's model gives; they are remembered.
     """
     tokenizer = Tokenizer.from_str(spec)
-    special = {t.content: np.array([i], dtype="<u4").tobytes() for i, t in tokenizer.get_added_tokens_decoder().items()}
+    special = {t.content: struct.pack("<I", i) for i, t in tokenizer.get_added_tokens_decoder().items()}
     apart = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")").split if special else None
     pieces, split = _PieceIds(spec), regex.compile(PATTERN).findall
     words = _WordIds(pieces)
@@ -207,18 +224,21 @@ class Packer:
 
 
 def pack(docs: DataFrame, vocabulary_path: str, *, doc_id: str = "doc_id", text: str = "text",
-         capacity: int = 2048, end_id: int = 1, batch_tokens: int = 1 << 19) -> DataFrame:
+         capacity: int = 2048, end_id: int = 1, batch_tokens: int = 1 << 17) -> DataFrame:
     """The pieces of all documents: doc_id, start, length, doc_tokens, sequence_id, offset and
     ids (little-endian unsigned 32-bit numbers)."""
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("the capacity is a power of two")
     with open(vocabulary_path, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        shared = docs.sparkSession.sparkContext.broadcast({"spec": f.read()})
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
               ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(shared.value), np.array([end_id], dtype="<u4").tobytes()
+        # a Python worker keeps a broadcast value, and with it what the encoder remembers, from task to task
+        known = shared.value
+        encode = known.get("encoder") or known.setdefault("encoder", encoder(known["spec"]))
+        end = struct.pack("<I", end_id)
         packer = Packer(capacity, batch_tokens, TaskContext.get().partitionId() << WINDOW_BITS)
         out: list[tuple] = []
         size = 0
@@ -228,8 +248,10 @@ def pack(docs: DataFrame, vocabulary_path: str, *, doc_id: str = "doc_id", text:
 
         def pieces() -> Iterator[tuple]:
             for batch in batches:
-                for i, t in zip(batch.column(0), batch.column(1)):
-                    yield from packer.add(i.as_py(), encode(t.as_py() or "") + end)
+                for at in range(0, batch.num_rows, 256):
+                    part = batch.slice(at, 256)
+                    for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                        yield from packer.add(i, encode(t or "") + end)
             yield from packer.finish()
 
         for piece in pieces():
