@@ -251,7 +251,9 @@ def test_contamination_found_and_clean_left(spark):
     assert got[1, 1]["score"] == 1 and got[1, 1]["first_word"] == 50 and got[1, 1]["last_word"] == 89
     kept = decontaminate.clean(df, bench)
     assert kept.columns == df.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "6", "8", "9", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "6", "8", "9"]
+    unknown = spark.createDataFrame([(None, "nothing of it", "x"), (None, " ".join(PASSAGE), "y"), (None, None, "z")], df.schema)
+    assert sorted(r["item"] for r in decontaminate.clean(unknown, bench).collect()) == ["x", "z"]
     assert decontaminate.matches(df.limit(0), bench).collect() == []
     assert decontaminate.matches(df, bench.limit(0)).collect() == []
 
@@ -281,6 +283,75 @@ def test_alignments_are_skipped_only_below_the_bar():
             assert decontaminate.align(a, b, 0.5, least) == whole or whole[0] < least
 
 
+def test_windows_are_aligned_together_as_one_by_one():
+    rng = random.Random(9)
+    for _ in range(100):
+        item = rng.choices("abcdefg", k=rng.randint(1, 15))
+        windows = [rng.choices("abcdefghij", k=rng.randint(1, 40)) for _ in range(7)] + [[], ["z"]]
+        for least in (0.0, 0.4 * len(item), 0.8 * len(item)):
+            got = decontaminate.align_all(item, windows, 0.5, least)
+            assert got == [decontaminate.align(item, w, 0.5, least) for w in windows]
+            for (total, lo, hi), w in zip(got, windows, strict=True):
+                best = slow_align(item, w, 0.5) if w else 0
+                assert total == pytest.approx(best) or (total == 0 and best < least)
+                assert not total or slow_align(item, w[lo:hi + 1], 0.5) == pytest.approx(total)
+
+
+def test_words_by_unicode_class(spark):
+    """Marks of any script part words; unspaced scripts are read by character."""
+    chinese = "人工智能正在改变世界各地的教育与科学研究"
+    item = [f"wört{i}" for i in range(12)]
+    bench = spark.createDataFrame([(1, chinese), (2, " ".join(item)), (3, "это предложение написано по русски и значит мало")], "item_id long, text string")
+    docs = [(1, f"前言。{chinese[:11]}，{chinese[11:]}"), (2, "—".join(item)), (3, "“" + "” «".join(item)), (4, "\u00a0".join(item)), (5, "другое это предложение; написано… по-русски и значит мало"),
+            (6, "世界很大"), (7, "".join(item))]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1), (2, 2), (3, 2), (4, 2), (5, 3)}
+
+
+def test_matches_equal_all_pairs(spark):
+    """Every pair of document and item, aligned whole by the plain recurrence."""
+    rng = random.Random(12)
+    words = [f"c{i}" for i in range(30)]
+    items = {k: rng.choices(words, k=rng.randint(3, 70)) for k in range(12)}
+    items[20] = rng.choices(words, k=200)  # another class of length
+    docs = {}
+    for i in range(80):
+        base = rng.choices(words, k=rng.randint(0, 60))
+        if i % 2:
+            part = list(items[rng.choice(list(items))])
+            for _ in range(rng.randrange(len(part) // 3 + 1)):
+                part[rng.randrange(len(part))] = rng.choice(words)
+            base[len(base) // 2: len(base) // 2] = part
+        docs[i] = base
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.matches(table, bench).collect()}
+    grams = lambda w: {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
+    want = {}
+    for i, d in docs.items():
+        for k, w in items.items():
+            total = slow_align(w, d, 0.5)
+            if grams(w) & grams(d) and total >= 0.4 * len(w) and total >= min(6, len(w)):
+                want[i, k] = total / len(w)
+    assert len(want) > 30 and got == pytest.approx(want)
+
+
+def test_a_shared_phrase_is_not_aligned(spark, monkeypatch):
+    """Items and documents that share one common phrase meet, and the bound keeps them from being aligned."""
+    phrase = "what is the answer to"
+    bench = spark.createDataFrame([(k, phrase + " " + " ".join(f"i{k}n{j}" for j in range(30))) for k in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(f"d{i}n{j}" for j in range(50)) + " " + phrase) for i in range(60)], "doc_id long, text string")
+
+    def refuse(a, b, penalty):
+        raise AssertionError("aligned")
+
+    monkeypatch.setattr(decontaminate, "_align_group", refuse)
+    assert decontaminate.matches(docs, bench).collect() == []
+    hit = docs.unionByName(bench.selectExpr("1000 + item_id AS doc_id", "text"))
+    with pytest.raises(Exception, match="aligned"):
+        decontaminate.matches(hit, bench).collect()
+
+
 # -- mixing
 
 
