@@ -15,7 +15,7 @@ Its work after the cells depends on the number of parts alone: 326 prefixes time
 
 Defined results: null text is empty text, null part the empty string. Exact copies are equal by
 SHA-256; a row with null id is older than none and makes none a copy, and repeated rows of one id are not
-copies of each other. A document counts as good or toxic if any of its label rows says so; without
+copies of each other. A document counts as good or toxic if any label row of its id says so; without
 label it is neither. Rows of one id are counted each. Texts of any length are judged whole. An empty table
 gives no rows. Extra columns are ignored.
 """

@@ -31,18 +31,19 @@ from __future__ import annotations
 
 import heapq
 import math
-import struct
+from array import array
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barsmith.llm.tokens import PATTERN, REMEMBERED, blocks, byte_symbols
+from barsmith.llm.tokens import BLOCK_CHARS, PATTERN, blocks, byte_symbols
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 #: Windows of one partition: the partition's number takes the bits above these.
@@ -51,6 +52,10 @@ WINDOW_BITS = 40
 
 #: Marks that are a pre-token of their own between a letter and a blank.
 _MARKS = {".", ",", ";", ":", "!", "?"}
+#: Words and other pieces that a Python worker remembers (about 200 bytes each).
+WORDS, PIECES = 800_000, 200_000
+#: Bytes of texts whose words are looked up together.
+TOGETHER = 8 << 20
 
 
 class _PieceIds(dict):
@@ -59,14 +64,21 @@ class _PieceIds(dict):
     def __init__(self, spec: str):
         super().__init__()
         self.merge, self.symbols = Tokenizer.from_str(spec).model.tokenize, dict(enumerate(byte_symbols()))
+        self.blank = self.symbols[32]
 
     def ids(self, piece: str) -> bytes:
         merged = self.merge(piece.encode().decode("latin-1").translate(self.symbols))
-        return struct.pack(f"<{len(merged)}I", *[t.id for t in merged])
+        return array("I", [t.id for t in merged]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        """The ids of a word of letters with a blank in front."""
+        if not word.isascii():
+            return self.ids(" " + word)
+        return array("I", [t.id for t in self.merge(self.blank + word)]).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.ids(piece)
-        if len(self) < REMEMBERED and len(piece) < 64:
+        if len(self) < PIECES and len(piece) < 64:
             self[piece] = ids
         return ids
 
@@ -81,7 +93,7 @@ class _WordIds(dict):
 
     def __missing__(self, word: str) -> bytes | None:
         if word.isalpha():  # one pre-token
-            ids = self.pieces.ids(" " + word)
+            ids = self.pieces.word(word)
         elif word[-1:] in _MARKS and word[:-1].isalpha():  # two
             ids = self[word[:-1]] + self.pieces[word[-1]]
         elif not word or word[-1].isspace():
@@ -90,36 +102,74 @@ class _WordIds(dict):
             first, *others = self.split(" " + word)
             ids = self[first[1:]] if first[1:].isalpha() else self.pieces[first]
             ids += b"".join(map(self.pieces.__getitem__, others))
-        if len(self) < REMEMBERED and len(word) < 64:
+        if len(self) < WORDS and len(word) < 64:
             self[word] = ids
         return ids
 
 
-def encoder(spec: str):
-    """text -> ids as little-endian unsigned 32-bit numbers, of a byte-level BPE ``tokenizer.json``.
+class Encoder:
+    """Ids of texts as little-endian unsigned 32-bit numbers, by a byte-level BPE ``tokenizer.json``.
 
     Special strings inside a text become their id, as the library does by default. The rest
-    is split into pre-tokens, whose ids the library's model gives; they are remembered.
+    is split into pre-tokens, whose ids the library's model gives; they are remembered. A single blank after a
+    character that is no white space always starts a pre-token, so the words between
+    blanks are encoded on their own.
     """
-    tokenizer = Tokenizer.from_str(spec)
-    special = {t.content: struct.pack("<I", i) for i, t in tokenizer.get_added_tokens_decoder().items()}
-    apart = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")").split if special else None
-    pieces, split = _PieceIds(spec), regex.compile(PATTERN).findall
-    words = _WordIds(pieces)
 
-    def plain(text: str) -> bytes:
+    def __init__(self, spec: str):
+        special = {t.content: i for i, t in Tokenizer.from_str(spec).get_added_tokens_decoder().items()}
+        self.special = {s: array("I", [i]).tobytes() for s, i in special.items()}
+        either = "|".join(map(regex.escape, sorted(special, key=len, reverse=True)))
+        self.apart = regex.compile(f"({either})").split if special else lambda text: [text]
+        self.pieces, self.split = _PieceIds(spec), regex.compile(PATTERN).findall
+        self.words = _WordIds(self.pieces)
+
+    def __call__(self, text: str) -> bytes:
+        return b"".join(self.special[p] if i % 2 else b"".join(map(self._plain, blocks(p))) for i, p in enumerate(self.apart(text)) if p)
+
+    def _pieces(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def _plain(self, text: str) -> bytes:
         first, *others = text.split(" ")
         if not others or (first and not first[-1].isspace()):
-            found = list(map(words.__getitem__, others))
+            found = list(map(self.words.__getitem__, others))
             if None not in found:
-                return b"".join(map(pieces.__getitem__, split(first))) + b"".join(found)
-        return b"".join(map(pieces.__getitem__, split(text)))
-
-    def encode(text: str) -> bytes:
-        parts = apart(text) if apart else [text]
-        return b"".join(special[p] if i % 2 else b"".join(map(plain, blocks(p))) for i, p in enumerate(parts) if p)
-
-    return encode
+                return self._pieces(first) + b"".join(found)
+        return self._pieces(text)
+
+    def many(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text (null: none). Distinct words of some megabytes of texts are looked up once, and
+        their ids are put in the places of the words by Arrow."""
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TOGETHER, side="right")))
+            yield from self._together(texts.slice(at, end - at))
+            at = end
+
+    def _together(self, texts: pa.Array) -> Iterator[bytes]:
+        words = pc.split_pattern(texts, " ")
+        bounds = words.offsets.to_numpy()
+        flat = pc.dictionary_encode(words.flatten())
+        known = pa.array(list(map(self.words.__getitem__, flat.dictionary.to_pylist())), pa.large_binary())
+        ids = known.take(flat.indices)
+        places = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset: ids.offset + len(ids) + 1]
+        data = memoryview(ids.buffers()[2] or b"")
+        # texts with a word of unknown end, a special string or of great length go one by one
+        alone = pc.fill_null(pc.greater(pc.binary_length(texts), BLOCK_CHARS), False).to_numpy(zero_copy_only=False).copy()
+        for s in self.special:
+            alone |= pc.fill_null(pc.match_substring(texts, s), False).to_numpy(zero_copy_only=False)
+        unsure = np.flatnonzero(pc.is_null(ids).to_numpy(zero_copy_only=False)) + bounds[0]
+        alone[np.searchsorted(bounds, unsure, side="right") - 1] = True
+        for i, first in enumerate(pc.list_element(pc.if_else(pc.is_null(words), pa.scalar([""], words.type), words), 0).to_pylist()):
+            lo, hi = bounds[i] - bounds[0], bounds[i + 1] - bounds[0]
+            if alone[i] or (hi > lo + 1 and (not first or first[-1].isspace())):
+                yield self(texts[i].as_py())
+            elif hi > lo:
+                yield self._pieces(first) + data[places[lo + 1]: places[hi]]
+            else:
+                yield b""
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -237,8 +287,8 @@ def pack(docs: DataFrame, vocabulary_path: str, *, doc_id: str = "doc_id", text:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a Python worker keeps a broadcast value, and with it what the encoder remembers, from task to task
         known = shared.value
-        encode = known.get("encoder") or known.setdefault("encoder", encoder(known["spec"]))
-        end = struct.pack("<I", end_id)
+        encode = known.get("encoder") or known.setdefault("encoder", Encoder(known["spec"]))
+        end = array("I", [end_id]).tobytes()
         packer = Packer(capacity, batch_tokens, TaskContext.get().partitionId() << WINDOW_BITS)
         out: list[tuple] = []
         size = 0
@@ -248,10 +298,8 @@ def pack(docs: DataFrame, vocabulary_path: str, *, doc_id: str = "doc_id", text:
 
         def pieces() -> Iterator[tuple]:
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
-                    for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                        yield from packer.add(i, encode(t or "") + end)
+                for i, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1))):
+                    yield from packer.add(i, ids + end)
             yield from packer.finish()
 
         for piece in pieces():

@@ -1,0 +1,341 @@
+"""Prefix trie, filter audit and packing against brute-force versions."""
+
+import hashlib
+import itertools
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from barsmith.llm import filter_audit, packing, prefix_trie
+from barsmith.llm.queries import op11_prefix_trie, op13_packing
+
+# --------------------------------------------------------------------------- prefix trie
+
+
+def trie_nodes(convs):
+    """{(conv_id, depth): figures} of {conv_id: [(role, text), ...]}, by comparing whole prefixes."""
+    members, ends, children = defaultdict(list), defaultdict(list), defaultdict(set)
+    for c in sorted(convs):
+        turns = tuple(convs[c])
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+            if d:
+                children[turns[: d - 1]].add(turns[:d])
+        ends[turns].append(c)
+    out = {}
+    for p, m in members.items():
+        sub = [q for q in members if q[: len(p)] == p]
+        out[(m[0], len(p))] = (
+            members[p[:-1]][0] if p else None, len(m), len(children[p]), sum(not children[q] for q in sub),
+            sum((len(members[q]) - 1) * len(q[-1][1]) for q in sub if q),
+            hashlib.sha256(",".join(map(str, ends[p])).encode()).hexdigest())
+    return out
+
+
+def found_nodes(nodes, ends):
+    rows = prefix_trie.ends_digest(nodes, ends).collect()
+    out = {(r["conv_id"], r["depth"]): (r["parent_conv_id"], r["n_convs"], r["n_children"], r["n_leaves"], r["saved_tokens"], r["ends_sha256"])
+           for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def conversation_rows(convs):
+    return [(c, t, role, text, "x") for c, turns in convs.items() for t, (role, text) in enumerate(turns)]
+
+
+CONV_SCHEMA = "conv_id long, turn long, role string, text string, turns string"
+
+
+def table_of(spark, convs):
+    return spark.createDataFrame(conversation_rows(convs) or [], CONV_SCHEMA)
+
+
+@pytest.mark.parametrize("seed, shard_turns", [(1, 1), (2, 7), (3, 40), (4, 200_000)])
+def test_trie_equals_whole_prefixes(spark, seed, shard_turns):
+    """A third of all conversations are one, most share a first turn; shards cut through both."""
+    rng = random.Random(seed)
+    turn = lambda: (rng.choice("ua"), rng.choice(["", "x", "yy", "žluť", "zz"]))
+    hot = [("u", "hello"), ("a", "yes"), ("u", "bye")]
+    convs = {}
+    for c in rng.sample(range(-50, 400), 120):
+        convs[c] = hot if rng.random() < 0.33 else hot[: rng.randrange(3)] + [turn() for _ in range(rng.randrange(1, 6))]
+    long = [turn() for _ in range(60)]
+    convs[1000], convs[1001] = long, long[:45] + [("u", "other")]
+    got = found_nodes(*prefix_trie.build(prefix_trie.conversation_turns(table_of(spark, convs)), shard_turns=shard_turns))
+    assert got == trie_nodes(convs)
+
+
+def test_trie_query_rebuilds_conversations(spark, tmp_dir):
+    """Borrowed starts: whole donors, short ones, absent ones, and conversations left without turns."""
+    rng = random.Random(5)
+    convs = {c: [("u", rng.choice(["a", "b", f"own {c} {t}"])) for t in range(rng.randrange(1, 9))] for c in rng.sample(range(700), 200)}
+    convs.update({100: [("u", "only one")], 200: [("u", str(i)) for i in range(9)]})
+    convs = {c: t for c, t in convs.items() if not 300 <= c < 301}
+    table_of(spark, convs).write.parquet(f"{tmp_dir}/conversations.parquet")
+    rebuilt = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        rebuilt[c] = convs.get(c - c % 100, [])[:h] + own[h:]
+    assert any(not t for t in rebuilt.values())
+    got = {(r["conv_id"], r["depth"]): tuple(r[2:]) for r in op11_prefix_trie(spark, tmp_dir).collect()}
+    assert got == trie_nodes(rebuilt)
+
+
+def test_trie_edge_cases(spark):
+    rows = [(7, 2, "u", "second", None), (7, None, "u", "first", None), (7, 3, None, None, None), (8, 1, "u", "first", None),
+            (None, 1, "u", "lost", None), (9, 1, "u", "same", None), (9, 1, "u", "same", None), (10, 1, "", "", None), (11, 1, None, None, None)]
+    got = found_nodes(*prefix_trie.build(prefix_trie.conversation_turns(spark.createDataFrame(rows, CONV_SCHEMA))))
+    u = "u"
+    assert got == trie_nodes({7: [(u, "first"), (u, "second"), ("", "")], 8: [(u, "first")], 9: [(u, "same")] * 2, 10: [("", "")], 11: [("", "")]})
+    ties = [[(1, 5, "u", t, None) for t in order] for order in (("p", "q"), ("q", "p"))]
+    one, other = (found_nodes(*prefix_trie.build(prefix_trie.conversation_turns(spark.createDataFrame(r, CONV_SCHEMA)))) for r in ties)
+    assert one == other and len(one) == 3
+    assert found_nodes(*prefix_trie.build(prefix_trie.conversation_turns(spark.createDataFrame([], CONV_SCHEMA)))) == {}
+    # role and text keep their border
+    border = {1: [("ab", "c")], 2: [("a", "bc")]}
+    assert found_nodes(*prefix_trie.build(prefix_trie.conversation_turns(table_of(spark, border)))) == trie_nodes(border)
+
+
+def test_trie_many_ends_and_long_conversation(spark):
+    convs = {c: [("u", "same"), ("a", "answer")] for c in range(3 * prefix_trie.PIECE + 5)}
+    convs.update({c: [("u", "same")] for c in range(5000, 5003)})
+    convs[9000] = [("u", f"t{i}") for i in range(3000)]
+    turns = prefix_trie.conversation_turns(table_of(spark, convs))
+    for shard_turns in (100, 10**9):
+        got = found_nodes(*prefix_trie.build(turns, shard_turns=shard_turns))
+        assert len(got) == 3003
+        answer = hashlib.sha256(",".join(map(str, range(3 * prefix_trie.PIECE + 5))).encode()).hexdigest()
+        n = len(convs) - 1
+        assert got[(0, 0)][1:3] == (n + 1, 2) and got[(0, 0)][3] == 2
+        assert got[(0, 1)] == (0, n, 1, 1, (n - 1) * 4 + (n - 4) * 6, hashlib.sha256(b"5000,5001,5002").hexdigest())
+        assert got[(0, 2)] == (0, n - 3, 0, 1, (n - 4) * 6, answer)
+        assert got[(9000, 3000)][:5] == (9000, 1, 0, 1, 0)
+
+
+def test_double_array_finds_every_child_once():
+    rng = np.random.default_rng(0)
+    for n_codes, most in ((3, 3), (300, 200), (5000, 60)):
+        parent, code = [], []
+        for node in range(400):
+            if node > len(parent):
+                break
+            for c in rng.choice(n_codes, size=min(n_codes, int(rng.integers(0, most))) if node else most, replace=False):
+                parent.append(node)
+                code.append(int(c))
+        parent, code = np.array(parent), np.array(code)
+        trie = prefix_trie.DoubleArray(parent, code, n_codes)
+        slot = np.zeros(len(parent) + 1, np.int64)
+        for node, (p, c) in enumerate(zip(parent, code), 1):
+            slot[node] = trie.step(slot[[p]], np.array([c]))[0]
+        assert len(set(slot.tolist())) == len(slot) and (trie.check >= -1).sum() == len(trie.check) - 1
+        assert ((trie.check >= 0).sum()) == len(parent)
+
+
+# --------------------------------------------------------------------------- filter audit
+
+
+def audit_rows(docs, labels):
+    """Applies the filters one after the other, in every order."""
+    first, good, toxic = {}, set(), set()
+    for i, text, _ in docs:
+        if i is not None:
+            first[text or ""] = min(first.get(text or "", i), i)
+    for i, q, t in labels:
+        good |= {i} if q == 1 else set()
+        toxic |= {i} if t == 1 else set()
+
+    def fails(i, text):
+        text = text or ""
+        words = [w for w in text.translate(dict.fromkeys(map(ord, "\t\n\x0b\x0c\r"), " ")).split(" ") if w]
+        bad = {"A": len(words) < 100, "B": 100 * len(set(words)) < 80 * len(words),
+               "C": 100 * sum("A" <= ch <= "Z" for ch in text) > 10 * len(text), "D": any(ch in "#$%&*|" for ch in text),
+               "E": i is not None and text in first and first[text] < i}
+        return {f for f, is_bad in bad.items() if is_bad}
+
+    out = {}
+    for part in {lang or "" for _, _, lang in docs}:
+        rows = [(fails(i, text), i is not None and i in good, i is not None and i in toxic) for i, text, lang in docs if (lang or "") == part]
+        shapley = Counter()
+        for order in itertools.permutations("ABCDE"):
+            left = rows
+            for step, f in enumerate(order, 1):
+                here = [r for r in left if f in r[0]]
+                left = [r for r in left if f not in r[0]]
+                shapley[f] += len(here)
+                out[(part, "".join(order), step)] = [
+                    len(left), len(here), sum(f in r[0] for r in rows) - len(here), sum(r[0] == {f} for r in rows),
+                    sum(r[1] for r in here), sum(r[2] for r in here)]
+        for (p, order, step), figures in out.items():
+            if p == part:
+                figures.append(shapley[order[step - 1]])
+    return {k: tuple(v) for k, v in out.items()}
+
+
+DOC_SCHEMA = "doc_id long, text string, lang string, mask int, digest string, first boolean"
+LABEL_SCHEMA = "doc_id long, quality int, toxic int, docs int"
+
+
+def found_audit(spark, docs, labels):
+    out = filter_audit.audit(spark.createDataFrame([(*d, 1, "x", True) for d in docs], DOC_SCHEMA),
+                             spark.createDataFrame([(*x, 1) for x in labels], LABEL_SCHEMA))
+    rows = out.collect()
+    got = {tuple(r[:3]): tuple(r[3:]) for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def test_audit_equals_applying_the_filters(spark):
+    rng = random.Random(3)
+    texts = [None, "", "\x0b\x0c", "A", "x" * 30000, "word " * 120, " ".join(f"w{i}" for i in range(100)), " ".join(f"w{i}" for i in range(99)),
+             "\t".join(f"W{i}" for i in range(150)), " ".join(f"w{i % 80}" for i in range(100)), " ".join(f"w{i % 79}" for i in range(100)),
+             "50% off " + " ".join(f"ž{i}" for i in range(200)), "\xa0".join(f"n{i}" for i in range(200)), "Abcdefghij", "ABcdefghij"]
+    texts += [" ".join(rng.choice(["a", "b", "C$", "dd"]) + str(rng.randrange(300)) for _ in range(rng.randrange(60, 200))) for _ in range(20)]
+    docs = [(i, rng.choice(texts), rng.choice(["en", "de", None, ""])) for i in rng.sample(range(1000), 150)]
+    docs += [(None, texts[5], "en"), (None, None, "en"), docs[0], docs[1], docs[1], (2000, "only one", "fr")]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i, _, _ in docs if i is not None and rng.random() < 0.6]
+    labels += [labels[0], (labels[1][0], 1, 1), (None, 1, 1), (99999, 1, 1)]
+    got = found_audit(spark, docs, labels)
+    assert len(got) == 600 * 4
+    assert got == audit_rows(docs, labels)
+
+
+def test_audit_edge_cases(spark):
+    assert found_audit(spark, [], [(1, 1, 1)]) == {}
+    docs = [(1, None, None)]
+    assert found_audit(spark, docs, []) == audit_rows(docs, [])
+    copies = [(i, "copy " * 150, "en") for i in range(300)]
+    got = found_audit(spark, copies, [(0, 1, 0), (5, 1, 0)])
+    assert got == audit_rows(copies, [(0, 1, 0), (5, 1, 0)])
+    assert got[("en", "EABCD", 1)][:2] == (1, 299)
+
+
+def test_audit_of_many_parts_is_whole(spark):
+    """More recursion rows than Spark's default limit of a recursive expression (1,000,000)."""
+    cells = spark.range(110 * 32).select(
+        (F.col("id") / 32).cast("int").cast("string").alias("part"), (F.col("id") % 32).cast("int").alias("mask"),
+        F.lit(2).cast("long").alias("docs"), F.lit(1).cast("long").alias("good"), F.lit(0).cast("long").alias("toxic"))
+    out = filter_audit.orders_audit(cells)
+    r = out.groupBy("step").agg(F.count("*").alias("n"), F.min("kept").alias("lo"), F.max("kept").alias("hi"), F.min("shapley").alias("s"),
+                                F.max("removed").alias("removed"), F.max("redundant").alias("redundant")).collect()
+    assert {x["step"]: tuple(x[1:4]) for x in r} == {s: (110 * 120, 64 >> s, 64 >> s) for s in range(1, 6)}
+    assert {x["step"]: (x["removed"], x["redundant"]) for x in r} == {s: (64 >> s, 32 - (64 >> s)) for s in range(1, 6)}
+    # the sum of a filter's share over all orders
+    assert {x["s"] for x in r} == {sum(24 * (64 >> s) for s in range(1, 6))}
+
+
+# --------------------------------------------------------------------------- packing
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES_SCHEMA = "doc_id long, text string, start string, ids string, sequence_id int"
+
+
+def library_ids(text):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(VOCABULARY).encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def checked(rows, docs, capacity):
+    """Every id in exactly one piece, windows without gaps and not over capacity; the padding."""
+    ids = {i: library_ids(t) for i, t in docs.items()}
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r["doc_id"]].append(r)
+        windows[r["sequence_id"]].append(r)
+    assert set(pieces) == set(ids)
+    for i, ps in pieces.items():
+        at = 0
+        for p in sorted(ps, key=lambda p: p["start"]):
+            mine = ids[i][at: at + p["length"]]
+            assert p["start"] == at and p["length"] == len(mine) > 0 and p["doc_tokens"] == len(ids[i])
+            assert p["ids_crc32"] == zlib.crc32(np.array(mine, dtype="<u4").tobytes())
+            at += p["length"]
+        assert at == len(ids[i])
+    padding = 0
+    for ps in windows.values():
+        at = 0
+        for p in sorted(ps, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= capacity
+        padding += 0 if at & (at - 1) == 0 else capacity - at
+    return padding
+
+
+def test_packing_query_covers_every_id(spark):
+    rows = op13_packing(spark, "/root/testdata/sf0.001").collect()
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert checked(rows, docs, 2048) == 0
+
+
+@pytest.mark.parametrize("batch_tokens", [1, 300, 1 << 20])
+def test_packing_edge_cases(spark, batch_tokens):
+    odd = ["", None, "a", " ", "  a  b \n\n c<|endoftext|> d", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "it's 12 o'clock", "　 \xa0x  ", "žluťoučký kůň 日本語 🙂",
+           "x" * 5000, " " * 3000 + "a", "word " * 4000, "퟿\U0010ffff \x00"]
+    docs = dict(enumerate(odd))
+    table = spark.createDataFrame([(i, t, "s", "t", 1) for i, t in docs.items()], PIECES_SCHEMA).repartition(2)
+    out = packing.pack(table, VOCABULARY, capacity=64, batch_tokens=batch_tokens).withColumn("ids_crc32", F.crc32("ids"))
+    assert checked(out.collect(), docs, 64) == 0
+
+
+def test_packing_ids_of_long_and_hostile_texts(monkeypatch):
+    encode = packing.Encoder(open(VOCABULARY, encoding="utf-8").read())
+    rng = random.Random(4)
+    alphabet = ["a", "B", "é", "1", "'s", "'", " ", "  ", "\n", "\t", "\x0b", " ", ".", "<|endoftext|>", "<|endof", "日", "🙂"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(300)]
+    want = [np.array(library_ids(t)[:-1], dtype="<u4").tobytes() for t in texts]
+    assert [encode(t) for t in texts] == want
+    together = pa.array(["skipped", *texts, None, "", "a b", None])[1:]
+    monkeypatch.setattr(packing, "TOGETHER", 700)
+    assert [bytes(x) for x in encode.many(together)] == [*want, b"", b"", encode("a b"), b""]
+    long = "".join(rng.choice(["word ", "two  ", "x\n", "9 "]) for _ in range(700_000))
+    assert len(long) > 2 << 20 and next(encode.many(pa.array([long]))) == encode(long) == np.array(library_ids(long)[:-1], dtype="<u4").tobytes()
+
+
+def test_packing_nulls_repeats_and_empty_table(spark):
+    table = spark.createDataFrame([(None, "one two", "", "", 0), (3, "same", "", "", 0), (3, "same", "", "", 0)], PIECES_SCHEMA).coalesce(1)
+    rows = packing.pack(table, VOCABULARY, capacity=8).collect()
+    assert sum(r["length"] for r in rows if r["doc_id"] is None) == 3 and sum(r["length"] for r in rows if r["doc_id"] == 3) == 4
+    assert packing.pack(table.limit(0), VOCABULARY).collect() == []
+    with pytest.raises(ValueError):
+        packing.pack(table, VOCABULARY, capacity=100)
+
+
+def test_sequences_are_padded_unless_a_power_of_two(spark):
+    table = spark.createDataFrame([(i, "w " * (7 * i), "", "", 0) for i in range(9)], PIECES_SCHEMA).coalesce(1)
+    pieces = packing.pack(table, VOCABULARY, capacity=32)
+    by_hand = defaultdict(list)
+    for r in pieces.collect():
+        by_hand[r["sequence_id"]].append((r["offset"], bytes(r["ids"])))
+    got = {r["sequence_id"]: bytes(r["ids"]) for r in packing.sequences(pieces, capacity=32).collect()}
+    assert got == {s: b"".join(b for _, b in sorted(ps)) for s, ps in by_hand.items()}
+    uneven = spark.createDataFrame([(0, 0, 5, 5, 9, 0, bytes(20))], packing.SCHEMA)
+    r = packing.sequences(uneven, capacity=32, pad_id=258).collect()[0]
+    assert bytes(r["ids"]) == bytes(20) + (258).to_bytes(4, "little") * 27 and r["n_tokens"] == 5
+
+
+def test_differencing_balances_and_the_window_count_rises():
+    rng = random.Random(8)
+    assert sorted(map(sorted, packing.differencing([8, 7, 6, 5, 4], 2))) in ([[0, 3, 4], [1, 2]], [[0, 2], [1, 3, 4]], [[0, 4, 3], [1, 2]])
+    for n, k in ((40, 3), (300, 20), (5, 7), (1, 1), (200, 1)):
+        sizes = [rng.randrange(1, 2048) for _ in range(n)]
+        windows = packing.differencing(sizes, k)
+        assert sorted(i for w in windows for i in w) == list(range(n)) and len(windows) <= k
+        sums = [sum(sizes[i] for i in w) for w in windows]
+        if n > 10 * k:
+            assert max(sums) - min(sums) <= 40
+    assert packing.differencing([], 3) == []
+    # three items over half a window each never fit two windows, whatever their total
+    windows = packing.balanced([1100, 1100, 1100], 2048)
+    assert len(windows) == 3
+    for _ in range(20):
+        sizes = [rng.randrange(1, 2048) for _ in range(rng.randrange(1, 200))]
+        windows = packing.balanced(sizes, 2048)
+        assert all(sum(sizes[i] for i in w) <= 2048 for w in windows) and sorted(i for w in windows for i in w) == list(range(len(sizes)))
