@@ -151,22 +151,35 @@ def rsi_signals(features: DataFrame, as_of=None, *, days: int = RSI_DAYS,
 
 
 def volatility_regime(features: DataFrame, as_of=None, *, days: int = REGIME_DAYS,
-                      key: str = "ticker", order: str = "date") -> DataFrame:
+                      key: str = "ticker", order: str = "date", expanding: bool = False,
+                      chunked: bool | None = None) -> DataFrame:
     """Regime of annualised 20-day vol against the instrument's full-history mean/std.
 
     The statistics are a per-instrument aggregate (partial aggregation, one row per
     instrument); the join back is left to AQE, which broadcasts the statistics when
     their measured size allows and otherwise splits a hot instrument's partition.
+
+    The full history looks ahead: a row is judged by values that came after it. With ``expanding``
+    a row is judged by the rows up to and including itself, as it could have been on
+    that day; the moments are a prefix scan (:mod:`barsmith.plans.scan`).
     """
     as_of = resolve_as_of(features, as_of, order)
     v = "annualized_vol_20d"
-    stats = features.groupBy(key).agg(
-        F.avg(v).alias("mean_vol"), F.stddev_samp(v).alias("std_vol")
-    )
-    recent = features.filter(_since(features, as_of, days, order)).select(
-        key, order, "adj_close", v, "atr_14"
-    )
-    joined = recent.join(stats, key)
+    if expanding:
+        from barsmith.operators.running import expanding_moments
+
+        narrow = features.select(key, order, "adj_close", v, "atr_14")
+        judged = expanding_moments(narrow, v, mean="mean_vol", std="std_vol", key=key, order=order, chunked=chunked,
+                                   block_rows=512 if chunked else None)
+        joined = judged.filter(_since(judged, as_of, days, order))
+    else:
+        stats = features.groupBy(key).agg(
+            F.avg(v).alias("mean_vol"), F.stddev_samp(v).alias("std_vol")
+        )
+        recent = features.filter(_since(features, as_of, days, order)).select(
+            key, order, "adj_close", v, "atr_14"
+        )
+        joined = recent.join(stats, key)
     x, mean, std = F.col(v), F.col("mean_vol"), F.col("std_vol")
     return joined.select(
         key, order, "adj_close", v, "atr_14", "mean_vol", "std_vol",

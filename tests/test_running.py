@@ -1,0 +1,127 @@
+"""Prefix scans: exponential averages and expanding moments against plain loops."""
+
+import datetime as dt
+import math
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from barsmith.operators import running
+from barsmith.operators import views as vw
+from barsmith.plans import job, scan
+from conftest import make_bars, random_walk
+
+SCHEMA = "ticker string, date date, seq long, adj_close double"
+
+
+def series(seed=1, rows=((900, "HOT"), (40, "A"), (1, "B"), (7, "C")), nulls=0.2):
+    rng = random.Random(seed)
+    out = []
+    for n, ticker in rows:
+        for i in range(n):
+            x = None if rng.random() < nulls else rng.uniform(-50, 150)
+            out.append((ticker, dt.date(1990, 1, 1) + dt.timedelta(days=3 * i), 10 * i - 400, x))
+    rng.shuffle(out)
+    return out
+
+
+def loop_ewma(rows, span):
+    """The recurrence, row by row."""
+    out, y = {}, {}
+    for ticker, date, seq, x in sorted(rows, key=lambda r: r[2]):
+        if x is not None:
+            before = y.get(ticker)
+            y[ticker] = x if before is None else before + (x - before) * 2 / (span + 1)
+        out[ticker, seq] = y.get(ticker)
+    return out
+
+
+def close(a, b):
+    return a is b is None or (a is not None and b is not None and math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9))
+
+
+@pytest.mark.parametrize("order, chunked", [("date", None), ("date", True), ("seq", None)])
+def test_ewma_equals_the_recurrence(spark, order, chunked, monkeypatch):
+    """Several blocks, several levels of the tree, nulls in front, between and behind."""
+    monkeypatch.setattr(running, "_block_rows", lambda decays: 8)
+    monkeypatch.setattr(scan, "RADIX", 4)
+    rows = series() + [("N", dt.date(2000, 1, 1), 1, None), ("N", dt.date(2000, 1, 2), 2, None), ("N", dt.date(2000, 1, 3), 3, 5.0),
+                       (None, dt.date(2000, 1, 1), 1, 1.0)]
+    out = running.ewma(spark.createDataFrame(rows, SCHEMA), spans=(1, 3, 26), order=order, chunked=chunked)
+    assert out.columns == ["ticker", "date", "seq", "adj_close", "ewma_1", "ewma_3", "ewma_26"]
+    got = out.collect()
+    rows = [r for r in rows if r[0]]
+    assert len(got) == len(rows)
+    for span in (1, 3, 26):
+        want = loop_ewma(rows, span)
+        assert all(close(r[f"ewma_{span}"], want[r["ticker"], r["seq"]]) for r in got)
+
+
+def test_ewma_equals_pandas_over_long_blocks(spark):
+    """Default blocks: the running sums of a block stay exact in units of its first row."""
+    walk = random_walk(3000)
+    for span in (2, 12, 200):
+        got = running.ewma(make_bars(spark, walk), spans=[span], name="y{}").orderBy("date").toPandas()[f"y{span}"]
+        want = pd.Series(walk).ewm(span=span, adjust=False).mean()
+        assert (abs(got - want) < 1e-8).all()
+
+
+def test_block_rows_keep_the_scale_finite():
+    for span in (1, 1.02, 2, 3, 12, 10**6):
+        d = 1 - 2 / (span + 1)
+        n = running._block_rows([d])
+        assert 1 <= n <= 512 and (d == 0 or d ** -n < 1e160)
+
+
+@pytest.mark.parametrize("chunked, block", [(None, None), (True, 16), (None, 16)])
+def test_expanding_moments_equal_a_loop(spark, chunked, block, monkeypatch):
+    monkeypatch.setattr(scan, "RADIX", 4)
+    rows = [(t, d, s, None if x is None else x + 1e6) for t, d, s, x in series(seed=2)]
+    out = running.expanding_moments(spark.createDataFrame(rows, SCHEMA), "adj_close", chunked=chunked, block_rows=block)
+    got = {(r["ticker"], r["seq"]): (r["mean"], r["std"]) for r in out.collect()}
+    assert len(got) == len(rows)
+    for ticker in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == ticker), key=lambda r: r[2])
+        seen = []
+        for r in mine:
+            seen += [r[3]] if r[3] is not None else []
+            mean, std = got[ticker, r[2]]
+            assert (mean is None) == (not seen) and (std is None) == (len(seen) < 2)
+            if seen:
+                assert math.isclose(mean, sum(seen) / len(seen), rel_tol=1e-12)
+            if len(seen) > 1:
+                assert math.isclose(std, pd.Series(seen).std(), rel_tol=1e-7, abs_tol=1e-6)
+
+
+def test_scan_edge_cases(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    for chunked in (None, True):
+        assert running.ewma(empty, chunked=chunked).collect() == []
+        assert running.expanding_moments(empty, "adj_close", chunked=chunked).collect() == []
+    with pytest.raises(ValueError):
+        running.ewma(empty, spans=[0])
+
+
+def test_date_series_take_one_shuffle(spark):
+    bars = make_bars(spark, random_walk(300))
+    plan = running.ewma(bars)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in plan and "Join" not in plan
+
+
+def test_expanding_regime_never_looks_ahead(spark):
+    """Rows up to a day come out the same whatever follows."""
+    bars = make_bars(spark, random_walk(500))
+    feats = job.features(bars, run_date="r", processed_at="p")
+    cut = dt.date(2023, 12, 1)
+    short = feats.filter(F.col("date") <= F.lit(cut))
+    columns = ["ticker", "date", "mean_vol", "std_vol", "vol_regime"]
+    both = [vw.volatility_regime(f, cut, days=90, expanding=True).filter(F.col("date") <= F.lit(cut)).select(columns).orderBy("date").collect()
+            for f in (feats, short)]
+    assert both[0] == both[1] and len(both[0]) > 50
+    whole = vw.volatility_regime(feats, cut, days=90).filter(F.col("date") <= F.lit(cut)).select(columns).orderBy("date").collect()
+    assert whole != both[0]
+    last = vw.volatility_regime(feats, expanding=True).orderBy(F.desc("date")).first()
+    same = vw.volatility_regime(feats).orderBy(F.desc("date")).first()
+    assert math.isclose(last["mean_vol"], same["mean_vol"]) and math.isclose(last["std_vol"], same["std_vol"])
