@@ -1,0 +1,106 @@
+"""The rule gate with its quarantine, and payloads whose fields drift."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from barsmith.plans import job
+from barsmith.schema import RAW_SCHEMA
+from barsmith.sources import drift, ndjson, rules
+from conftest import make_bars, random_walk
+
+GOOD = {"date": "2024-01-02", "ticker": "T", "open": 1.0, "high": 2.0, "low": 0.5, "close": 1.5, "volume": 10, "adj_open": 1.0,
+        "adj_high": 2.0, "adj_low": 0.5, "adj_close": 1.5, "adj_volume": 10, "ingested_at": "x"}
+
+
+def staged(tmp_dir, lines, run_date="20240101"):
+    import os
+
+    folder = f"{tmp_dir}/staged/run_date={run_date}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/part-0.json", "w") as f:
+        f.write("\n".join(x if isinstance(x, str) else json.dumps(x) for x in lines) + "\n")
+    return f"{tmp_dir}/staged"
+
+
+def test_every_reason_of_a_line_is_given(spark, tmp_dir):
+    cases = [
+        (GOOD, []), (GOOD | {"open": None, "volume": None, "adj_close": None}, []), (GOOD | {"ticker": " "}, ["ticker"]),
+        (GOOD | {"date": "2024-13-01"}, ["date"]), (GOOD | {"ticker": None, "date": None}, ["ticker", "date"]),
+        (GOOD | {"adj_low": 0}, ["price"]), (GOOD | {"close": -1.5}, ["price", "range"]), (GOOD | {"high": 0.4}, ["range"]),
+        (GOOD | {"close": 9.0}, ["range"]), (GOOD | {"adj_volume": -1}, ["volume"]), (GOOD | {"volume": -1, "date": "soon"}, ["date", "volume"]),
+        ("{broken", ["parsed", "ticker", "date"]), (GOOD | {"low": None}, []),
+    ]
+    raw = ndjson.scan(spark, staged(tmp_dir, [c for c, _ in cases]), "20240101")
+    out = rules.judged(raw, rules.bar_rules(raw.columns)).collect()
+    assert [r["reasons"] for r in out] == [want for _, want in cases]
+    good, bad = rules.split(raw, rules.bar_rules(raw.columns), f"{tmp_dir}/split")
+    assert good.count() == sum(not w for _, w in cases) and good.columns == raw.columns
+    counts = {r["reason"]: r["rows"] for r in rules.reason_counts(bad).collect()}
+    assert counts == {n: sum(n in w for _, w in cases) for n in ("parsed", "ticker", "date", "price", "range", "volume")}
+    assert bad.filter("_corrupt_record = '{broken'").count() == 1
+
+
+def test_own_rules_and_null_conditions(spark):
+    lines = spark.createDataFrame([(1, "a"), (None, "b"), (5, None)], "n int, s string")
+    mine = [rules.Rule("small", F.col("n") < 3), rules.Rule("named", F.col("s").isNotNull())]
+    assert [r["reasons"] for r in rules.judged(lines, mine).collect()] == [[], ["small"], ["small", "named"]]
+    assert [r["reasons"] for r in rules.judged(lines, []).collect()] == [[], [], []]
+    with pytest.raises(ValueError):
+        rules.judged(lines.withColumn("reasons", F.lit(1)), mine)
+
+
+def test_job_accounts_for_every_line(spark, tmp_dir):
+    bars = make_bars(spark, random_walk(50, start=500.0))
+    copies = bars.filter("day(date) = 3").withColumn("ingested_at", F.lit("2020"))
+    wrong = bars.filter("day(date) = 4").withColumn("adj_close", F.lit(-1.0))
+    ndjson.stage(bars.unionByName(copies).unionByName(wrong), f"{tmp_dir}/staged", "20240101")
+    with open(f"{tmp_dir}/staged/run_date=20240101/part-zz.json", "w") as f:
+        f.write("nonsense\n")
+    columns = RAW_SCHEMA.names + [ndjson.CORRUPT]
+    res = job.run_pipeline(spark, f"{tmp_dir}/staged", f"{tmp_dir}/out", "20240101", register=False, rules=rules.bar_rules(columns))
+    m = res["metrics"]
+    assert (m["rows"], m["quarantined_rows"], m["duplicate_rows"], m["written_rows"]) == (50 + 2 + 2 + 1, 3, 2, 50)
+    assert sorted(r["reasons"] for r in res["quarantine"].collect()) == [["parsed", "ticker", "date"], ["price"], ["price"]]
+    again = spark.read.parquet(f"{tmp_dir}/out/_quarantine/run_date=20240101")
+    assert again.filter("verdict = 'bad'").count() == 3
+    with pytest.raises(ndjson.LossyLoad):
+        job.run_pipeline(spark, f"{tmp_dir}/staged", f"{tmp_dir}/out", "20240101", register=False, max_unusable=2, rules=rules.bar_rules(columns))
+
+
+def payload(spark, rows):
+    return spark.createDataFrame(rows, "payload string, ticker string")
+
+
+def test_nothing_of_a_payload_is_lost(spark):
+    rows = [('[{"date":"2024-01-15T00:00:00+00:00","open":1.5,"volume":"55","extra":{"a":[1,2]},"high":"n/a","close":null},{"open":2}]', "T"),
+            ('{"open":"3.5","volume":1.5,"low":true,"adjVolume":55000000000000000000000}', "U"), ('{"date":20240115,"Open":1}', "V"), ("{}", "X")]
+    out = drift.conform(drift.records(payload(spark, rows)))
+    got = [(r["ticker"], r["date"], r["open"], r["volume"], json.loads(r["rescued"] or "{}"), r["malformed"]) for r in out.collect()]
+    assert got == [
+        ("T", "2024-01-15T00:00:00+00:00", 1.5, 55, {"extra": {"a": [1, 2]}, "high": "n/a"}, None), ("T", None, 2.0, None, {}, None),
+        ("U", None, 3.5, None, {"volume": 1.5, "low": True, "adjVolume": 55000000000000000000000}, None),
+        ("V", None, None, None, {"date": 20240115, "Open": 1}, None), ("X", None, None, None, {}, None)]
+
+
+def test_malformed_payloads_are_kept_as_text(spark):
+    rows = [("not json", "a"), ("[]", "b"), ("[1,{\"open\":7},null]", "c"), ("5", "d"), (None, "e"), ("null", "f"), ('[[{"open":1}]]', "g"), ("", "h")]
+    out = drift.conform(drift.records(payload(spark, rows))).select("ticker", "open", "rescued", "malformed").collect()
+    assert [tuple(r) for r in out] == [
+        ("a", None, None, "not json"), ("c", None, None, "1"), ("c", 7.0, None, None), ("c", None, None, "null"), ("d", None, None, "5"),
+        ("e", None, None, None), ("f", None, None, "null"), ("g", None, None, '[{"open":1}]'), ("h", None, None, "")]
+
+
+def test_payload_files_name_their_ticker(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/ticker=BRK.B")
+    with open(f"{tmp_dir}/ticker=BRK.B/part-0.json", "w") as f:
+        f.write('{"open":1,\n"close":2}')
+    out = drift.read_drifting(spark, f"{tmp_dir}/ticker=BRK.B", whole_files=True).collect()
+    assert [(r["ticker"], r["open"], r["close"]) for r in out] == [("BRK.B", 1.0, 2.0)]
+    with open(f"{tmp_dir}/MSFT.json", "w") as f:
+        f.write('[{"open":1},\n {"open":2, "new": 3}]')
+    out = drift.read_drifting(spark, f"{tmp_dir}/MSFT.json", whole_files=True).orderBy("open").collect()
+    assert [(r["ticker"], r["open"], r["rescued"]) for r in out] == [("MSFT", 1.0, None), ("MSFT", 2.0, '{"new":3}')]
