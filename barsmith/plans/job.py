@@ -94,7 +94,7 @@ def run_pipeline(spark, staged_root: str, out_path: str, run_date: str, *,
                  processed_at: str | None = None, table: str | None = None,
                  table_format: str = "parquet", table_path: str | None = None,
                  as_of=None, register: bool = True, max_unusable: int | None = None,
-                 chunk_rows: int | None = None) -> dict:
+                 chunk_rows: int | None = None, rules=None, after: str | None = None) -> dict:
     """The daily batch: staged NDJSON of one run -> bar store -> features -> Parquet (->
     table, views).
 
@@ -106,15 +106,35 @@ def run_pipeline(spark, staged_root: str, out_path: str, run_date: str, *,
     ``max_unusable`` unusable lines. An empty load raises ``EmptyLoad``. All this is checked
     before the output is touched.
 
-    Each run has its own folder, ``out_path/run_date=<run>``; repeating a run replaces that
-    folder and nothing else. ``sinks.read_runs`` reads all of them. The catalog table
-    holds the rows of the run that wrote it last.
+    ``rules`` (:mod:`barsmith.sources.rules`) judge the lines before they are used: failing ones are
+    set aside with their reasons under ``out_path/_quarantine``, and rows = quarantined_rows +
+    duplicate_rows + written_rows.
+
+    ``after`` names the earlier run that this one goes on from: the staged bars are those after it,
+    features are computed from its state and these bars alone (:mod:`barsmith.plans.increment`), and bars on or
+    before an instrument's last one lead to that instrument's rows being computed again from the
+    history in the committed runs. Every run leaves its state under ``out_path/_state``.
+
+    Each attempt of a run writes a folder of its own, and counts once its record stands in the ledger
+    (:mod:`barsmith.sources.ledger`), the last step; ``sinks.read_runs`` reads the committed runs. The
+    catalog table is held against its contract first, and the run's rows are merged
+    into it, newest wins.
     """
     from barsmith.operators.views import register_views
+    from barsmith.plans import increment
     from barsmith.session import scratch_path
-    from barsmith.sources import ndjson, sinks
+    from barsmith.sources import ledger, ndjson, sinks
+    from barsmith.sources import rules as gate
 
+    attempt, path = ledger.new_attempt(out_path, run_date)
+    root = out_path.rstrip("/")
+    if table:
+        sinks.ensure_table(spark, table, table_format, table_path)
+        sinks.enforce_contract(spark, table)
     raw, seen = ndjson.observed(ndjson.scan(spark, staged_root, run_date), name=f"scan_{run_date}")
+    quarantine = None
+    if rules is not None:
+        raw, quarantine = gate.split(raw, rules, f"{root}/_quarantine/run_date={run_date}/attempt={attempt}")
     bars = ndjson.to_bars(raw)
     usable = bars.filter(F.col("ticker").isNotNull() & F.col("date").isNotNull())
     store = scratch_path(spark, f"bars-{run_date}")
@@ -122,19 +142,33 @@ def run_pipeline(spark, staged_root: str, out_path: str, run_date: str, *,
     stored_bars = spark.read.schema(bars.schema).parquet(store)
     metrics = {k: int(v) for k, v in seen.get.items()}
     written = stored_bars.count()
-    metrics |= {"written_rows": written, "duplicate_rows": metrics.get("rows", 0) - metrics.get("unusable_rows", 0) - written}
-    ndjson.check_gate(metrics, max_unusable)
-    feats = features(stored_bars, run_date=run_date, processed_at=processed_at or utc_stamp(),
-                     chunk_rows=chunk_rows, dedupe=False)
-    path = sinks.run_path(out_path, run_date)
+    lost = "unusable_rows"
+    if quarantine is not None:
+        lost, metrics["quarantined_rows"] = "quarantined_rows", quarantine.count()
+    metrics |= {"written_rows": written, "duplicate_rows": metrics.get("rows", 0) - metrics.get(lost, 0) - written}
+    ndjson.check_gate(metrics, max_unusable, lost=lost)
+    stamp = processed_at or utc_stamp()
+    state, late, same = None, 0, 0
+    if after is None:
+        feats = features(stored_bars, run_date=run_date, processed_at=stamp, chunk_rows=chunk_rows, dedupe=False)
+    else:
+        state = increment.read_state(spark, root, after)
+        step = increment.advance(state, stored_bars, run_date=run_date, processed_at=stamp, dedupe=False)
+        feats, late, same = step.features, step.late.count(), step.unchanged.count()
+        metrics |= {"late_rows": late, "unchanged_rows": same}
+        if late:
+            history = sinks.newest(sinks.read_runs(spark, root))
+            feats, state = increment.with_late(history, state, step, stored_bars, run_date=run_date, processed_at=stamp)
     sinks.write_parquet(feats, path)
     stored = sinks.read_parquet(spark, path)
-    if (kept := stored.count()) != written:
-        raise ndjson.LossyLoad(f"{written} bars gave {kept} feature rows")
+    kept = stored.count()
+    # a late bar brings the rows after it along
+    if kept < written - same or (not late and kept > written - same):
+        raise ndjson.LossyLoad(f"{written} bars, {same} of them unchanged, gave {kept} feature rows")
+    increment.write_state(stored, state, root, run_date, attempt)
+    ledger.commit(spark, root, run_date, attempt, kept, metrics)
     if table:
-        # `stored` is read from year/month directories: no second shuffle.
-        sinks.write_table(sinks.conform(stored), table, fmt=table_format, path=table_path,
-                          rebalance=False)
+        sinks.merge_table(sinks.conform(stored), table)
     views = register_views(stored, as_of) if register else {}
-    return {"rows": written, "metrics": metrics, "features": stored,
+    return {"rows": kept, "metrics": metrics, "features": stored, "quarantine": quarantine,
             "views": views, "path": path, "table": table}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from barsmith.schema import DECLARED_SCHEMA, FEATURE_SCHEMA
 
@@ -46,15 +47,16 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType = FEATURE_SC
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def run_path(root: str, run_date: str) -> str:
-    """The folder of one run's feature files. Runs never write into each other's folder,
-    so a run with fewer instruments or days leaves the rows of earlier ones alone."""
-    return f"{root.rstrip('/')}/run_date={run_date}"
+def read_runs(spark: SparkSession, root: str, run_dates=None) -> DataFrame:
+    """The rows of every committed run under ``root`` (or of those named), each once;
+    ``pipeline_run`` tells them apart. Attempts without a commit record are not read."""
+    from barsmith.sources import ledger
 
-
-def read_runs(spark: SparkSession, root: str) -> DataFrame:
-    """The rows of every run under ``root``; ``pipeline_run`` tells them apart."""
-    return read_parquet(spark, root)
+    paths = ledger.paths(spark, root, run_dates)
+    if not paths:
+        return spark.createDataFrame([], FEATURE_SCHEMA)
+    folders = StructType([*FEATURE_SCHEMA.fields, StructField("run_date", StringType()), StructField("attempt", StringType())])
+    return spark.read.schema(folders).option("basePath", root).parquet(*paths).select(*FEATURE_SCHEMA.names)
 
 
 def newest(runs: DataFrame, key: str = "ticker", order: str = "date") -> DataFrame:
@@ -79,6 +81,59 @@ def write_table(features: DataFrame, table: str, *, fmt: str = "parquet",
     w.partitionBy(*partition_cols).saveAsTable(table)
 
 
+def _partitions(df: DataFrame, cols: Sequence[str]) -> Column:
+    """The condition that picks the partitions which ``df`` has rows in. Its size is the number of
+    these partitions (months), and it holds literals only, so it prunes the scan."""
+    values = sorted(tuple(r) for r in df.select(*cols).distinct().collect())
+    return F.lit(False) if not values else reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(cols, row)]) for row in values])
+
+
+def merge_table(updates: DataFrame, table: str, *, fmt: str = "parquet", path: str | None = None,
+                partition_cols: Sequence[str] = PARTITION_COLUMNS, key: str = "ticker", order: str = "date",
+                prefer: Sequence[str] = ("pipeline_run", "processed_at")) -> None:
+    """Newest-wins merge by (key, order) into a catalog table: rows of ``updates`` replace older
+    copies, all other rows stay. A missing table is created.
+
+    Only partitions that ``updates`` has rows in are read and rewritten. Their merged rows are written to the
+    shared folder first, so the table is untouched until all of them are there; one overwrite
+    of just these partitions then swaps them in.
+    """
+    from barsmith.plans.series import collapse_copies
+    from barsmith.session import scratch_path
+
+    spark = updates.sparkSession
+    if not spark.catalog.tableExists(table):
+        write_table(updates, table, fmt=fmt, path=path, partition_cols=partition_cols, key=key, order=order)
+        return
+    stored = spark.table(table)
+    updates = spark.createDataFrame([], stored.schema).unionByName(updates, allowMissingColumns=True).select(*stored.columns)
+    touched = stored.filter(_partitions(updates, partition_cols))
+    merged = collapse_copies(touched.unionByName(updates), key, order, list(prefer))
+    staged = scratch_path(spark, "merge")
+    _layout(merged, partition_cols, key=key, order=order).write.partitionBy(*partition_cols).parquet(staged)
+    # a session of its own, so that the overwrite mode is nobody else's
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    # laid out by the partition columns already: sorting within the read splits is all that is left
+    ready = own.read.schema(stored.schema).parquet(staged).select(*stored.columns)
+    ready.sortWithinPartitions(*partition_cols, key, order).write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
+
+
+def write_clustered(features: DataFrame, table: str, *, buckets: int, path: str | None = None,
+                    key: str = "ticker", order: str = "date") -> None:
+    """A catalog table clustered by instrument: ``buckets`` hash buckets by ``key``, each one file
+    sorted by (key, order). Windows, aggregates and joins by the instrument then read it without a
+    shuffle. ``buckets`` should make a file some hundred MB; an instrument lies in one file."""
+    w = (features.repartition(buckets, F.col(key)).sortWithinPartitions(key, order).write.format("parquet").mode("overwrite")
+         .bucketBy(buckets, key).sortBy(key, order))
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+
+
 def conform(features: DataFrame, strict: bool = True) -> DataFrame:
     """The 41 declared warehouse fields, cast to their declared types.
 
@@ -112,3 +167,39 @@ def ensure_table(spark: SparkSession, table: str, fmt: str = "parquet",
     if location:
         ddl += f"\nLOCATION '{location}'"
     spark.sql(ddl)
+
+
+class SchemaDrift(RuntimeError):
+    """Raised when a stored table cannot take the rows of its contract."""
+
+
+# What a column of the first type may hold without loss, beside its own type.
+_HOLDS = {"bigint": {"int", "smallint", "tinyint"}, "int": {"smallint", "tinyint"}, "smallint": {"tinyint"},
+          "double": {"float", "int", "smallint", "tinyint"}, "timestamp": {"date"}}
+
+
+def enforce_contract(spark: SparkSession, table: str, schema: StructType = DECLARED_SCHEMA,
+                     partition_cols: Sequence[str] = PARTITION_COLUMNS) -> list[str]:
+    """Hold the stored ``table`` against its contract before a job writes to it.
+
+    Columns that the table lacks are added (null in earlier rows), and returned. A column whose type
+    cannot hold the contract's values, or partitioning by other columns, raises :class:`SchemaDrift`, and so does a
+    missing partition column. Columns that only the table has stay: they are null in new rows.
+    """
+    stored = {f.name.lower(): f.dataType.simpleString() for f in spark.table(table).schema.fields}
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts != list(partition_cols):
+        raise SchemaDrift(f"{table} is partitioned by {parts}, not by {list(partition_cols)}")
+    narrow, missing = [], []
+    for f in schema.fields:
+        want, have = f.dataType.simpleString(), stored.get(f.name.lower())
+        if have is None:
+            missing.append(f)
+        elif have != want and want not in _HOLDS.get(have, ()):
+            narrow.append(f"{f.name} is {have}, the contract has {want}")
+    if narrow:
+        raise SchemaDrift(f"{table}: " + "; ".join(narrow))
+    if missing:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+    return [f.name for f in missing]
