@@ -364,7 +364,162 @@ def q_pipeline_gate(spark, sf_dir):
     return spark.createDataFrame([tuple(res["metrics"][n] for n in names)], ", ".join(f"{n} long" for n in names))
 
 
+# ---------------------------------------------------------------- running states, stored state
+def _ewma(spark, sf_dir, chunked):
+    from barsmith.operators.running import ewma
+
+    out = ewma(stored_bars(spark, sf_dir), chunked=chunked)
+    return rounded(out.select("ticker", "date", "adj_close", "ewma_12", "ewma_26"))
+
+
+def q_ewma(spark, sf_dir):
+    return _ewma(spark, sf_dir, None)
+
+
+def q_ewma_chunked(spark, sf_dir):
+    return _ewma(spark, sf_dir, True)
+
+
+def q_view_volatility_regime_expanding(spark, sf_dir):
+    return rounded(vw.volatility_regime(stored_features(spark, sf_dir), bars_as_of(spark, sf_dir), expanding=True))
+
+
+def q_regime_expanding_chunked(spark, sf_dir):
+    return rounded(vw.volatility_regime(stored_features(spark, sf_dir), bars_as_of(spark, sf_dir), expanding=True, chunked=True))
+
+
+# The test series are cut here into the bars of a first and a later run.
+LATER = "DATE '2001-10-05'"
+
+
+def q_features_incremental(spark, sf_dir):
+    """Features of all bars but the last month, then of that month from the state alone."""
+    from barsmith.plans import increment
+    from barsmith.session import scratch_path
+
+    bars, kw = stored_bars(spark, sf_dir), {"run_date": run_of(), "processed_at": PROCESSED_AT, "dedupe": False}
+    first, state = scratch_path(spark, "features"), scratch_path(spark, "state")
+    sinks.write_parquet(job.features(bars.filter(f"date < {LATER}"), **kw), first)
+    increment.tail_state(sinks.read_parquet(spark, first)).write.parquet(state)
+    step = increment.advance(spark.read.parquet(state), bars.filter(f"date >= {LATER}"), **kw)
+    return rounded(sinks.read_parquet(spark, first).unionByName(step.features))
+
+
+def _two_runs(spark, sf_dir, first: str, second: str, **kw) -> tuple[str, dict]:
+    """Two runs of the batch job over the bars that the conditions pick; the second goes by ``kw``."""
+    from barsmith.session import scratch_path
+
+    staged, out = scratch_path(spark, "staged"), scratch_path(spark, "runs")
+    bars = lineitem_bars(spark, sf_dir)
+    ndjson.stage(bars.filter(first), staged, "20240101")
+    ndjson.stage(bars.filter(second), staged, "20240102")
+    table = {"table": kw["table"], "table_path": f"{out}-table"} if "table" in kw else {}
+    job.run_pipeline(spark, staged, out, "20240101", processed_at=PROCESSED_AT, register=False, **table)
+    return out, job.run_pipeline(spark, staged, out, "20240102", processed_at=PROCESSED_AT, register=False, **(kw | table))
+
+
+def q_pipeline_incremental(spark, sf_dir):
+    """The batch job going on from an earlier run: the second run is given the last year again, with
+    a month that is new. It writes that month alone."""
+    out, _ = _two_runs(spark, sf_dir, f"date < {LATER}", f"date >= {LATER} - INTERVAL 1 YEAR", after="20240101")
+    return rounded(sinks.read_runs(spark, out))
+
+
+def q_pipeline_late_bars(spark, sf_dir):
+    """Some instruments' bars of a year come with the second run, after later ones are out."""
+    late = "ticker % 3 = 0 AND date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"
+    out, _ = _two_runs(spark, sf_dir, f"NOT ({late})", late, after="20240101")
+    return rounded(sinks.newest(sinks.read_runs(spark, out)).drop("pipeline_run"))
+
+
+def q_table_merge(spark, sf_dir):
+    """The catalog table after a run of all instruments and one of half of them: the newest row of each bar."""
+    from barsmith.session import scratch_path
+
+    name = "merged_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    _two_runs(spark, sf_dir, "true", "ticker % 2 = 0 AND date >= DATE '1995-03-15'", table=name)
+    return rounded(spark.table(name).select(*DECLARED_COLUMNS))
+
+
+def clustered_features(spark: SparkSession, sf_dir: str, buckets: int = 8) -> DataFrame:
+    """The feature table clustered by instrument."""
+    from barsmith.session import scratch_path
+
+    k = (spark.sparkContext.applicationId, sf_dir, "clustered")
+    if k not in _STORED:
+        path = scratch_path(spark, "clustered")
+        _STORED[k] = "clustered_" + path.rsplit("-", 1)[-1]
+        sinks.write_clustered(stored_features(spark, sf_dir), _STORED[k], buckets=buckets, path=path)
+    return spark.table(_STORED[k])
+
+
+def q_table_bucketed(spark, sf_dir):
+    """The volatility regime read from the clustered table, whose join needs no shuffle."""
+    return rounded(vw.volatility_regime(clustered_features(spark, sf_dir), bars_as_of(spark, sf_dir)))
+
+
+def q_run_ledger(spark, sf_dir):
+    """One run twice, and attempts that broke before their record: the run's rows once."""
+    from barsmith.session import scratch_path
+    from barsmith.sources import ledger
+
+    staged, out = scratch_path(spark, "staged"), scratch_path(spark, "runs")
+    ndjson.stage(lineitem_bars(spark, sf_dir), staged, RUN_DATE)
+    for _ in range(2):
+        job.run_pipeline(spark, staged, out, RUN_DATE, processed_at=PROCESSED_AT, register=False)
+    for run in (RUN_DATE, "20240109"):
+        _, path = ledger.new_attempt(out, run)
+        sinks.write_parquet(sinks.read_runs(spark, out).filter("ticker % 2 = 0"), path)
+    return rounded(sinks.read_runs(spark, out))
+
+
+def q_gate_quarantine(spark, sf_dir):
+    """The lines that the batch job sets aside, with their reasons."""
+    from barsmith.session import scratch_path
+    from barsmith.sources import rules
+
+    staged = scratch_path(spark, "staged")
+    bars = lineitem_bars(spark, sf_dir).withColumns({
+        "high": F.when(F.expr("day(date) % 5 = 0"), F.col("low") - 1).otherwise(F.col("high")),
+        "adj_open": F.when(F.expr("day(date) % 7 = 0"), -F.col("adj_open")).otherwise(F.col("adj_open")),
+        "volume": F.when(F.expr("day(date) % 11 = 0"), F.lit(None)).otherwise(F.col("volume")),
+        "adj_volume": F.when(F.expr("day(date) % 13 = 0"), -F.col("adj_volume")).otherwise(F.col("adj_volume")),
+        "ticker": F.when(F.expr("day(date) % 17 = 0"), F.lit(" ")).otherwise(F.col("ticker"))})
+    ndjson.stage(bars, staged, RUN_DATE)
+    raw = ndjson.scan(spark, staged, RUN_DATE)
+    res = job.run_pipeline(spark, staged, scratch_path(spark, "runs"), RUN_DATE, processed_at=PROCESSED_AT, register=False,
+                           rules=rules.bar_rules(raw.columns))
+    return rounded(res["quarantine"].select("ticker", "date", "close", "adj_volume", F.array_join("reasons", ",").alias("reasons")))
+
+
+def q_payload_drift(spark, sf_dir):
+    """Payload arrays with unknown, missing and retyped fields: typed columns and what they cannot hold."""
+    from barsmith.sources import drift
+
+    bars = lineitem_bars(spark, sf_dir)
+    day = F.dayofmonth("date")
+    record = F.struct(
+        F.date_format("date", "yyyy-MM-dd").alias("date"), F.when(day % 7 != 0, F.col("high")).alias("high"), F.col("close"),
+        F.when(day % 5 == 0, F.lit("n/a")).otherwise(F.col("volume").cast("string")).alias("volume"),
+        F.when(day % 3 == 0, F.struct(F.lit("X").alias("code"), day.alias("lot"))).alias("venue"))
+    payloads = bars.groupBy("ticker", F.year("date").alias("y")).agg(F.to_json(F.collect_list(record)).alias("payload"))
+    out = drift.conform(drift.records(payloads.drop("y")))
+    return rounded(out.select("ticker", "date", "open", "high", "close", "volume", drift.RESCUED, drift.MALFORMED))
+
+
 SOURCE_QUERIES = {
+    "ewma": q_ewma,
+    "ewma_chunked": q_ewma_chunked,
+    "view_volatility_regime_expanding": q_view_volatility_regime_expanding,
+    "regime_expanding_chunked": q_regime_expanding_chunked,
+    "features_incremental": q_features_incremental,
+    "pipeline_incremental": q_pipeline_incremental,
+    "pipeline_late_bars": q_pipeline_late_bars,
+    "table_merge": q_table_merge,
+    "table_bucketed": q_table_bucketed,
+    "run_ledger": q_run_ledger,
+    "gate_quarantine": q_gate_quarantine,
+    "payload_drift": q_payload_drift,
     "features_chunked": q_features_chunked,
     "features_dedupe": q_features_dedupe,
     "rank_ties": q_rank_ties,
