@@ -3,7 +3,8 @@
 Writing: rows become WARC/1.1 records. Of records with equal payloads of at least
 ``min_bytes`` bytes the one with the smallest id is a response; the others are revisits
 that name it and carry no payload. A task fills an archive up to ``archive_bytes`` of
-records, trains a dictionary on a bounded sample of that archive's records, and emits
+records, makes a dictionary of a bounded sample of that archive's records (``sample_bytes``, ``excerpt_bytes`` of
+each; trained, or raw content where there are too few to train on), and emits
 the archive as one row (name, content): a skippable frame with the dictionary, then one
 frame per record. The rows are a Parquet table in the shared folder, so any file system
 that Spark writes to will do, and a lost executor only repeats its tasks.
@@ -17,7 +18,8 @@ ends its archive with one row of problem, as no later frame can be found.
 
 Null payloads are empty ones. Null ids get a name from their payload's digest, are never the
 smallest, and revisit the smallest of the others if there is one. Rows that repeat the
-smallest id with an equal payload are responses too. Null URLs leave the field out; line
+smallest id with an equal payload are responses too. Payloads of any length are one record, which a task
+holds whole. Null URLs leave the field out; line
 ends in a URL are percent-encoded. Empty tables give no archive and no record. Extra
 columns are not archived.
 """
@@ -67,22 +69,25 @@ def record(name: str, kind: str, uri: str | None, date: str, payload: bytes, dig
     return VERSION + b"\r\n" + head + b"\r\n" + block + b"\r\n\r\n"
 
 
-def pack_archive(records: list[bytes], dictionary_bytes: int, sample_bytes: int, level: int) -> bytes:
-    """The dictionary is trained on every n-th record, ``sample_bytes`` at most; too few
-    records to train on leave it, and the leading frame, out."""
-    step = max(1, sum(map(len, records)) // sample_bytes)
-    dictionary, out = None, []
+def dictionary_of(records: list[bytes], dictionary_bytes: int, sample_bytes: int, excerpt_bytes: int) -> zstandard.ZstdCompressionDict:
+    """A dictionary trained on every n-th record, ``sample_bytes`` in all and ``excerpt_bytes`` of each.
+    Records that can't be trained on (too few, or too much alike) are a dictionary as they stand: raw content,
+    the first of them at its end, where matches are cheapest."""
+    step = max(1, sum(min(len(r), excerpt_bytes) for r in records) // sample_bytes)
+    sample = [r[:excerpt_bytes] for r in records[::step]]
     try:
-        if len(records) >= 16:
-            dictionary = zstandard.train_dictionary(dictionary_bytes, [r[:1 << 17] for r in records[::step]])
+        return zstandard.train_dictionary(dictionary_bytes, sample)
     except zstandard.ZstdError:
-        pass
-    if dictionary is not None:
-        content = zstandard.compress(dictionary.as_bytes())
-        out.append(DICTIONARY_MAGIC + len(content).to_bytes(4, "little") + content)
-    with_dict = {"dict_data": dictionary} if dictionary is not None else {}
-    frame = zstandard.ZstdCompressor(level=level, write_checksum=True, **with_dict).compress
-    return b"".join(out + [frame(r) for r in records])
+        raw = b"".join(reversed([r[:dictionary_bytes] for r in sample[:64]]))[-dictionary_bytes:]
+        return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+
+def pack_archive(records: list[bytes], dictionary_bytes: int, sample_bytes: int, level: int, excerpt_bytes: int = 1 << 17) -> bytes:
+    """The dictionary in the leading skippable frame, then a frame per record."""
+    dictionary = dictionary_of(records, dictionary_bytes, sample_bytes, excerpt_bytes)
+    content = zstandard.compress(dictionary.as_bytes())
+    frame = zstandard.ZstdCompressor(level=level, write_checksum=True, dict_data=dictionary).compress
+    return b"".join([DICTIONARY_MAGIC + len(content).to_bytes(4, "little") + content, *map(frame, records)])
 
 
 def frames(archive: bytes) -> Iterator[bytes]:
@@ -147,7 +152,7 @@ def parse(raw: bytes) -> dict:
 
 def write_archives(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", payload: str = "html",
                    min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", archive_bytes: int = 8 << 20,
-                   dictionary_bytes: int = 32 << 10, sample_bytes: int = 1 << 20, level: int = 3) -> DataFrame:
+                   dictionary_bytes: int = 32 << 10, sample_bytes: int = 1 << 20, excerpt_bytes: int = 1 << 17, level: int = 3) -> DataFrame:
     """(archive, content): the archives of all rows, stored in the shared folder."""
     rows = pages.select(F.col(page_id).alias("id"), F.col(url).cast("string").alias("url"),
                         F.coalesce(F.col(payload), F.lit("")).cast("binary").alias("payload"))
@@ -167,7 +172,7 @@ def write_archives(pages: DataFrame, *, page_id: str = "page_id", url: str = "ur
         def emit(records):
             return pa.RecordBatch.from_arrays(
                 [pa.array([f"part-{part:06d}-{number:05d}.warc.zst"]),
-                 pa.array([pack_archive(records, dictionary_bytes, sample_bytes, level)], pa.binary())], names=["archive", "content"])
+                 pa.array([pack_archive(records, dictionary_bytes, sample_bytes, level, excerpt_bytes)], pa.binary())], names=["archive", "content"])
 
         records, size = [], 0
         for b in batches:

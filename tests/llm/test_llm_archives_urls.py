@@ -125,3 +125,20 @@ def test_colliding_keys_are_confirmed(tmp_path, monkeypatch):
     monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda s: 7)
     (tmp_path / "f").write_bytes(urls.pack(["net/", "org/", "a.b"], ["1", "2", "3"]))
     assert urls.DigestArray(str(tmp_path / "f")).find([b"org/", b"x", b"a.b", b"net/"]) == ["2", None, "3", "1"]
+
+
+@pytest.mark.parametrize("records", [[b"x"], [b"only one record " * 50_000], [b"short"] * 3, [b""], [b"a" * 200] * 40, [bytes([i]) * 9 for i in range(15)]])
+def test_every_archive_leads_with_a_dictionary(records):
+    """Also archives of one record, and of records that no dictionary can be trained on."""
+    packed = warc.pack_archive(records, 2048, 1 << 20, 3)
+    assert packed[:4] == warc.DICTIONARY_MAGIC
+    assert list(warc.frames(packed)) == records
+
+
+def test_archives_of_one_record_have_dictionaries(spark):
+    rows = [(i, f"http://h/{i}", f"<p>{i}</p>" * 30_000) for i in range(6)]
+    archives = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), archive_bytes=1)
+    got = archives.collect()
+    assert len(got) == 6 and all(bytes(r["content"])[:4] == warc.DICTIONARY_MAGIC for r in got)
+    back = {r["record_id"]: bytes(r["payload"]).decode() for r in warc.read_archives(archives, strict=True).collect()}
+    assert back == {f"urn:page:{i}": html for i, _, html in rows}
