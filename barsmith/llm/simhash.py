@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.common import checkpointed
+from barsmith.llm.common import checkpointed, free_name
 from barsmith.llm.components import components
 
 SEED = 42
@@ -75,6 +75,9 @@ def covering_masks(radius: int, q: int = 3, bits: int = BITS) -> list[int]:
     return [sum(1 << i for i, m in enumerate(of_bit) if sum(a * b for a, b in zip(v, m, strict=True)) % q)
             for v in lines]
 
+#: A fingerprint of more than one in HOT rows is hot.
+HOT = 1000
+
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
@@ -128,12 +131,16 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     reachable over links of at most ``radius`` differing bits."""
     fps = checkpointed(fingerprints(docs, text=text, doc_id=doc_id, shingle=shingle))
     classes = components(links(fps, radius=radius, q=q))
-    least = checkpointed(fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = checkpointed(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
                          .join(classes.withColumnRenamed("id", "fp"), "fp", "left")
-                         .select("fp", "least", F.coalesce("component", "fp").alias("component")))
+                         .select("fp", "least", "rows", F.coalesce("component", "fp").alias("component")))
     of_class = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_fp = checkpointed(least.join(of_class, "component").select("fp", "component_id"))
-    return fps.join(of_fp, "fp").select(
+    of_fp = checkpointed(least.join(of_class, "component").select("fp", "component_id", "rows"))
+    # A fingerprint that many rows share would meet its class in one task. Those with more than one in HOT
+    # of all rows are fewer than HOT: they are broadcast, and the rows stay where they are.
+    hot = of_fp.filter(F.col("rows") > F.lit(fps.count() / HOT)).drop("rows")
+    cold = fps.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(of_fp.drop("rows"), "fp")
+    return fps.join(F.broadcast(hot), "fp").unionByName(cold).select(
         F.col("doc_id"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id")
@@ -141,11 +148,17 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
 
 def one_of_each(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
                 radius: int = 2) -> DataFrame:
-    """``docs`` without the documents whose class holds a smaller doc_id. Rows with null
-    doc_id stay, and rows that repeat a doc_id stay or go together."""
-    classes = near_duplicates(docs, text=text, doc_id=doc_id, shingle=shingle, radius=radius)
-    # A repeated doc_id stays if any of its rows is the first of a class.
-    gone = (classes.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
-            .agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("first"))
-            .filter(~F.col("first")).select(F.col("doc_id").alias("_gone")))
-    return docs.join(gone, docs[doc_id] == F.col("_gone"), "left_anti")
+    """One row of each class of near-duplicates: the one with the smallest doc_id. Rows with null doc_id
+    come after all others; rows that share a doc_id are told apart by a hash of their text, and one
+    of equal rows stays. Rows of one doc_id that are no near-duplicates all stay."""
+    row = free_name(docs.columns, "_row")
+    key = F.struct(F.col(f"`{doc_id}`").isNull().alias("unknown"), F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("hash"))
+    rows = docs.withColumn(row, key)
+    classes = checkpointed(near_duplicates(rows, text=text, doc_id=row, shingle=shingle, radius=radius)
+                           .select(F.col("doc_id").alias(row), (F.col("doc_id") == F.col("component_id")).alias("first")))
+    gone = classes.filter(~F.col("first")).select(row).distinct()
+    kept = rows.join(gone, row, "left_anti")
+    equal = classes.filter("first").groupBy(row).count().filter("count > 1").select(row)
+    if not equal.isEmpty():  # only these rows are shuffled
+        kept = kept.join(equal, row, "left_anti").unionByName(kept.join(equal, row, "left_semi").dropDuplicates([row]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from barsmith.llm import line_dedup, simhash
@@ -128,9 +129,26 @@ def test_near_duplicates_edge_cases(spark):
     assert got == sorted(((i, fp[t], first[fp[t]]) for i, t in rows), key=repr)
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
-    assert sorted((str(r["doc_id"]) for r in kept.collect())) == ["3", "4", "6", "6", "None", "None"]
+    # one row of each class, also of those that share an id or have none
+    assert sorted((str(r["doc_id"]) for r in kept.collect())) == ["3", "4", "6", "None"]
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_one_row_of_each_class_stays(spark):
+    """Rows of one id are told apart by text; null ids come last; clashing names don't matter."""
+    base = " ".join(f"w{i}" for i in range(500))
+    apart = lambda t: bin(brute_fingerprint(base) ^ brute_fingerprint(t)).count("1")
+    near = next(t for t in (f"{base} more{k}" for k in range(1000)) if apart(t) in (1, 2))
+    rows = [(5, base, "a"), (5, base, "b"), (5, near, "c"), (7, base, "d"), (None, base, "e"), (5, "something else altogether here", "f"),
+            (None, "a text without an id", "g"), (None, "a text without an id", "h"), (None, None, "i"), (9, "", "j"), (8, "   ", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string").withColumns({"_gone": F.lit(1), "fp": F.lit("x"), "first": F.lit(True)})
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r["doc_id"]), r["text"]) for r in kept.collect())
+    assert len(got) == 4 and [i for i, _ in got] == ["5", "5", "8", "None"]
+    assert ("5", "something else altogether here") in got and ("None", "a text without an id") in got
+    assert simhash.one_of_each(docs.limit(0)).collect() == []
+
+
 def test_kept_digest():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")  # what the query gives an empty text
