@@ -20,7 +20,8 @@ Built-in DataFrame functions only; no Python runs on the executors.
    most, so a step of 1 descends: w <- max(0, w - sum of p (got - target) / mass). A
    document's rate is a function of its posteriors, so documents with equal posteriors are
    one row with their tokens summed (exactly the same result), and an iteration is one
-   distributed aggregation that gives the driver one number per domain. Rates follow
+   distributed aggregation that gives the driver one number per domain. A last step, by Newton's
+   method on the same numbers, closes what the gradient leaves. Rates follow
    from the list of those numbers; no per-document state is stored.
 
 No shuffle carries text but the join of the labelled sample; the result is computed in
@@ -190,10 +191,85 @@ def fit_rates(mass_of: DataFrame, targets: list[float], total: float | None, *,
     return steps
 
 
+def dual_step(mass_of: DataFrame, targets: list[float], total: float | None, steps: list[list[float]], *,
+              tolerance: float, iterations: int = 30) -> tuple[list[list[float]], list[float], list[float]]:
+    """The gradient steps with one more that meets the targets, if they can be met: (steps, tokens of
+    each domain, tokens wanted).
+
+    Gradient steps slow down where posteriors hardly differ. Of all rates that match the targets, those
+    nearest to the gradient's have the form max(0, w - sum of p s), a step of the same kind with one
+    number per domain. Newton's method finds them: an iteration is one aggregation that
+    gives the driver the domains' totals and the matrix of sums of n p p' over rates above 0.
+    """
+    k = len(targets)
+    named = [f"p{i}" for i in range(k)]
+    mass = [x or 0.0 for x in mass_of.agg(*[F.sum(F.col("n") * F.col(p)) for p in named]).first()]
+    wanted = [x * (sum(mass) if total is None else total) for x in targets]
+    live = [i for i in range(k) if mass[i] > 0]
+    pairs = [(i, j) for i in live for j in live if i <= j]
+    # the gradient's rates once, so that an iteration is one step long
+    start = stored(mass_of.withColumn("w", rate_of(named, steps)), "mixing-rates") if live else mass_of
+
+    def look(s: list[float]) -> tuple[list[float], list[list[float]]]:
+        w = F.greatest(F.lit(0.0), F.col("w") - sum((F.col(p) * x for p, x in zip(named, s, strict=True)), F.lit(0.0)))
+        above = F.when(F.col("v") > 0, F.col("n")).otherwise(0.0)
+        row = start.withColumn("v", w).agg(*[F.sum(F.col("v") * F.col("n") * F.col(p)) for p in named],
+                                           *[F.sum(above * F.col(named[i]) * F.col(named[j])) for i, j in pairs]).first()
+        got = [x or 0.0 for x in row[:k]]
+        h = [[0.0] * k for _ in range(k)]
+        for (i, j), x in zip(pairs, row[k:], strict=True):
+            h[i][j] = h[j][i] = x or 0.0
+        return got, h
+
+    def missed(got: list[float]) -> float:
+        return max([abs(got[i] - wanted[i]) for i in live], default=0.0)
+
+    s = [0.0] * k
+    if not live:
+        return steps, mass, wanted
+    got, h = look(s)
+    for _ in range(iterations):
+        if missed(got) <= tolerance * sum(wanted):
+            break
+        move = solve([[h[i][j] for j in live] for i in live], [got[i] - wanted[i] for i in live])
+        share, better = 1.0, False
+        while share > 1e-3:  # the full move may overshoot where rates fall to 0 or rise from it
+            tried = list(s)
+            for i, x in zip(live, move, strict=True):
+                tried[i] += share * x
+            new, new_h = look(tried)
+            if missed(new) < missed(got) * (1 - share / 10):
+                s, got, h, better = tried, new, new_h, True
+                break
+            share /= 4
+        if not better:
+            break
+    return ([*steps, s] if any(s) else steps), got, wanted
+
+
+def solve(a: list[list[float]], b: list[float]) -> list[float]:
+    """x with a x = b for a small symmetric matrix, by elimination; a little is added to the
+    diagonal, so that domains which posteriors can't tell apart share the move."""
+    n = len(b)
+    ridge = 1e-9 * max(max(a[i][i] for i in range(n)), 1e-300)
+    rows = [[*(a[i][j] + (ridge if i == j else 0.0) for j in range(n)), b[i]] for i in range(n)]
+    for c in range(n):
+        top = max(range(c, n), key=lambda r: abs(rows[r][c]))
+        rows[c], rows[top] = rows[top], rows[c]
+        for r in range(n):
+            if r != c:
+                f = rows[r][c] / rows[c][c]
+                rows[r] = [x - f * y for x, y in zip(rows[r], rows[c], strict=True)]
+    return [rows[i][n] / rows[i][i] for i in range(n)]
+
+
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, text: str = "text", doc_id: str = "doc_id",
-        domain: str = "domain", total: float | None = None, iterations: int = 40, tolerance: float = 1e-3, **learning) -> DataFrame:
+        domain: str = "domain", total: float | None = None, iterations: int = 10, tolerance: float = 5e-4, **learning) -> DataFrame:
     """``docs`` with n_tokens, posteriors (map of domain to probability), domain (the likeliest)
-    and rate (expected copies in the mix, 0 or more)."""
+    and rate (expected copies in the mix, 0 or more).
+
+    Warns, with each domain's share, where targets are missed by more than ``tolerance`` of all tokens: no
+    nonnegative rates of these posteriors reach them."""
     if not targets or min(targets.values()) < 0 or sum(targets.values()) <= 0:
         raise ValueError("targets are nonnegative weights, one at least positive")
     taken = [*docs.columns]
@@ -208,6 +284,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, text
     mass_of = stored(with_posteriors(docs.select(x.alias("x")), model, F.col("x"), "n", named).filter("n > 0")
                      .groupBy(*named).agg(F.sum("n").cast("double").alias("n")), "mixing-mass")
     steps = fit_rates(mass_of, weights, total, iterations=iterations, tolerance=tolerance)
+    steps, got, wanted = dual_step(mass_of, weights, total, steps, tolerance=tolerance)
+    if max((abs(g - t) for g, t in zip(got, wanted, strict=True)), default=0.0) > 2 * tolerance * sum(wanted):
+        shares = {d: (round(g / sum(wanted), 4), round(t / sum(wanted), 4)) for d, g, t in zip(model.domains, got, wanted, strict=True)}
+        warnings.warn(f"targets out of reach, (share, target) by domain: {shares}", stacklevel=2)
     own = [free_name(taken, f"_posterior_{i}") for i in range(len(named))]
     # A row number is not deterministic, so a caller's filter on the rate stays above this
     # step: pushed below it, the posteriors would be computed again for every gradient step.

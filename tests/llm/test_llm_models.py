@@ -1,6 +1,7 @@
 """Quality, languages, tokens, neighbours, decontamination and mixing."""
 
 import random
+import warnings
 import zlib
 
 import numpy as np
@@ -400,6 +401,34 @@ def test_rates_equal_plain_projected_gradient(spark):
     assert loss(w) < 0.05 * loss(np.ones(50))
 
 
+@pytest.mark.parametrize("rows, targets", [
+    ([(0.6, 0.4, 1.0), (0.4, 0.6, 1.0)], [0.58, 0.42]), ([(0.52, 0.48, 1.0), (0.48, 0.52, 1.0)], [0.515, 0.485]),
+    ([(0.9, 0.1, 50.0), (0.2, 0.8, 3.0), (0.5, 0.5, 7.0)], [0.3, 0.7]), ([(1.0, 0.0, 5.0), (0.0, 1.0, 5.0)], [1.0, 0.0])])
+def test_reachable_targets_are_met(spark, rows, targets):
+    """Posteriors that hardly differ slow the gradient down; the last step meets the targets all the same."""
+    table = spark.createDataFrame(rows, "p0 double, p1 double, n double")
+    steps = mixing.fit_rates(table, targets, None, iterations=10, tolerance=5e-4)
+    steps, got, wanted = mixing.dual_step(table, targets, None, steps, tolerance=5e-4)
+    total = sum(n for _, _, n in rows)
+    assert wanted == pytest.approx([t * total for t in targets])
+    assert got == pytest.approx(wanted, abs=1e-3 * total)
+    w = [r[0] for r in table.select(mixing.rate_of(["p0", "p1"], steps)).collect()]
+    assert min(w) >= 0
+    back = [sum(x * r[2] * r[i] for x, r in zip(w, rows)) for i in (0, 1)]
+    assert back == pytest.approx(got)
+
+
+def test_unreachable_targets_are_told(spark):
+    rows, labels = mixing_rows()
+    docs, labelled = spark.createDataFrame(rows, "doc_id long, text string, rate string"), spark.createDataFrame(labels, "doc_id long, domain string")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        mixing.mix(docs, labelled, {"a": 1.0, "b": 3.0}, min_g=10.0)
+    same = docs.withColumn("text", F.lit("a1 b1"))
+    with pytest.warns(UserWarning, match="out of reach"):
+        mixing.mix(same, labelled, {"a": 0.1, "b": 0.9})
+
+
 def test_mixing_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, domain string")
