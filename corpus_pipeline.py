@@ -19,7 +19,7 @@ if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
 from barsmith.llm import decontaminate, line_dedup, mixing, quality, simhash  # noqa: E402
-from barsmith.llm.common import read_table, stored  # noqa: E402
+from barsmith.llm.common import free_name, read_table, stored  # noqa: E402
 from barsmith.llm.queries import QUALITY_THRESHOLD, id_crc, label_domains  # noqa: E402
 
 #: Target weights of the final mix: clean text only. Documents whose likeliest domain has
@@ -32,37 +32,48 @@ def _same_columns(out: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier scores at the threshold or above."""
+    """Documents that the quality classifier scores at the threshold or above.
+
+    Every row is judged by its own text, whatever its id; null and empty texts have a score like
+    others. Without labels of both kinds the score is a constant (1 if only good ones are known, 0.5
+    without any), so all or none stay."""
     model = quality.learn(docs, read_table(spark, sf_dir, "labels"), id_crc("doc_id") % 5 != 0)
-    scored = quality.score(docs, model, name="_quality")
-    return _same_columns(scored.filter(F.col("_quality") >= QUALITY_THRESHOLD), docs)
+    name = free_name(docs.columns, "_quality")
+    scored = quality.score(docs, model, name=name)
+    return _same_columns(scored.filter(F.col(name) >= QUALITY_THRESHOLD), docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated lines; n_chars follows the text. No document goes."""
+    """Texts without repeated lines; n_chars follows the text. No document goes: one that
+    consists of repeated lines stays with an empty text. Null texts stay null."""
     out = line_dedup.dedup_lines(docs)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        dropped = F.col(free_name(docs.columns, "n_dropped"))
+        out = out.withColumn("n_chars", F.when(dropped > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return _same_columns(out, docs)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each class of near-duplicates."""
+    """One row of each class of near-duplicates, that with the smallest doc_id. Null and empty texts
+    are near-duplicates of each other. Of equal rows one stays; null ids come last."""
     return simhash.one_of_each(docs, shingle=3, radius=2)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark, copied or edited."""
+    """Documents that hold no passage of the benchmark, copied or edited. Rows that share a doc_id go together;
+    rows without one are judged each by its own text. Without benchmark items all stay."""
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose likeliest domain has a place in the target mix, with their rate. The rate
     itself decides nothing: how near to 0 it comes depends on when the fit stops. Without any
-    labelled row there are no domains, and every document stays."""
+    labelled row there are no domains, and every document stays. Every row is judged by its own text. The
+    columns that the stage adds get underscores in front where their names are taken."""
     out = mixing.mix(docs, label_domains(read_table(spark, sf_dir, "labels")), TARGETS)
+    domain = F.col(free_name(docs.columns, "domain"))
     wanted = [d for d, weight in TARGETS.items() if weight > 0]
-    return out.filter(F.col("domain").isNull() | F.col("domain").isin(wanted))
+    return out.filter(domain.isNull() | domain.isin(wanted))
 
 
 STAGES = [
