@@ -116,19 +116,34 @@ def merge_table(updates: DataFrame, table: str, *, fmt: str = "parquet", path: s
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
-    # laid out by the partition columns already: sorting within the read splits is all that is left
     ready = own.read.schema(stored.schema).parquet(staged).select(*stored.columns)
+    buckets = table_buckets(spark, table)
+    if buckets:  # a file per bucket and month
+        ready = ready.repartition(buckets, F.col(key))
+    # else laid out by the partition columns already: sorting within the read splits is all that is left
     ready.sortWithinPartitions(*partition_cols, key, order).write.mode("overwrite").insertInto(table)
     spark.catalog.refreshTable(table)
 
 
+def table_buckets(spark: SparkSession, table: str) -> int:
+    """The number of hash buckets of a catalog table, 0 for none."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Num Buckets'").select("data_type").collect()
+    return int(found[0][0]) if found else 0
+
+
 def write_clustered(features: DataFrame, table: str, *, buckets: int, path: str | None = None,
-                    key: str = "ticker", order: str = "date") -> None:
+                    partition_cols: Sequence[str] = (), key: str = "ticker", order: str = "date") -> None:
     """A catalog table clustered by instrument: ``buckets`` hash buckets by ``key``, each one file
     sorted by (key, order). Windows, aggregates and joins by the instrument then read it without a
-    shuffle. ``buckets`` should make a file some hundred MB; an instrument lies in one file."""
-    w = (features.repartition(buckets, F.col(key)).sortWithinPartitions(key, order).write.format("parquet").mode("overwrite")
+    shuffle. ``buckets`` should make a file some hundred MB; an instrument lies in one bucket.
+
+    With ``partition_cols`` each partition has its own buckets: :func:`merge_table` then rewrites
+    the partitions it touches and keeps the clustering, and reads by instrument still need no shuffle.
+    """
+    w = (features.repartition(buckets, F.col(key)).sortWithinPartitions(*partition_cols, key, order).write.format("parquet").mode("overwrite")
          .bucketBy(buckets, key).sortBy(key, order))
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
