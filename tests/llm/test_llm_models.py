@@ -93,6 +93,41 @@ def test_language_edge_cases(spark):
     assert narrow["lang_id"] == "und" and narrow["lang_best"] == "a"
 
 
+def plain_size(content, text):
+    """Bytes of the text's letters, each 4096 bytes on end encoded from scratch with the dictionary's content."""
+    import zstandard
+
+    raw = "".join(c if c.isalpha() else " " for c in text.lower())
+    while "  " in raw:
+        raw = raw.replace("  ", " ")
+    raw, total = raw.encode(), 0
+    for i in range(0, len(raw), 4096):
+        params = zstandard.ZstdCompressionParameters.from_level(langid.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(compression_params=params)
+        total += len(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress(raw[i:i + 4096]))
+    return total
+
+
+def test_languages_equal_a_plain_version(spark):
+    """Every document of the whole table: the language whose dictionary encodes it shortest, the commoner one of equals."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    remainder = queries.id_crc("doc_id") % 4
+    dicts = langid.dictionaries(docs, remainder != 2)
+    got = {r["doc_id"]: r for r in queries.op8_language_id(spark, DATA).collect()}
+    rows = docs.collect()
+    for r in rows:
+        sizes = {lang: plain_size(content, r["text"] or "") for lang, content in dicts.items()}
+        want = min(sizes, key=sizes.get) if any(map(str.isalpha, r["text"] or "")) else "und"
+        assert got[r["doc_id"]]["lang_pred"] == want
+        if want != "und":
+            weights = [np.exp(-60 * (n / sizes[want] - 1)) for n in sizes.values()]
+            assert got[r["doc_id"]]["score"] == pytest.approx(1 / sum(weights))
+    # one encoder for all lengths: short texts are told as well
+    short = [r for r in rows if 0 < len(r["text"] or "") <= 512 and held_out(r["doc_id"], 4) == 2]
+    assert sum(got[r["doc_id"]]["lang_pred"] == r["lang"] for r in short) >= 0.95 * len(short)
+
+
 # -- tokens
 
 
