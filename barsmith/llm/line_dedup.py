@@ -21,7 +21,8 @@ its documents is between stored tables, which adaptive execution splits.
 Nulls: a null text is one empty line. A row with null doc_id counts as a document and can
 lose lines, but is never the largest; if only such rows hold a key, its lines stay.
 Rows that repeat a doc_id count as documents of their own, and all rows of the largest
-doc_id keep the line. Empty tables give empty results. Other columns pass through.
+doc_id keep the line. Texts are read whole; a document's long lines are hashed at once. Empty tables give
+empty results. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -129,9 +130,10 @@ def _twice_filter(texts: DataFrame, min_chars: int, segment_bits: int) -> np.nda
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([s], pa.int32()), pa.array([bitmap.tobytes()], pa.binary())], schema=schema)
 
-    rows = (texts.mapInArrow(hashes, "segment int, hashes binary, many binary")
-            .repartition("segment")
-            .mapInArrow(filters, "segment int, bitmap binary"))
+    # one job builds all segments; the driver then reads them one file after the other
+    rows = stored(texts.mapInArrow(hashes, "segment int, hashes binary, many binary")
+                  .repartition("segment")
+                  .mapInArrow(filters, "segment int, bitmap binary"), "line-filters")
     out = np.zeros((SEGMENTS, segment_bits // 8), np.uint8)
     for r in rows.toLocalIterator():  # max_filter_bits / 8 bytes at most
         out[r["segment"]] = np.frombuffer(r["bitmap"], np.uint8)
