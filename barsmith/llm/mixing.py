@@ -33,7 +33,8 @@ their weight can't be reached. Without any labelled row every rate is 1. Where n
 significant, all posteriors are the domains' shares, with a warning.
 
 Null texts are empty, with zero tokens; they have posteriors and a rate all the same. Rows with
-null domain, or a domain without target, teach nothing; ids that repeat in the table teach
+null domain, or a domain without target, teach nothing; documents with equal posteriors have equal rates, and of
+equal posteriors the first domain by name is the likeliest; ids that repeat in the table teach
 with each row. Null ids are never labelled. Empty tables give empty results. Extra columns
 pass through; result columns get underscores in front where their names are taken.
 """
@@ -277,7 +278,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, text
     x = F.col(f"`{text}`")
     model = learn(docs, labelled, sorted(targets), text=text, doc_id=doc_id, domain=domain, **learning)
     if model is None:
-        out = with_features(docs, x, names[0], "_features").drop("_features")
+        found = free_name([*taken, *names], "_features")
+        out = with_features(docs, x, names[0], found).drop(found)
         return out.withColumns({names[1]: F.lit(None).cast("map<string,double>"), names[2]: F.lit(None).cast("string"), names[3]: F.lit(1.0)})
     weights = [targets[d] / sum(targets.values()) for d in model.domains]
     named = [f"p{i}" for i in range(len(model.domains))]

@@ -15,7 +15,8 @@ texts, in segments that overlap by half a chunk, so memory is bounded for any le
 Null and empty texts are scored like a document of one empty chunk. Rows with null label,
 null id or a null condition teach nothing; if nothing (or a single class) was learned,
 every score is the share of label 1, or 0.5 without labels. Ids that repeat in the labels teach
-with each of their labels. Extra columns pass through; the score column gets underscores in
+with each of their labels; rows of documents are scored each by its own text. Equal scores are equal. An empty table
+gives no rows. Extra columns pass through; the score column gets underscores in
 front where its name is taken.
 """
 

@@ -24,7 +24,7 @@ of the hub links are the classes.
 Nulls and empty texts have fingerprint zero, linked like any other. A row with null doc_id
 gets the class of its fingerprint, and null if no row there has an id. Rows that repeat
 a doc_id may have different texts; they then link those texts' classes by their
-fingerprints only, not by the shared id. Empty tables give empty results. Other columns
+fingerprints only, not by the shared id. Texts of any length are read whole, shingles in blocks. Empty tables give empty results. Other columns
 are not carried; the result has doc_id, fingerprint, component_id.
 """
 

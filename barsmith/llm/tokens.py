@@ -10,7 +10,7 @@ inside a text are one token each, as the library treats them by default.
 
 The broadcast holds the vocabulary file and the proven strings: its size is that of the
 file. Texts of any length go through in blocks that end where a pre-token
-must end. Null text: zero bytes and tokens. Null ids and extra columns pass through; result
+must end. Null text: zero bytes and tokens. Rows are counted each by its own text; an empty table gives no rows. Null ids and extra columns pass through; result
 columns get underscores in front where the table has their names.
 """
 

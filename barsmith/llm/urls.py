@@ -15,7 +15,8 @@ lengths that rules have are probed, so a long URL costs no more than a short one
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased. Path:
 from there up to ``?``, ``#`` or the end. Null URLs, and those without ``://``, have empty
-host and path, which no rule fits. Without a rule the verdict is ``default``. Empty tables
+host and path, which no rule fits. Without a rule the verdict is ``default``. Every row is judged by its own
+URL, whatever ids repeat; of rules with one host and path the last given holds. Empty tables
 give empty results; extra columns pass through, result columns get underscores in front
 where their names are taken.
 """
