@@ -42,7 +42,8 @@ def test_stage_then_run(tmp_dir):
     assert run.returncode == 0, run.stderr[-2000:]
     summary = json.loads(run.stdout.strip().splitlines()[-1])
     assert summary["rows"] == 2 and summary["metrics"]["null_adj_close"] == 0
-    assert os.listdir(f"{tmp_dir}/out") == ["run_date=20240131"]
+    # one run's folder; beside it the ledger that commits it and the state it leaves
+    assert sorted(os.listdir(f"{tmp_dir}/out")) == ["_ledger", "_state", "run_date=20240131"]
 
 
 def test_refuses_to_run_without_a_shared_folder(tmp_dir):
