@@ -504,7 +504,7 @@ def q_payload_drift(spark, sf_dir):
         F.when(day % 3 == 0, F.struct(F.lit("X").alias("code"), day.alias("lot"))).alias("venue"))
     payloads = bars.groupBy("ticker", F.year("date").alias("y")).agg(F.to_json(F.collect_list(record)).alias("payload"))
     out = drift.conform(drift.records(payloads.drop("y")))
-    return rounded(out.select("ticker", "date", "open", "high", "close", "volume", drift.RESCUED, drift.MALFORMED))
+    return rounded(out.select("ticker", "date", "open", "high", "close", F.col("volume").cast("double").alias("volume"), drift.RESCUED, drift.MALFORMED))
 
 
 SOURCE_QUERIES = {
