@@ -1,12 +1,12 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are runs of letters, marks and digits (by Unicode class) of the lower-cased text; in scripts
-that are written without spaces every character is a word. Word n-grams are 64-bit hashes.
+that are written without spaces every character is a word. Seeds are 64-bit hashes of words.
 
-1. Every n-gram of a test item is a seed. None is left out for being frequent, so copies that
-   are edited or partial are found whatever other documents hold of the item. An alignment that
-   shares no run of ``n`` words with its item (every third word edited, at n = 3) has no seed
-   and is not found.
+1. Every seed of a test item counts: three words on end, and three of four on end with the third left
+   out. None is left out for being frequent, so copies that are edited or partial are found whatever other
+   documents hold of the item, also with every third word another. An alignment that shares no seed of either
+   shape with its item (every second word edited) is not found.
 2. One pass over the documents finds the seeds. Around them it cuts windows as wide as the
    items that may hold the seed: items are taken by classes of length (up to 64 words, 256, 1,024
    and so on), so a long item doesn't widen the windows of short ones. Overlapping windows are one.
@@ -20,10 +20,10 @@ that are written without spaces every character is a word. Word n-grams are 64-b
    best alignment's sum (or the whole item, if shorter) is contamination.
 
 The pass probes bitmaps of fixed size (``filter_bits``, 8 MB, one per length class) that are broadcast
-whatever the size of the benchmark; the n-grams they let through meet the exact ones in a join, and the
+whatever the size of the benchmark; the seeds they let through meet the exact ones in a join, and the
 alignment compares words, not hashes.
 
-Items of fewer than ``n`` words can't be told from chance and match nothing. Null texts are
+Items of fewer than three words can't be told from chance and match nothing. Null texts are
 empty. Null doc_ids and item_ids are reported as null, as one document or by item text. Texts of any
 length are read whole, in blocks cut between words; a single word of over 512 KB is cut.
 Rows that repeat a doc_id are one document; repeated items are one item. Of several alignments of the best
@@ -43,6 +43,9 @@ from pyspark.sql import functions as F
 
 from barsmith.llm.common import free_name, stored
 
+#: Places of the words of a seed: three on end, and three with one left out.
+Shapes = tuple[tuple[int, ...], ...]
+SHAPES: Shapes = ((0, 1, 2), (0, 1, 3))
 #: Scripts written without spaces between words.
 UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
 #: Items are taken by length: up to SHORTEST words, then up to 4 times as many, and so on.
@@ -111,15 +114,22 @@ def words_in(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return h ^ (h >> np.uint64(32)), start, end
 
 
-def grams_of(hashes: np.ndarray, n: int) -> np.ndarray:
-    """A hash for each n consecutive words."""
-    if len(hashes) < n:
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        out = np.zeros(len(hashes) - n + 1, np.uint64)
-        for i in range(n):
-            out = out * np.uint64(_ODD) + hashes[i:len(hashes) - n + 1 + i]
-        return out ^ (out >> np.uint64(31))
+def seeds_of(hashes: np.ndarray, shapes: Shapes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of the seeds of all shapes, in the order of their first words."""
+    found, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for number, shape in enumerate(shapes):
+        n = len(hashes) - shape[-1]
+        if n <= 0:
+            continue
+        with np.errstate(over="ignore"):
+            out = np.full(n, number, np.uint64)
+            for i in shape:
+                out = out * np.uint64(_ODD) + hashes[i:n + i]
+            found.append(out ^ (out >> np.uint64(31)))
+        at.append(np.arange(n))
+    grams, place = np.concatenate(found), np.concatenate(at)
+    order = np.argsort(place, kind="stable")
+    return grams[order], place[order]
 
 
 def split(texts: Iterator[str | None]) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
@@ -288,18 +298,18 @@ def _align_group(a: list[int], b: np.ndarray, penalty: float) -> list[tuple[floa
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id",
-            item_text: str = "text", n: int = 3, penalty: float = 0.5, min_score: float = 0.4,
+            item_text: str = "text", shapes: Shapes = SHAPES, penalty: float = 0.5, min_score: float = 0.4,
             min_matches: float = 6.0, filter_bits: int = 1 << 26) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word): each contaminated pair once, with its
     best alignment's score and its span in words of the document."""
-    spark = docs.sparkSession
+    spark, width = docs.sparkSession, max(shape[-1] for shape in shapes) + 1
 
     def item_rows(batches):
         for b in batches:
             out = []
             for i, t, h, s, e in split(b.column(1).to_pylist()):
                 out.append({"item": b.column(0)[i].as_py(), "words": " ".join(t[x:y].decode("utf-8", "replace") for x, y in zip(s, e, strict=True)),
-                            "n_words": len(h), "grams": np.unique(grams_of(h, n)).view(np.int64).tolist()})
+                            "n_words": len(h), "grams": np.unique(seeds_of(h, shapes)[0]).view(np.int64).tolist()})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("item", pa.int64()), ("words", pa.string()), ("n_words", pa.int32()), ("grams", pa.list_(pa.int64()))]))
 
     given = benchmark.select(F.col(item_id).alias("item_id"), F.coalesce(item_text, F.lit("")).alias("t")).distinct()
@@ -314,13 +324,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id
         for b in batches:
             out = []
             for i, t, h, s, e in split(b.column(1).to_pylist()):
-                g = grams_of(h, n)
+                g, place = seeds_of(h, shapes)
                 for kind, bitmap in seeds.value.items():
                     hits, reach = np.flatnonzero(_let_through(bitmap, g, filter_bits)), SHORTEST * 4 ** kind
                     if not len(hits):
                         continue
-                    for part in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * reach + n) + 1):
-                        lo, hi = max(0, int(part[0]) - reach), min(len(h), int(part[-1]) + n + reach)
+                    for part in np.split(hits, np.flatnonzero(np.diff(place[hits]) > 2 * reach + width) + 1):
+                        lo, hi = max(0, int(place[part[0]]) - reach), min(len(h), int(place[part[-1]]) + width + reach)
                         out.append({"at": i, "class": kind, "start": lo, "grams": np.unique(g[part]).view(np.int64).tolist(),
                                     "words": " ".join(t[x:y].decode("utf-8", "replace") for x, y in zip(s[lo:hi], e[lo:hi], strict=True))})
             table = pa.RecordBatch.from_pylist(out, schema=schema)

@@ -344,6 +344,29 @@ def test_words_by_unicode_class(spark):
     assert got == {(1, 1), (2, 2), (3, 2), (4, 2), (5, 3)}
 
 
+def plain_seeds(words):
+    """Three words on end, and three of four with the third left out."""
+    return {(*words[i:i + 3], 0) for i in range(len(words) - 2)} | {(*words[i:i + 2], words[i + 3], 1) for i in range(len(words) - 3)}
+
+
+def test_every_third_word_edited_is_found(spark):
+    """Recall by share of words replaced: all copies whose alignment reaches the bar share a seed."""
+    rng = random.Random(21)
+    items = {k: [f"i{k}w{j}" for j in range(40)] for k in range(30)}
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    docs, want = [(1000 + p, " ".join("x" if j % 3 == p else w for j, w in enumerate(items[0]))) for p in range(3)], {(1000 + p, 0) for p in range(3)}
+    for share in (0.1, 0.2, 0.3, 0.35):
+        for k, words in items.items():
+            i = int(share * 100) * 100 + k
+            copy = [f"e{i}n{j}" if rng.random() < share else w for j, w in enumerate(words)]
+            docs.append((i, " ".join(copy)))
+            if slow_align(words, copy, 0.5) >= 16:
+                want.add((i, k))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got <= want and len(want) > 100
+    assert len(got) >= 0.99 * len(want)
+
+
 def test_matches_equal_all_pairs(spark):
     """Every pair of document and item, aligned whole by the plain recurrence."""
     rng = random.Random(12)
@@ -362,12 +385,11 @@ def test_matches_equal_all_pairs(spark):
     bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
     table = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.matches(table, bench).collect()}
-    grams = lambda w: {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
     want = {}
     for i, d in docs.items():
         for k, w in items.items():
             total = slow_align(w, d, 0.5)
-            if grams(w) & grams(d) and total >= 0.4 * len(w) and total >= min(6, len(w)):
+            if plain_seeds(w) & plain_seeds(d) and total >= 0.4 * len(w) and total >= min(6, len(w)):
                 want[i, k] = total / len(w)
     assert len(want) > 30 and got == pytest.approx(want)
 

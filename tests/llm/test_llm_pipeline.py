@@ -13,7 +13,7 @@ from barsmith.llm import mixing, quality
 from barsmith.llm.common import read_table
 from barsmith.llm.queries import id_crc, label_domains
 from test_llm_dedup import brute_fingerprint
-from test_llm_models import plain_score, slow_align
+from test_llm_models import plain_score, plain_seeds, slow_align
 
 
 def corpus(seed=3):
@@ -103,13 +103,12 @@ def plain_classes(rows):
 
 def plain_clean(rows, items):
     split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
-    grams = lambda w: {tuple(w[j:j + 3]) for j in range(len(w) - 2)}
     bad = set()
     for i, t in rows:
         d = split(t)
         for _, item in items:
             w = split(item)
-            if grams(w) & grams(d):
+            if plain_seeds(w) & plain_seeds(d):
                 total = slow_align(w, d, 0.5)
                 if total >= 0.4 * len(w) and total >= min(6, len(w)):
                     bad.add(i)
