@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from barsmith.llm import filter_audit, packing, prefix_trie
 from barsmith.llm.queries import op11_prefix_trie, op13_packing
@@ -236,10 +237,11 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECES_SCHEMA = "doc_id long, text string, start string, ids string, sequence_id int"
 
 
-def library_ids(text):
-    from tokenizers import Tokenizer
+LIBRARY = Tokenizer.from_file(VOCABULARY)
+
 
-    return Tokenizer.from_file(VOCABULARY).encode(text or "", add_special_tokens=False).ids + [1]
+def library_ids(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def checked(rows, docs, capacity):
