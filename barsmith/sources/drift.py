@@ -30,12 +30,16 @@ def payload_texts(spark: SparkSession, root: str, *, whole_files: bool = False)
 
 def records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per record: the elements of arrays, other payloads as they are; in ``record``
-    (VARIANT, null where the text is no JSON). An empty array has no records."""
+    (VARIANT, null where the text is no JSON; ``payload`` stays for these). An empty array has no records."""
     parsed = payloads.withColumn("_v", F.try_parse_json(F.col(payload)))
     # an array's elements; anything else is the only element
-    elements = F.coalesce(F.try_variant_get("_v", "$", "array<variant>"), F.array("_v"))
-    return parsed.withColumn("record", F.explode_outer(elements)).filter(
-        ~(F.coalesce(F.schema_of_variant("_v"), F.lit("")).startswith("ARRAY") & F.col("record").isNull())).drop("_v")
+    items = F.try_variant_get("_v", "$", "array<variant>")
+    # judged per payload, not per record; of JSON the record is what is kept, so that a long array's text
+    # is not repeated beside each of its elements
+    whole = parsed.withColumns({"_items": items, payload: F.when(F.col("_v").isNull(), F.col(payload))})
+    listed = whole.withColumn("_array", F.col("_items").isNotNull()).withColumn("_items", F.coalesce("_items", F.array("_v"))).drop("_v")
+    rows = listed.withColumn("record", F.explode_outer("_items")).drop("_items")
+    return rows.filter(~(F.col("_array") & F.col("record").isNull())).drop("_array")
 
 
 def conform(recs: DataFrame, schema: StructType = VENDOR_SCHEMA, *, payload: str = "payload") -> DataFrame:
