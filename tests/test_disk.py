@@ -55,3 +55,36 @@ def _days(spark, ticker, first, n, price=10.0):
         F.date_add(F.lit(first), F.col("id").cast("int")).alias("date"), F.lit(ticker).alias("ticker"),
         *[(F.col("id") + price).cast("double").alias(c) if "volume" not in c else (F.col("id") + 1).alias(c) for c in BAR_COLUMNS[2:-1]],
         F.lit("2024-01-01T00:00:00").alias("ingested_at"))
+
+
+def test_late_bars_compare_the_bars_of_their_instruments(spark, tmp_dir, monkeypatch):
+    first, staged, out = dt.date(2023, 1, 1), f"{tmp_dir}/staged", f"{tmp_dir}/out"
+    bars = _days(spark, "A", first, 60).unionByName(_days(spark, "B", first, 60))
+    late = (F.col("ticker") == "A") & (F.col("date") == dt.date(2023, 2, 5))
+    ndjson.stage(bars.filter(~late), staged, "1")
+    ndjson.stage(bars.filter(late), staged, "2")
+    seen, real = [], sinks.newest
+    monkeypatch.setattr(sinks, "newest", lambda df, *a: seen.append(df) or real(df, *a))
+    for run, kw in (("1", {}), ("2", {"after": "1"})):
+        res = job.run_pipeline(spark, staged, out, run, processed_at="p", register=False, **kw)
+    assert res["metrics"]["late_rows"] == 1 and len(seen) == 1
+    assert set(seen[0].columns) == {*BAR_COLUMNS, "pipeline_run", "processed_at"}
+    assert {r["ticker"] for r in seen[0].select("ticker").distinct().collect()} == {"A"}
+    # the bar store goes once its rows are in the features
+    made = [d for d, _, _ in os.walk(spark.sparkContext.getCheckpointDir().removeprefix("file:")) if "/bars-2-" in d]
+    assert not made
+    got = real(sinks.read_runs(spark, out)).drop("pipeline_run")
+    whole = job.features(bars, run_date="r", processed_at="p", dedupe=False).drop("pipeline_run")
+    assert got.exceptAll(whole).count() == whole.exceptAll(got).count() == 0
+
+
+def test_newest_compares_only_months_with_copies(spark):
+    day = dt.date
+    rows = [Row("A", day(2023, 1, 2), "1", "p", 1.0), Row("A", day(2023, 2, 2), "1", "p", 2.0), Row("A", day(2023, 2, 2), "2", "p", 3.0),
+            Row("B", day(2023, 2, 2), "1", "p", 4.0), Row(None, day(2023, 3, 1), "1", "p", 5.0), Row(None, day(2023, 3, 1), "1", "p", 5.0),
+            Row("A", None, "1", "p", 6.0), Row("A", None, "2", "p", 7.0), Row("C", day(2023, 1, 2), "2", "p", None)]
+    runs = spark.createDataFrame(rows, "ticker string, date date, pipeline_run string, processed_at string, x double")
+    out = sinks.newest(runs)
+    assert out.columns == runs.columns
+    assert sorted(r["x"] or 0 for r in out.collect()) == [0, 1.0, 3.0, 4.0, 5.0, 7.0]
+    assert "LeftAnti" in executed(out)
