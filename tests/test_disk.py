@@ -88,3 +88,14 @@ def test_newest_compares_only_months_with_copies(spark):
     assert out.columns == runs.columns
     assert sorted(r["x"] or 0 for r in out.collect()) == [0, 1.0, 3.0, 4.0, 5.0, 7.0]
     assert "LeftAnti" in executed(out)
+
+
+def test_rows_lie_in_their_buckets_before_they_are_written(spark, monkeypatch):
+    seen, real = [], sinks.write_clustered
+    monkeypatch.setattr(sinks, "write_clustered", lambda df, name, *, buckets, **kw: seen.append((df, buckets)) or real(df, name, buckets=buckets, **kw))
+    catalog._STORED.pop((spark.sparkContext.applicationId, SMALL, "clustered"), None)
+    table = catalog.clustered_features(spark, SMALL, buckets=3, rows=200)
+    (df, buckets), = seen
+    assert buckets > 3 and executed(df.repartition(buckets, F.col("ticker"))).count("Exchange hashpartitioning") == 1
+    ref = catalog.stored_features(spark, SMALL)
+    assert table.select(*ref.columns).exceptAll(ref).count() == 0 and table.count() == ref.count()
