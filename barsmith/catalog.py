@@ -202,7 +202,7 @@ def _vendor_root(spark: SparkSession, sf_dir: str) -> str:
           ("adj_open", "adj_high", "adj_low", "adj_close", "adj_volume")],
         "ticker",
     )
-    payload.hint("rebalance", "ticker").write.json(root)
+    payload.hint("rebalance", "ticker").write.option("compression", "gzip").json(root)
     return root
 
 

@@ -99,3 +99,15 @@ def test_rows_lie_in_their_buckets_before_they_are_written(spark, monkeypatch):
     assert buckets > 3 and executed(df.repartition(buckets, F.col("ticker"))).count("Exchange hashpartitioning") == 1
     ref = catalog.stored_features(spark, SMALL)
     assert table.select(*ref.columns).exceptAll(ref).count() == 0 and table.count() == ref.count()
+
+
+def test_payload_files_are_compressed_and_name_no_ticker(spark, monkeypatch):
+    bars = catalog.lineitem_bars(spark, SMALL)
+    odd = bars.withColumn("ticker", F.when(F.col("ticker") != "1", F.col("ticker")))
+    monkeypatch.setattr(catalog, "lineitem_bars", lambda *a: odd)
+    root = catalog._vendor_root(spark, SMALL)
+    stored = files(root, ".gz") + files(root, ".json")
+    assert stored and all(f.endswith(".json.gz") for f in stored)
+    out = vendor.normalize(vendor.read_payloads(spark, root), "x")
+    assert out.count() == bars.count()
+    assert out.filter("ticker IS NULL").count() == bars.filter("ticker = '1'").count() > 0
