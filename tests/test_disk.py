@@ -3,12 +3,13 @@
 import datetime as dt
 import os
 
+import pytest
 from conftest import SMALL
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from barsmith import catalog
-from barsmith.plans import job
+from barsmith import catalog, session
+from barsmith.plans import increment, job
 from barsmith.schema import BAR_COLUMNS
 from barsmith.sources import fixtures, ndjson, sinks, vendor
 
@@ -111,3 +112,73 @@ def test_payload_files_are_compressed_and_name_no_ticker(spark, monkeypatch):
     out = vendor.normalize(vendor.read_payloads(spark, root), "x")
     assert out.count() == bars.count()
     assert out.filter("ticker IS NULL").count() == bars.filter("ticker = '1'").count() > 0
+
+
+def _shuffled(df):
+    return executed(df).count("Exchange hashpartitioning")
+
+
+def test_staged_lines_are_not_shuffled_to_be_written(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(ndjson, "FILE_LINES", 40)
+    bars = _days(spark, "B", dt.date(2023, 1, 1), 50).unionByName(_days(spark, "A", dt.date(2023, 1, 1), 50)).coalesce(1)
+    ndjson.stage(bars, tmp_dir, "r")
+    lines = [spark.read.json(f).orderBy(F.monotonically_increasing_id()).select("ticker", "date").collect() for f in files(tmp_dir, ".json.gz")]
+    # of one task, cut into files
+    assert sorted(map(len, lines)) == [20, 40, 40] and all(one == sorted(one) for one in lines)
+    assert ndjson.to_bars(ndjson.scan(spark, tmp_dir, "r")).exceptAll(bars).count() == 0
+
+
+def test_a_run_shuffles_its_bars_once_and_stores_none(spark, tmp_dir, monkeypatch):
+    first, out = dt.date(2022, 1, 1), f"{tmp_dir}/out"
+    bars = _days(spark, "A", first, 300).unionByName(_days(spark, "B", first, 20))
+    copies = bars.filter("day(date) = 3").withColumns({"close": F.lit(-1.0), "ingested_at": F.lit("2020")})
+    ndjson.stage(bars.unionByName(copies), f"{tmp_dir}/staged", "disk_r1")
+    seen, real = [], sinks.write_parquet
+    monkeypatch.setattr(sinks, "write_parquet", lambda df, path, *a, **kw: seen.append(_shuffled(df)) or real(df, path, *a, **kw))
+    made, scratch = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda s, n: made.append(n) or scratch(s, n))
+    res = job.run_pipeline(spark, f"{tmp_dir}/staged", out, "disk_r1", processed_at="p", register=False)
+    assert seen == [1] and not made
+    m = res["metrics"]
+    assert (m["rows"], m["duplicate_rows"], m["written_rows"]) == (320 + copies.count(), copies.count(), 320)
+    whole = job.features(bars, run_date="disk_r1", processed_at="p", dedupe=False)
+    assert res["features"].exceptAll(whole).count() == whole.exceptAll(res["features"]).count() == 0
+    # the marked rows are the state that a window over the stored rows finds
+    state, want = increment.read_state(spark, out, "disk_r1"), increment.tail_state(whole)
+    assert state.columns == want.columns and state.count() == increment.TAIL + 20
+    assert state.exceptAll(want).count() == want.exceptAll(state).count() == 0
+
+
+def test_shuffles_go_with_the_action_within_a_job_only(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with session.shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before
+
+
+def test_an_empty_load_leaves_nothing(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/staged/run_date=disk_r2")
+    with open(f"{tmp_dir}/staged/run_date=disk_r2/part-0.json", "w") as f:
+        f.write('{"ticker": "A"}\nnonsense\n')
+    with pytest.raises(ndjson.EmptyLoad):
+        job.run_pipeline(spark, f"{tmp_dir}/staged", f"{tmp_dir}/out", "disk_r2", register=False)
+    assert not os.path.exists(f"{tmp_dir}/out")
+
+
+def test_new_bars_meet_the_state_once(spark, tmp_dir):
+    first = dt.date(2021, 1, 1)
+    bars = _days(spark, "A", first, 400).unionByName(_days(spark, "B", first, 400)).unionByName(_days(spark, "C", first, 300))
+    feats = job.features(bars, run_date="r", processed_at="p", dedupe=False)
+    cut = F.lit(first + dt.timedelta(days=350))
+    increment.tail_state(feats.filter(F.col("date") < cut)).write.parquet(f"{tmp_dir}/state")
+    state = spark.read.parquet(f"{tmp_dir}/state")
+    new = bars.filter(F.col("date") >= F.date_sub(cut, 20)).withColumn("close", F.when(F.col("date") == F.date_sub(cut, 7), 1.0).otherwise(F.col("close")))
+    step = increment.advance(state, new, run_date="r", processed_at="p", dedupe=False, store=f"{tmp_dir}/placed")
+    kinds = {r["kind"]: r["count"] for r in spark.read.parquet(f"{tmp_dir}/placed").groupBy("kind").count().collect()}
+    assert kinds == {"fresh": 100, "late": 2, "unchanged": 38}
+    assert (step.late.count(), step.unchanged.count()) == (2, 38) and "_known" not in executed(step.features)
+    # the state's rows are shuffled once for their windows
+    assert _shuffled(step.features) == 1
+    want = feats.filter((F.col("date") >= cut))
+    assert step.features.drop("close").exceptAll(want.drop("close")).count() == 0 and step.features.count() == want.count() == 100
