@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barsmith import catalog, session
 from barsmith.plans import increment, job
 from barsmith.schema import BAR_COLUMNS
-from barsmith.sources import fixtures, ndjson, sinks, vendor
+from barsmith.sources import fixtures, ndjson, rules, sinks, vendor
 
 
 def files(root, end):
@@ -166,6 +166,16 @@ def test_an_empty_load_leaves_nothing(spark, tmp_dir):
     assert not os.path.exists(f"{tmp_dir}/out")
 
 
+def test_good_lines_are_not_stored(spark, tmp_dir):
+    bars = _days(spark, "A", dt.date(2023, 1, 1), 40)
+    lines = bars.withColumn("volume", F.when(F.day("date") == 5, -F.col("volume")).otherwise(F.col("volume")))
+    ndjson.stage(lines, f"{tmp_dir}/staged", "disk_r3")
+    columns = ndjson.scan(spark, f"{tmp_dir}/staged", "disk_r3").columns
+    res = job.run_pipeline(spark, f"{tmp_dir}/staged", f"{tmp_dir}/out", "disk_r3", register=False, rules=rules.bar_rules(columns))
+    assert spark.read.parquet(f"{tmp_dir}/out/_quarantine/run_date=disk_r3").groupBy("verdict").count().collect() == [Row("bad", 2)]
+    assert (res["metrics"]["quarantined_rows"], res["rows"], res["quarantine"].count()) == (2, 38, 2)
+
+
 def test_new_bars_meet_the_state_once(spark, tmp_dir):
     first = dt.date(2021, 1, 1)
     bars = _days(spark, "A", first, 400).unionByName(_days(spark, "B", first, 400)).unionByName(_days(spark, "C", first, 300))
