@@ -192,3 +192,23 @@ def test_new_bars_meet_the_state_once(spark, tmp_dir):
     assert _shuffled(step.features) == 1
     want = feats.filter((F.col("date") >= cut))
     assert step.features.drop("close").exceptAll(want.drop("close")).count() == 0 and step.features.count() == want.count() == 100
+
+
+def test_rows_that_win_everywhere_are_not_shuffled_to_be_merged(spark, monkeypatch):
+    day = dt.date
+    row = lambda t, d, run, x, m: Row(t, d, run, "p", x, 2023, m)
+    schema = "ticker string, date date, pipeline_run string, processed_at string, x double, year int, month int"
+    old = [row("A", day(2023, 1, 2), "1", 1.0, 1), row("A", day(2023, 1, 2), "0", 9.0, 1), row("B", day(2023, 1, 2), "1", 2.0, 1),
+           row("B", day(2023, 1, 3), "1", 3.0, 1), row("B", day(2023, 1, 3), "0", 8.0, 1), row(None, day(2023, 1, 4), "1", 4.0, 1), row(None, day(2023, 1, 4), "0", 7.0, 1),
+           row("A", day(2023, 2, 2), "1", 5.0, 2)]
+    for run, want in (("2", [2.0, 3.0, 4.0, 5.0, 10.0, 11.0]), ("1", [2.0, 3.0, 4.0, 5.0, 10.0, 11.0]), ("0", [1.0, 2.0, 3.0, 4.0, 5.0, 11.0])):
+        name = f"apart_{run}_t"
+        sinks.write_table(spark.createDataFrame(old, schema), name)
+        staged, real = [], sinks._layout
+        monkeypatch.setattr(sinks, "_layout", lambda df, *a, **kw: staged.append(df.count()) or real(df, *a, **kw))
+        new = spark.createDataFrame([row("A", day(2023, 1, 2), run, 10.0, 1), row("C", day(2023, 1, 2), run, 11.0, 1)], schema)
+        sinks.merge_table(new, name, unique=True)
+        monkeypatch.setattr(sinks, "_layout", real)
+        assert sorted(r["x"] for r in spark.table(name).collect()) == want, run
+        assert staged == [3 if run == "2" else 5]
+        spark.sql(f"DROP TABLE {name}")
