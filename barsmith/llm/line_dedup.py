@@ -30,12 +30,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from barsmith.llm.common import free_name, stored
 
@@ -140,15 +138,12 @@ def _twice_filter(texts: DataFrame, min_chars: int, segment_bits: int) -> np.nda
     return out
 
 
-@F.pandas_udf(StringType())
-def _without_lines(text: pd.Series, drops: pd.Series) -> pd.Series:
-    def one(t, gone):
-        if t is None or gone is None:
-            return None
-        gone = set(gone)
-        return "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
-
-    return pd.Series([one(t, d) for t, d in zip(text, drops, strict=True)], dtype=object)
+def _without_lines(text: Column, drops: Column) -> Column:
+    """``text`` without the lines of these numbers. Row by row in the JVM: a batch of whole texts in a Python
+    worker holds each of them several times. The outer transform binds the lines, so they are split once;
+    ``array_except`` looks numbers up in a set, so a text of many lines takes time in proportion."""
+    return F.transform(F.array(F.split(text, "\n")), lambda lines: F.array_join(
+        F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drops), lambda i: F.get(lines, i)), "\n"))[0]
 
 
 def dedup_lines(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", min_chars: int = 40,
@@ -218,7 +213,7 @@ def dedup_lines(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
         F.col(f"l.{doc_id}").eqNullSafe(F.col("r.d")) & (F.xxhash64(F.col(f"l.{text}")) == F.col("r.t")),
         "left")
     whole, gone = F.col(f"l.{text}"), F.col("r._drops")
-    kept = F.coalesce(_without_lines(F.when(gone.isNotNull(), whole), gone), whole)
+    kept = F.when(gone.isNotNull(), _without_lines(whole, gone)).otherwise(whole)
     return joined.select(
         *[(kept if c == text else F.col(f"l.`{c}`")).alias(c) for c in docs.columns],
         F.size(F.split(F.coalesce(whole, F.lit("")), "\n")).cast("long").alias(n_lines),

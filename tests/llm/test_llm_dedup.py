@@ -58,6 +58,18 @@ def test_lines_empty_table(spark):
     assert run_lines(spark, []) == []
 
 
+def test_lines_are_dropped_without_python_workers(spark):
+    """Whole texts are not gathered in batches to be rebuilt, and a text of very many lines is one pass."""
+    many = "\n".join(f"{LONG} {i}" if i % 2 else "" for i in range(20_001)) + "\n"
+    rows = [(i, many) for i in range(6)] + [(7, "\n" + LONG + " 1"), (8, LONG + " 1"), (9, f"a\n{LONG} 3\r\n\u2028b\n\n"), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "InArrow" not in plan
+    got = sorted(((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in out.collect()), key=repr)
+    assert got == brute_lines(rows)
+
+
 def brute_fingerprint(text):
     w = (text or "").encode().lower().split()
     grams = [b" ".join(w[i:i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [b" ".join(w)] if w else []
