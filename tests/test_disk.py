@@ -212,3 +212,20 @@ def test_rows_that_win_everywhere_are_not_shuffled_to_be_merged(spark, monkeypat
         assert sorted(r["x"] for r in spark.table(name).collect()) == want, run
         assert staged == [3 if run == "2" else 5]
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_staged_lines_go_with_the_last_run_that_reads_them(spark, monkeypatch):
+    staged, at_run, at_write = [], [], []
+    lines = lambda: sorted({f.split("run_date=")[1].split("/")[0] for root in staged for f in files(root, ".json.gz")})
+    stage, run, write = ndjson.stage, job.run_pipeline, sinks.write_parquet
+    monkeypatch.setattr(ndjson, "stage", lambda bars, root, *a: staged.append(root) or stage(bars, root, *a))
+    monkeypatch.setattr(job, "run_pipeline", lambda *a, **kw: at_run.append(lines()) or run(*a, **kw))
+    monkeypatch.setattr(sinks, "write_parquet", lambda *a, **kw: at_write.append(lines()) or write(*a, **kw))
+    bars = catalog.lineitem_bars(spark, SMALL)
+    half = bars.filter("ticker % 2 = 0 AND date >= DATE '1995-03-15'")
+    assert catalog.q_pipeline_rerun(spark, SMALL).count() == bars.count() + half.count()
+    assert at_run == [["20240101", "20240102"], ["20240102"]] and lines() == []
+    staged.clear(), at_run.clear(), at_write.clear()
+    assert catalog.q_run_ledger(spark, SMALL).count() == bars.count()
+    # two runs read the lines, the broken attempts do not
+    assert at_run == [["20240101"]] * 2 and at_write == [["20240101"]] * 2 + [[]] * 2
