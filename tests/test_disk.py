@@ -229,3 +229,18 @@ def test_staged_lines_go_with_the_last_run_that_reads_them(spark, monkeypatch):
     assert catalog.q_run_ledger(spark, SMALL).count() == bars.count()
     # two runs read the lines, the broken attempts do not
     assert at_run == [["20240101"]] * 2 and at_write == [["20240101"]] * 2 + [[]] * 2
+
+
+def test_features_of_lines_shuffle_once_and_store_no_bars(spark, monkeypatch):
+    made, scratch = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda s, n: made.append(n) or scratch(s, n))
+    for q in ("features_all", "conform_schema", "sma"):
+        plan = executed(catalog.queries()[q](spark, SMALL))
+        assert plan.count("Exchange") == 1 and plan.count("+- Sort ") == 1, q
+    assert not made
+    catalog._STORED.pop((spark.sparkContext.applicationId, SMALL, "features"), None)
+    catalog.stored_features(spark, SMALL)
+    assert made == ["features"]
+    # the views' date is that of the newest bar, also of one without ticker
+    bars = catalog.lineitem_bars(spark, SMALL)
+    assert catalog.bars_as_of(spark, SMALL) == bars.agg(F.max("date")).first()[0]
